@@ -161,4 +161,86 @@ def oracle_sql() -> dict[str, str]:
                Amount_Paid, Payment_Currency, Amount_Received, Receiving_Currency, Payment_Format, Is_Laundering)
           AS line
         FROM enc""")
+    eda_sql(q)
     return q
+
+
+# --- exploration and data quality ---------------------------------------------------------
+
+RAW = ["Timestamp", "From Bank", "Account", "To Bank", "Account.1", "Amount Received",
+       "Receiving Currency", "Amount Paid", "Payment Currency", "Payment Format", "Is Laundering"]
+AMOUNTS = ["Amount Paid", "Amount Received"]
+CATEGORICAL = ["Payment Format", "Payment Currency", "Receiving Currency"]
+
+
+def _q(x: str) -> str:
+    return '"' + x.replace('"', '""') + '"'
+
+
+def _lit(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+def _union(parts: list[str]) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+def eda_sql(q: dict[str, str]) -> None:
+    q["cardinality"] = with_ctes(_union([
+        f"SELECT {_lit(x)} AS \"column\", CAST(count(DISTINCT {_q(x)}) AS BIGINT) AS n_distinct FROM transactions"
+        for x in ["From Bank", "Account", "To Bank", "Account.1"]]))
+    q["value_counts_by_label"] = with_ctes(_union([
+        f"""SELECT "Is Laundering", {_lit(x)} AS "column", {_q(x)} AS value, count(*) AS count
+            FROM transactions WHERE {_q(x)} IS NOT NULL GROUP BY "Is Laundering", {_q(x)}""" for x in CATEGORICAL]))
+    q["positive_slice"] = with_ctes("""SELECT * FROM transactions WHERE "Is Laundering" = '1'""")
+    q["amount_summary"] = with_ctes(_union([
+        f"""SELECT "Is Laundering" AS label, {_lit(x)} AS "column",
+              round(min(CAST({_q(x)} AS DOUBLE)), 6) AS min, round(max(CAST({_q(x)} AS DOUBLE)), 6) AS max,
+              round(avg(CAST({_q(x)} AS DOUBLE)), 6) AS mean,
+              round(quantile_cont(CAST({_q(x)} AS DOUBLE), 0.5), 6) AS median
+            FROM transactions GROUP BY "Is Laundering" """ for x in AMOUNTS]))
+    q["group_size"] = with_ctes('SELECT "Payment Format", count(*) AS count FROM transactions GROUP BY 1')
+    q["describe_all"] = with_ctes(_union([
+        f"""SELECT {_lit(x)} AS "column", CAST(sum(n) AS BIGINT) AS count, count(*) AS "unique",
+              first(v ORDER BY n DESC, v ASC) AS top, max(n) AS freq
+            FROM (SELECT {_q(x)} AS v, count(*) AS n FROM transactions WHERE {_q(x)} IS NOT NULL GROUP BY 1)"""
+        for x in RAW]))
+    num = ["From_ID", "To_ID", "Timestamp", "Amount_Paid", "Payment_Currency", "Amount_Received",
+           "Receiving_Currency", "Payment_Format", "Is_Laundering"]
+    q["describe_numeric"] = core(_union([
+        f"""SELECT {_lit(x)} AS "column", count({_q(x)}) AS count,
+              round(avg(CAST({_q(x)} AS DOUBLE)), 6) AS mean, round(stddev_samp(CAST({_q(x)} AS DOUBLE)), 6) AS std,
+              round(min(CAST({_q(x)} AS DOUBLE)), 6) AS min, round(max(CAST({_q(x)} AS DOUBLE)), 6) AS max,
+              round(quantile_cont(CAST({_q(x)} AS DOUBLE), 0.25), 6) AS p25,
+              round(quantile_cont(CAST({_q(x)} AS DOUBLE), 0.5), 6) AS p50,
+              round(quantile_cont(CAST({_q(x)} AS DOUBLE), 0.75), 6) AS p75
+            FROM enc""" for x in num]))
+    cols = ["row_id"] + RAW
+    q["null_counts"] = with_ctes(_union([
+        f"SELECT {_lit(x)} AS \"column\", count(*) FILTER (WHERE {_q(x)} IS NULL) AS n_null FROM transactions_dirty"
+        for x in cols]), dirty=True)
+    q["table_info"] = with_ctes(_union([
+        f"""SELECT CAST({i} AS INTEGER) AS position, {_lit(x)} AS "column", {_lit('bigint' if x == 'row_id' else 'string')} AS type,
+              count({_q(x)}) AS non_null FROM transactions_dirty""" for i, x in enumerate(cols)]), dirty=True)
+    q["class_counts"] = with_ctes('SELECT "Is Laundering", count(*) AS count FROM transactions GROUP BY 1')
+    q["negative_rows"] = with_ctes(_union([
+        f"""SELECT row_id, {_lit(x)} AS "column", {_q(x)} AS value FROM transactions_dirty
+            WHERE TRY_CAST({_q(x)} AS DOUBLE) < 0""" for x in AMOUNTS]), dirty=True)
+    q["null_rows"] = with_ctes(_union([
+        f"""SELECT row_id, {_lit(x)} AS "column" FROM transactions_dirty WHERE {_q(x)} IS NULL""" for x in RAW]),
+        dirty=True)
+    q["drop_missing"] = with_ctes(
+        "SELECT * FROM transactions_dirty WHERE " + " AND ".join(f"{_q(x)} IS NOT NULL" for x in cols), dirty=True)
+    parts = []
+    for x in RAW:
+        if x in AMOUNTS:
+            neg = f"count(*) FILTER (WHERE TRY_CAST({_q(x)} AS DOUBLE) < 0)"
+            bad = f"count(*) FILTER (WHERE {_q(x)} IS NOT NULL AND TRY_CAST({_q(x)} AS DOUBLE) IS NULL)"
+        elif x == "Timestamp":
+            neg = "CAST(0 AS BIGINT)"
+            bad = f"count(*) FILTER (WHERE {_q(x)} IS NOT NULL AND try_strptime({_q(x)}, '%Y/%m/%d %H:%M') IS NULL)"
+        else:
+            neg, bad = "CAST(0 AS BIGINT)", "CAST(0 AS BIGINT)"
+        parts.append(f"""SELECT {_lit(x)} AS "column", count(*) FILTER (WHERE {_q(x)} IS NULL) AS n_null,
+                           {neg} AS n_negative, {bad} AS n_malformed FROM transactions_dirty""")
+    q["quality_report"] = with_ctes(_union(parts), dirty=True)

@@ -140,3 +140,90 @@ def queries() -> dict[str, Query]:
 
 
 __all__ = ["QUERIES", "queries", "ENRICHED_COLUMNS"]
+
+
+# --- exploration and data quality (A1-A8, F1-F5, Q7) -------------------------------------
+
+from ..operators import eda  # noqa: E402
+
+AMOUNTS = ["Amount Paid", "Amount Received"]
+CATEGORICAL = ["Payment Format", "Payment Currency", "Receiving Currency"]
+STAT_DECIMALS = 6
+
+
+def _round(df, cols):
+    return df.select(*[F.round(F.col(x), STAT_DECIMALS).alias(x) if x in cols else F.col(f"`{x}`") for x in df.columns])
+
+
+@register("cardinality")
+def q_cardinality(spark, sf_dir):
+    return eda.cardinality(fx.transactions(spark, sf_dir), ["From Bank", "Account", "To Bank", "Account.1"])
+
+
+@register("value_counts_by_label")
+def q_value_counts(spark, sf_dir):
+    return eda.value_counts(fx.transactions(spark, sf_dir), CATEGORICAL, by=["Is Laundering"])
+
+
+@register("positive_slice")
+def q_positive_slice(spark, sf_dir):
+    return eda.slice_by_label(fx.transactions(spark, sf_dir))
+
+
+@register("amount_summary")
+def q_amount_summary(spark, sf_dir):
+    return _round(eda.amount_summary(fx.transactions(spark, sf_dir), AMOUNTS), ["min", "max", "mean", "median"])
+
+
+@register("group_size")
+def q_group_size(spark, sf_dir):
+    t = fx.transactions(spark, sf_dir)
+    return t.groupBy(c("Payment Format")).agg(F.count(F.lit(1)).cast("long").alias("count"))
+
+
+@register("describe_all")
+def q_describe_all(spark, sf_dir):
+    return eda.describe_strings(fx.transactions(spark, sf_dir).drop("row_id"))
+
+
+@register("describe_numeric")
+def q_describe_numeric(spark, sf_dir):
+    e, _ = _encoded(spark, sf_dir)
+    cols = [x for x in enc.ENCODED_COLUMNS if x != "Index"]
+    return _round(eda.describe_numeric(e, cols), ["mean", "std", "min", "max", "p25", "p50", "p75"])
+
+
+@register("null_counts")
+def q_null_counts(spark, sf_dir):
+    return eda.null_counts(fx.transactions_dirty(spark, sf_dir))
+
+
+@register("table_info")
+def q_table_info(spark, sf_dir):
+    return eda.info(fx.transactions_dirty(spark, sf_dir))
+
+
+@register("class_counts")
+def q_class_counts(spark, sf_dir):
+    t = fx.transactions(spark, sf_dir)
+    return t.groupBy(c("Is Laundering")).agg(F.count(F.lit(1)).cast("long").alias("count"))
+
+
+@register("negative_rows")
+def q_negative_rows(spark, sf_dir):
+    return eda.find_negative(fx.transactions_dirty(spark, sf_dir), AMOUNTS)
+
+
+@register("null_rows")
+def q_null_rows(spark, sf_dir):
+    return eda.find_nulls(fx.transactions_dirty(spark, sf_dir))
+
+
+@register("drop_missing")
+def q_drop_missing(spark, sf_dir):
+    return eda.clean(fx.transactions_dirty(spark, sf_dir))
+
+
+@register("quality_report")
+def q_quality_report(spark, sf_dir):
+    return eda.quality_report(fx.transactions_dirty(spark, sf_dir), AMOUNTS)
