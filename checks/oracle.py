@@ -162,6 +162,7 @@ def oracle_sql() -> dict[str, str]:
           AS line
         FROM enc""")
     eda_sql(q)
+    ml_sql(q)
     return q
 
 
@@ -244,3 +245,63 @@ def eda_sql(q: dict[str, str]) -> None:
         parts.append(f"""SELECT {_lit(x)} AS "column", count(*) FILTER (WHERE {_q(x)} IS NULL) AS n_null,
                            {neg} AS n_negative, {bad} AS n_malformed FROM transactions_dirty""")
     q["quality_report"] = with_ctes(_union(parts), dirty=True)
+
+
+# --- splits, scaling, evaluation ----------------------------------------------------------
+
+FEATURES = ["From_ID", "To_ID", "Timestamp", "Amount_Paid", "Payment_Currency", "Amount_Received",
+            "Receiving_Currency", "Payment_Format", "from_degree", "from_in_degree", "from_out_degree",
+            "from_clustering_coeff", "from_degree_centrality", "to_degree", "to_in_degree", "to_out_degree",
+            "to_clustering_coeff", "to_degree_centrality"]
+
+SCORED = ("scored", """SELECT *, CAST(CASE WHEN Amount_Received * 10 < Amount_Paid * 9.05 THEN 1 ELSE 0 END AS BIGINT)
+                         AS Is_Laundering_Prediction FROM enc""")
+CONF = ("conf", """SELECT Is_Laundering AS label, Is_Laundering_Prediction AS prediction, count(*) AS n
+                   FROM scored GROUP BY 1, 2""")
+PER_CLASS = ("pc", """SELECT cls, tp, support, npred,
+      CASE WHEN npred = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / CAST(npred AS DOUBLE) END AS precision,
+      CASE WHEN support = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / CAST(support AS DOUBLE) END AS recall
+    FROM (SELECT c.cls,
+            coalesce((SELECT sum(n) FROM conf WHERE label = c.cls AND prediction = c.cls), 0) AS tp,
+            coalesce((SELECT sum(n) FROM conf WHERE label = c.cls), 0) AS support,
+            coalesce((SELECT sum(n) FROM conf WHERE prediction = c.cls), 0) AS npred
+          FROM (SELECT label AS cls FROM conf UNION SELECT prediction FROM conf) c)""")
+PER_CLASS_F1 = ("pcf", """SELECT *, CASE WHEN precision + recall = 0 THEN 0.0
+                       ELSE 2 * precision * recall / (precision + recall) END AS f1 FROM pc""")
+
+
+def ml_sql(q: dict[str, str]) -> None:
+    q["split_random"] = with_ctes(f"""SELECT row_id,
+        CAST(row_number() OVER (ORDER BY md5(concat('42:', CAST(row_id AS VARCHAR))), row_id)
+             <= (SELECT (count(*) * 2 + 9) // 10 FROM transactions) AS INTEGER) AS is_test FROM transactions""")
+    q["split_stratified"] = with_ctes("""SELECT row_id, "Is Laundering",
+        CAST(row_number() OVER (PARTITION BY "Is Laundering" ORDER BY md5(concat('42:', CAST(row_id AS VARCHAR))), row_id)
+             <= (count(*) OVER (PARTITION BY "Is Laundering") * 2 + 9) // 10 AS INTEGER) AS is_test FROM transactions""")
+    rng = ", ".join(f"min(CAST({_q(x)} AS DOUBLE)) AS lo_{i}, max(CAST({_q(x)} AS DOUBLE)) AS hi_{i}"
+                    for i, x in enumerate(FEATURES))
+    scaled = ", ".join(f"""CASE WHEN r.hi_{i} = r.lo_{i} THEN 0.0
+        ELSE (CAST(x.{_q(x)} AS DOUBLE) - r.lo_{i}) / (r.hi_{i} - r.lo_{i}) END AS {_q(x)}"""
+                       for i, x in enumerate(FEATURES))
+    q["minmax"] = core(f'SELECT x."Index", {scaled} FROM ({ENRICH_SELECT}) x CROSS JOIN (SELECT {rng} FROM ({ENRICH_SELECT})) r',
+                       graph=True)
+    q["confusion"] = core("SELECT label, prediction, n AS count FROM conf", [SCORED, CONF])
+    r9 = "round({x}, 9)"
+    q["classification_report"] = core(f"""
+        SELECT CAST(cls AS VARCHAR) AS class, {r9.format(x='precision')} AS precision, {r9.format(x='recall')} AS recall,
+               {r9.format(x='f1')} AS f1, CAST(support AS BIGINT) AS support FROM pcf
+        UNION ALL SELECT 'accuracy', NULL, NULL,
+               round(CASE WHEN sum(support) = 0 THEN 0.0 ELSE CAST(sum(tp) AS DOUBLE) / CAST(sum(support) AS DOUBLE) END, 9),
+               CAST(sum(support) AS BIGINT) FROM pcf
+        UNION ALL SELECT 'macro avg', round(sum(precision) / count(*), 9), round(sum(recall) / count(*), 9),
+               round(sum(f1) / count(*), 9), CAST(sum(support) AS BIGINT) FROM pcf
+        UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 9),
+               round(sum(recall * support) / sum(support), 9), round(sum(f1 * support) / sum(support), 9),
+               CAST(sum(support) AS BIGINT) FROM pcf""", [SCORED, CONF, PER_CLASS, PER_CLASS_F1])
+    q["binary_metrics"] = core("""SELECT round(precision, 9) AS precision, round(recall, 9) AS recall,
+          round(f1, 9) AS f1,
+          round((SELECT CAST(sum(n) FILTER (WHERE label = prediction) AS DOUBLE) / CAST(sum(n) AS DOUBLE) FROM conf), 9)
+            AS accuracy
+        FROM pcf WHERE cls = 1""", [SCORED, CONF, PER_CLASS, PER_CLASS_F1])
+    q["score_summary"] = core("""SELECT count(*) FILTER (WHERE Is_Laundering_Prediction = 1) AS n_flagged,
+        count(*) AS n_rows FROM scored""", [SCORED])
+    q["flagged_rows"] = core("SELECT * FROM scored WHERE Is_Laundering_Prediction = 1", [SCORED])

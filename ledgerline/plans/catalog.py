@@ -227,3 +227,65 @@ def q_drop_missing(spark, sf_dir):
 @register("quality_report")
 def q_quality_report(spark, sf_dir):
     return eda.quality_report(fx.transactions_dirty(spark, sf_dir), AMOUNTS)
+
+
+# --- splits, scaling, evaluation (M1, M2, M4, A11-A15, F4) --------------------------------
+
+from ..operators import metrics as mt  # noqa: E402
+from ..operators.scale import apply_minmax, fit_minmax  # noqa: E402
+from ..operators.split import split  # noqa: E402
+
+FEATURES = [x for x in ENRICHED_COLUMNS if x not in ("Index", "Is_Laundering")]
+METRIC_DECIMALS = 9
+
+
+def rule_scored(spark, sf_dir):
+    """Encoded transfers scored by a fixed rule (received below 90.5 % of paid), so metrics
+    have an exact SQL oracle; the forest scorer is checked separately."""
+    e, _ = _encoded(spark, sf_dir)
+    return e.withColumn("Is_Laundering_Prediction",
+                        (F.col("Amount_Received") * 10 < F.col("Amount_Paid") * 9.05).cast("long"))
+
+
+@register("split_random")
+def q_split_random(spark, sf_dir):
+    return split(fx.transactions(spark, sf_dir).select("row_id"), "row_id", test=0.2, seed=42)
+
+
+@register("split_stratified")
+def q_split_stratified(spark, sf_dir):
+    t = fx.transactions(spark, sf_dir).select("row_id", c("Is Laundering"))
+    return split(t, "row_id", test=0.2, seed=42, stratify="Is Laundering")
+
+
+@register("minmax")
+def q_minmax(spark, sf_dir):
+    df = enriched_transactions(spark, sf_dir)
+    return apply_minmax(df, fit_minmax(df, FEATURES)).select("Index", *FEATURES)
+
+
+@register("confusion")
+def q_confusion(spark, sf_dir):
+    return mt.confusion(rule_scored(spark, sf_dir))
+
+
+@register("classification_report")
+def q_classification_report(spark, sf_dir):
+    r = mt.classification_report(mt.confusion(rule_scored(spark, sf_dir)))
+    return r.select("class", *[F.round(x, METRIC_DECIMALS).alias(x) for x in ["precision", "recall", "f1"]], "support")
+
+
+@register("binary_metrics")
+def q_binary_metrics(spark, sf_dir):
+    r = mt.binary_metrics(mt.confusion(rule_scored(spark, sf_dir)))
+    return r.select(*[F.round(x, METRIC_DECIMALS).alias(x) for x in r.columns])
+
+
+@register("score_summary")
+def q_score_summary(spark, sf_dir):
+    return eda.score_summary(rule_scored(spark, sf_dir))
+
+
+@register("flagged_rows")
+def q_flagged(spark, sf_dir):
+    return eda.flagged(rule_scored(spark, sf_dir))
