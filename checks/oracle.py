@@ -163,6 +163,7 @@ def oracle_sql() -> dict[str, str]:
         FROM enc""")
     eda_sql(q)
     ml_sql(q)
+    state_sql(q)
     return q
 
 
@@ -305,3 +306,35 @@ def ml_sql(q: dict[str, str]) -> None:
     q["score_summary"] = core("""SELECT count(*) FILTER (WHERE Is_Laundering_Prediction = 1) AS n_flagged,
         count(*) AS n_rows FROM scored""", [SCORED])
     q["flagged_rows"] = core("SELECT * FROM scored WHERE Is_Laundering_Prediction = 1", [SCORED])
+
+
+# --- label encoding, graph merge, run state -------------------------------------------------
+
+LABEL_ENCODED = ["Account", "Account.1", "Receiving Currency", "Payment Currency", "Payment Format"]
+BATCH_OF = f"CASE WHEN t.row_id < {CUT} THEN 0 ELSE 1 END"
+INDEX_OF = f"t.row_id - CASE WHEN t.row_id < {CUT} THEN 0 ELSE {CUT} END"
+
+
+def state_sql(q: dict[str, str]) -> None:
+    cols = []
+    for x in ["row_id", "From Bank", "Account", "To Bank", "Account.1", "Amount Received", "Receiving Currency",
+              "Amount Paid", "Payment Currency", "Payment Format", "Is Laundering"]:
+        if x in LABEL_ENCODED:
+            cols.append(f"CAST(dense_rank() OVER (ORDER BY {_q(x)}) - 1 AS BIGINT) AS {_q(x)}")
+        else:
+            cols.append(_q(x))
+    q["label_encode"] = with_ctes(f"SELECT {', '.join(cols)} FROM transactions")
+    enc2 = ("enc2", enc_cte(index=INDEX_OF, batch=BATCH_OF))
+    q["graph_merge"] = core("""SELECT From_ID AS src, To_ID AS dst,
+        arg_max("Timestamp", batch_id * 1000000000 + "Index") AS "timestamp",
+        arg_max(Amount_Paid, batch_id * 1000000000 + "Index") AS amount_sent,
+        arg_max(Amount_Received, batch_id * 1000000000 + "Index") AS amount_received,
+        arg_max(Receiving_Currency, batch_id * 1000000000 + "Index") AS received_currency,
+        arg_max(Payment_Format, batch_id * 1000000000 + "Index") AS payment_format,
+        arg_max(batch_id, batch_id * 1000000000 + "Index") AS batch_id,
+        arg_max("Index", batch_id * 1000000000 + "Index") AS "Index"
+        FROM enc2 GROUP BY From_ID, To_ID""", [enc2])
+    q["state_roundtrip"] = core(f"SELECT value, code, {ANCHOR} AS anchor FROM acct")
+    q["state_update"] = core("""SELECT 'currency' AS domain, value, code FROM cur
+        UNION ALL SELECT 'payment_format', value, code FROM fmt
+        UNION ALL SELECT 'account', value, code FROM acct""")

@@ -289,3 +289,44 @@ def q_score_summary(spark, sf_dir):
 @register("flagged_rows")
 def q_flagged(spark, sf_dir):
     return eda.flagged(rule_scored(spark, sf_dir))
+
+
+# --- label encoding, graph merge, run state (M3, G3, U4, S4, S6, K1, T2) -------------------
+
+from ..session import scratch_path  # noqa: E402
+from ..sources import state as stt  # noqa: E402
+from ..streaming.state_update import update_state  # noqa: E402
+
+LABEL_ENCODED = ["Account", "Account.1", "Receiving Currency", "Payment Currency", "Payment Format"]
+
+
+@register("label_encode")
+def q_label_encode(spark, sf_dir):
+    t = fx.transactions(spark, sf_dir).drop("Timestamp")
+    return enc.label_encode(t, LABEL_ENCODED)
+
+
+@register("graph_merge")
+def q_graph_merge(spark, sf_dir):
+    e1, _, e2, _ = _two_batches(spark, sf_dir)
+    return g.merge_edges(g.build_edges(e1), g.build_edges(e2))
+
+
+@register("state_roundtrip")
+def q_state_roundtrip(spark, sf_dir):
+    e, st = _encoded(spark, sf_dir)
+    st.edges = g.build_edges(e)
+    loaded = stt.save_state(spark, st, scratch_path(spark, "state"))
+    return loaded.dims["account"].withColumn("anchor", F.lit(loaded.anchor).cast("long"))
+
+
+@register("state_update")
+def q_state_update(spark, sf_dir):
+    """Two batches through the state store, the second replayed: final dictionaries."""
+    t, n = fx.transactions_n(spark, sf_dir)
+    train, score, cut, n = fx.batches(t, n)
+    sdir = scratch_path(spark, "state")
+    update_state(spark, train, sdir, 0)
+    update_state(spark, score, sdir, 1)
+    _, final = update_state(spark, score, sdir, 1)  # replay: no-op
+    return stt.dims_table(final)
