@@ -164,6 +164,7 @@ def oracle_sql() -> dict[str, str]:
     eda_sql(q)
     ml_sql(q)
     state_sql(q)
+    io_sql(q)
     return q
 
 
@@ -338,3 +339,30 @@ def state_sql(q: dict[str, str]) -> None:
     q["state_update"] = core("""SELECT 'currency' AS domain, value, code FROM cur
         UNION ALL SELECT 'payment_format', value, code FROM fmt
         UNION ALL SELECT 'account', value, code FROM acct""")
+
+
+# --- sources and sinks -----------------------------------------------------------------------
+
+def io_sql(q: dict[str, str]) -> None:
+    q["read_typed"] = with_ctes(f"""SELECT row_id, CAST(epoch({_ts('"Timestamp"')}) AS BIGINT) AS "Timestamp",
+        CAST("From Bank" AS INTEGER) AS "From Bank", "Account", CAST("To Bank" AS INTEGER) AS "To Bank", "Account.1",
+        CAST("Amount Received" AS DOUBLE) AS "Amount Received", "Receiving Currency",
+        CAST("Amount Paid" AS DOUBLE) AS "Amount Paid", "Payment Currency", "Payment Format",
+        CAST("Is Laundering" AS INTEGER) AS "Is Laundering" FROM transactions""")
+    q["read_strings"] = with_ctes("SELECT * FROM transactions_dirty", dirty=True)
+    q["snapshot_roundtrip"] = core("SELECT * FROM scored", [SCORED])
+    q["json_records"] = core(
+        'SELECT "Node", degree, in_degree, out_degree, clustering_coefficient, degree_centrality FROM feat',
+        graph=True)
+    q["csv_export"] = core("SELECT * FROM scored WHERE Is_Laundering_Prediction = 1", [SCORED])
+    q["append_training"] = core(ENCODED_SELECT + ", batch_id FROM enc2",
+                                [("enc2", enc_cte(index=INDEX_OF, batch=BATCH_OF))])
+    hh = "lpad(CAST((o_orderkey % 86400) // 3600 AS VARCHAR), 2, '0') || lpad(CAST((o_orderkey % 3600) // 60 AS VARCHAR), 2, '0') || lpad(CAST(o_orderkey % 60 AS VARCHAR), 2, '0')"
+    q["latest_model"] = f"""WITH l AS (
+        SELECT o_custkey AS registry, strftime(o_orderdate, '%Y%m%d') || '_' || {hh} AS version,
+               '/registry/' || CAST(o_custkey AS VARCHAR) || '/model_' || strftime(o_orderdate, '%Y%m%d') || '_' || {hh} AS path
+        FROM orders)
+      SELECT registry, arg_max(path, version) AS latest_path, max(version) AS version FROM l GROUP BY registry"""
+    q["stream_score"] = core("""SELECT "Index" AS row_id, From_ID, To_ID, "Timestamp", Amount_Paid, Payment_Currency,
+        Amount_Received, Receiving_Currency, Payment_Format, Is_Laundering, Is_Laundering_Prediction
+        FROM scored WHERE Is_Laundering_Prediction = 1""", [SCORED])

@@ -147,7 +147,8 @@ def lookup(df: DataFrame, dim: DataFrame, key: Column, out: str, dim_rows: int |
 
 def encode_transactions(raw: DataFrame, state: State | None = None, batch_id: int | None = None,
                         order_by: str = "row_id", on_error: str = "failfast", delimiter: str = "",
-                        anchor: str = "first_row", index_offset: int | None = None, n_rows: int | None = None):
+                        anchor: str = "first_row", index_offset: int | None = None, n_rows: int | None = None,
+                        keep: list[str] | None = None):
     """Encode one batch of raw transfers.
 
     Returns ``(encoded, new_state)`` or, with ``on_error='quarantine'``,
@@ -204,6 +205,7 @@ def encode_transactions(raw: DataFrame, state: State | None = None, batch_id: in
         received.alias("Amount_Received"), F.col("Receiving_Currency"),
         F.col("Payment_Format"), label.alias("Is_Laundering"),
         F.lit(bid).cast("long").alias("batch_id"),
+        *[c(k) for k in (keep or [])],
         *check,
     )
     if check:

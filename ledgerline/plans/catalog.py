@@ -330,3 +330,97 @@ def q_state_update(spark, sf_dir):
     update_state(spark, score, sdir, 1)
     _, final = update_state(spark, score, sdir, 1)  # replay: no-op
     return stt.dims_table(final)
+
+
+# --- sources and sinks (S1-S3, S5, S7, S8, K2-K5, T1, T3) ----------------------------------
+
+from ..sinks import writers as wr  # noqa: E402
+from ..sources import readers as rd  # noqa: E402
+from ..sources.registry import latest_model  # noqa: E402
+from ..streaming.score_stream import stream_score  # noqa: E402
+
+ENCODED_TYPES = ("Index long, From_ID long, To_ID long, Timestamp double, Amount_Paid double, "
+                 "Payment_Currency long, Amount_Received double, Receiving_Currency long, Payment_Format long, "
+                 "Is_Laundering long, batch_id long, Is_Laundering_Prediction long")
+
+
+def _rule(df):
+    return df.withColumn("Is_Laundering_Prediction",
+                         (F.col("Amount_Received") * 10 < F.col("Amount_Paid") * 9.05).cast("long"))
+
+
+@register("read_typed")
+def q_read_typed(spark, sf_dir):
+    p = scratch_path(spark, "csv")
+    wr.write_csv(fx.transactions(spark, sf_dir), p)
+    t = rd.read_transactions(spark, p, typed=True, with_row_id=True)
+    return t.withColumn("Timestamp", epoch_seconds(F.col("Timestamp")))
+
+
+@register("read_strings")
+def q_read_strings(spark, sf_dir):
+    p = scratch_path(spark, "csv")
+    wr.write_csv(fx.transactions_dirty(spark, sf_dir), p)
+    return rd.read_transactions(spark, p, typed=False, with_row_id=True)
+
+
+@register("snapshot_roundtrip")
+def q_snapshot(spark, sf_dir):
+    p = scratch_path(spark, "predictions")
+    wr.write_predictions(rule_scored(spark, sf_dir), p)
+    return rd.read_snapshot(spark, p)
+
+
+@register("json_records")
+def q_json_records(spark, sf_dir):
+    feats = _features(spark, sf_dir)
+    text = wr.to_records(feats).select(F.translate("record", '"', "'").alias("record"))
+    return rd.parse_records(text, "record", feats.schema, single_quotes=True)
+
+
+@register("csv_export")
+def q_csv_export(spark, sf_dir):
+    p = scratch_path(spark, "flagged-csv")
+    wr.write_csv(eda.flagged(rule_scored(spark, sf_dir)), p)
+    return spark.read.schema(ENCODED_TYPES).option("header", True).csv(p)
+
+
+@register("append_training")
+def q_append_training(spark, sf_dir):
+    e1, _, e2, _ = _two_batches(spark, sf_dir)
+    p = scratch_path(spark, "training")
+    wr.append_training(e1, p)
+    wr.append_training(e2, p)
+    wr.append_training(e2, p)  # replayed batch: its partition is replaced, not duplicated
+    return spark.read.parquet(p).withColumn("batch_id", F.col("batch_id").cast("long"))
+
+
+@register("latest_model")
+def q_latest_model(spark, sf_dir):
+    """One registry per customer, one saved-model folder per order (version from its date and key)."""
+    o = fx.table(spark, sf_dir, "orders")
+    s = F.col("o_orderkey") % 86400
+    hhmmss = F.concat(F.lpad((s / 3600).cast("int").cast("string"), 2, "0"),
+                      F.lpad(((s % 3600) / 60).cast("int").cast("string"), 2, "0"),
+                      F.lpad((s % 60).cast("string"), 2, "0"))
+    listing = o.select(F.col("o_custkey").alias("registry"), F.concat(
+        F.lit("/registry/"), F.col("o_custkey").cast("string"), F.lit("/model_"),
+        F.date_format("o_orderdate", "yyyyMMdd"), F.lit("_"), hhmmss).alias("path"))
+    return latest_model(listing, "path", by=["registry"])
+
+
+@register("stream_score")
+def q_stream_score(spark, sf_dir):
+    """Four arrivals of files scored in order by the stream, state carried between them."""
+    t, n = fx.transactions_n(spark, sf_dir)
+    root = scratch_path(spark, "landing")
+    k = 4
+    for i in range(k):
+        part = t.where((F.col("row_id") >= i * n // k) & (F.col("row_id") < (i + 1) * n // k))
+        wr.write_csv(part, f"{root}/arrival-{i}")
+    state_dir, out_dir, flag_dir = (scratch_path(spark, x) for x in ("stream-state", "scored", "flagged"))
+    for i in range(k):
+        stream_score(spark, f"{root}/arrival-{i}", state_dir, out_dir, _rule, flagged_dir=flag_dir,
+                     batch_base=i * 1_000_000, keep=["row_id"])
+    cols = ["row_id"] + [x for x in enc.ENCODED_COLUMNS if x != "Index"] + ["Is_Laundering_Prediction"]
+    return spark.read.parquet(flag_dir).select(*cols)
