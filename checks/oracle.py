@@ -165,6 +165,7 @@ def oracle_sql() -> dict[str, str]:
     ml_sql(q)
     state_sql(q)
     io_sql(q)
+    quality_sql(q)
     return q
 
 
@@ -366,3 +367,116 @@ def io_sql(q: dict[str, str]) -> None:
     q["stream_score"] = core("""SELECT "Index" AS row_id, From_ID, To_ID, "Timestamp", Amount_Paid, Payment_Currency,
         Amount_Received, Receiving_Currency, Payment_Format, Is_Laundering, Is_Laundering_Prediction
         FROM scored WHERE Is_Laundering_Prediction = 1""", [SCORED])
+
+
+# --- data validation ---------------------------------------------------------------------------
+
+NUMERIC_T = {"Timestamp": "INT", "From Bank": "INT", "To Bank": "INT", "Amount Received": "FLOAT",
+             "Amount Paid": "FLOAT", "Is Laundering": "INT"}
+TEXT_T = ["Account", "Account.1", "Receiving Currency", "Payment Currency", "Payment Format"]
+TYPED_COLS = {"Timestamp": f"CAST(epoch(try_strptime(\"Timestamp\", '%Y/%m/%d %H:%M')) AS BIGINT)",
+              "From Bank": 'TRY_CAST("From Bank" AS INTEGER)', "To Bank": 'TRY_CAST("To Bank" AS INTEGER)',
+              "Amount Received": 'TRY_CAST("Amount Received" AS DOUBLE)',
+              "Amount Paid": 'TRY_CAST("Amount Paid" AS DOUBLE)',
+              "Is Laundering": 'TRY_CAST("Is Laundering" AS INTEGER)'}
+
+
+def typed(src: str) -> str:
+    cols = ", ".join(f"{TYPED_COLS[x]} AS {_q(x)}" if x in TYPED_COLS else _q(x) for x in RAW)
+    return f"SELECT {cols} FROM {src}"
+
+
+def profile_sql(src: str, numeric: list[str], text: list[str]) -> str:
+    parts = []
+    for x in numeric:
+        v = f"CAST({_q(x)} AS DOUBLE)"
+        stats = {"count": f"count({v})", "missing": f"count(*) FILTER (WHERE {v} IS NULL)",
+                 "mean": f"round(avg({v}), 6)", "std_dev": f"round(stddev_pop({v}), 6)",
+                 "num_zeros": f"count(*) FILTER (WHERE {v} = 0)", "min": f"min({v})",
+                 "median": f"round(quantile_cont({v}, 0.5), 6)", "max": f"max({v})"}
+        for s, e in stats.items():
+            parts.append(f"SELECT {_lit(x)} AS feature, {_lit(s)} AS stat, CAST({e} AS DOUBLE) AS num_value, "
+                         f"CAST(NULL AS VARCHAR) AS str_value FROM {src}")
+    for x in text:
+        vc = f"(SELECT {_q(x)} AS v, count(*) AS n FROM {src} GROUP BY 1)"
+        stats = {"count": "sum(n) FILTER (WHERE v IS NOT NULL)", "missing": "coalesce(sum(n) FILTER (WHERE v IS NULL), 0)",
+                 "unique": "count(v)", "top_freq": "max(n) FILTER (WHERE v IS NOT NULL)",
+                 "avg_length": "round(sum(length(v) * n) / sum(n) FILTER (WHERE v IS NOT NULL), 6)"}
+        for s, e in stats.items():
+            parts.append(f"SELECT {_lit(x)} AS feature, {_lit(s)} AS stat, CAST({e} AS DOUBLE) AS num_value, "
+                         f"CAST(NULL AS VARCHAR) AS str_value FROM {vc}")
+        parts.append(f"SELECT {_lit(x)} AS feature, 'top_value' AS stat, CAST(NULL AS DOUBLE) AS num_value, "
+                     f"first(v ORDER BY n DESC, v ASC) FILTER (WHERE v IS NOT NULL) AS str_value FROM {vc}")
+    return _union(parts)
+
+
+def hist_sql(src: str, numeric: list[str], ranges: str | None = None) -> str:
+    parts = []
+    for x in numeric:
+        v = f"CAST({_q(x)} AS DOUBLE)"
+        rng = ranges.format(f=_lit(x)) if ranges else f"(SELECT min({v}) AS lo, max({v}) AS hi FROM {src})"
+        parts.append(f"""SELECT {_lit(x)} AS feature, CAST(CASE WHEN r.hi = r.lo THEN 0
+              ELSE least(floor(({v} - r.lo) / (r.hi - r.lo) * 10), 9) END AS INTEGER) AS bucket, count(*) AS count
+            FROM {src} CROSS JOIN {rng} r WHERE {v} IS NOT NULL GROUP BY 2""")
+    return _union(parts)
+
+
+def quality_sql(q: dict[str, str]) -> None:
+    num = list(NUMERIC_T)
+    tv = ("tv", typed("transactions"))
+    trv = ("trv", typed(f"(SELECT * FROM transactions WHERE row_id < {CUT})"))
+    nwv = ("nwv", typed(f"(SELECT * FROM transactions WHERE row_id >= {CUT})"))
+    dnv = ("dnv", typed(f"(SELECT * FROM transactions_dirty WHERE row_id >= {CUT})"))
+    q["profile_stats"] = with_ctes(profile_sql("tv", num, TEXT_T), tv)
+    q["profile_slice"] = with_ctes(profile_sql("tv", [], ["Payment Currency", "Receiving Currency"]), tv)
+    q["histograms"] = with_ctes(hist_sql("tv", num), tv)
+    trs = ("trs", profile_sql("trv", num, TEXT_T))
+    exp_body = """SELECT feature,
+          CASE feature {types} END AS type,
+          max(num_value) FILTER (WHERE stat = 'missing') = 0 AS required,
+          max(num_value) FILTER (WHERE stat = 'min') AS min, max(num_value) FILTER (WHERE stat = 'max') AS max,
+          CAST(CASE WHEN max(num_value) FILTER (WHERE stat = 'unique') <= 50
+               THEN max(num_value) FILTER (WHERE stat = 'unique') END AS BIGINT) AS domain_size
+        FROM trs GROUP BY feature""".format(types=" ".join(
+        f"WHEN {_lit(k)} THEN {_lit(v)}" for k, v in {**NUMERIC_T, **{t: "BYTES" for t in TEXT_T}}.items()))
+    q["schema_inferred"] = with_ctes(exp_body, trv, trs)
+    exp = ("exp", exp_body)
+    parts = []
+    for x in num + TEXT_T:
+        parts.append(f"""SELECT {_lit(x)} AS feature, 'missing_values' AS anomaly, CAST(NULL AS VARCHAR) AS value,
+              count(*) AS count FROM dnv WHERE {_q(x)} IS NULL
+              AND (SELECT required FROM exp WHERE feature = {_lit(x)}) HAVING count(*) > 0""")
+    for x in num:
+        v = f"CAST({_q(x)} AS DOUBLE)"
+        parts.append(f"""SELECT {_lit(x)}, 'below_min', CAST(NULL AS VARCHAR), count(*) FROM dnv
+              WHERE {v} < (SELECT min FROM exp WHERE feature = {_lit(x)}) HAVING count(*) > 0""")
+        parts.append(f"""SELECT {_lit(x)}, 'above_max', CAST(NULL AS VARCHAR), count(*) FROM dnv
+              WHERE {v} > (SELECT max FROM exp WHERE feature = {_lit(x)}) HAVING count(*) > 0""")
+    for x in TEXT_T:
+        parts.append(f"""SELECT {_lit(x)}, 'unexpected_value', {_q(x)}, count(*) FROM dnv
+              WHERE {_q(x)} IS NOT NULL AND (SELECT domain_size FROM exp WHERE feature = {_lit(x)}) IS NOT NULL
+              AND {_q(x)} NOT IN (SELECT {_q(x)} FROM trv WHERE {_q(x)} IS NOT NULL) GROUP BY {_q(x)}""")
+    q["anomalies"] = with_ctes(_union(parts), trv, dnv, trs, exp, dirty=True)
+    nws = ("nws", profile_sql("nwv", num, TEXT_T))
+    q["compare_profiles"] = with_ctes("""SELECT coalesce(a.feature, b.feature) AS feature, coalesce(a.stat, b.stat) AS stat,
+          a.num_value AS lhs_num, a.str_value AS lhs_str, b.num_value AS rhs_num, b.str_value AS rhs_str
+        FROM trs a FULL OUTER JOIN nws b ON a.feature = b.feature AND a.stat = b.stat""", trv, nwv, trs, nws)
+    parts = []
+    for x in TEXT_T:
+        parts.append(f"""SELECT {_lit(x)} AS feature, 'linf' AS metric, round(max(abs(coalesce(p, 0) - coalesce(qq, 0))), 9) AS value
+            FROM (SELECT {_q(x)} AS v, count(*) / sum(count(*)) OVER () AS p FROM trv WHERE {_q(x)} IS NOT NULL GROUP BY 1) a
+            FULL OUTER JOIN (SELECT {_q(x)} AS v, count(*) / sum(count(*)) OVER () AS qq FROM nwv WHERE {_q(x)} IS NOT NULL GROUP BY 1) b
+            USING (v)""")
+    for x in num:
+        v = f"CAST({_q(x)} AS DOUBLE)"
+        rng = f"(SELECT min(x) AS lo, max(x) AS hi FROM (SELECT {v} AS x FROM trv UNION ALL SELECT {v} FROM nwv))"
+        hb = """(SELECT CASE WHEN r.hi = r.lo THEN 0 ELSE least(floor(({v} - r.lo) / (r.hi - r.lo) * 10), 9) END AS b,
+                   count(*) AS n FROM {src} CROSS JOIN {rng} r WHERE {v} IS NOT NULL GROUP BY 1)"""
+        ha, hbb = hb.format(v=v, src="trv", rng=rng), hb.format(v=v, src="nwv", rng=rng)
+        parts.append(f"""SELECT {_lit(x)} AS feature, 'js_divergence' AS metric, round(sum(
+              (CASE WHEN p > 0 THEN p * log2(p / ((p + qq) / 2)) ELSE 0 END
+             + CASE WHEN qq > 0 THEN qq * log2(qq / ((p + qq) / 2)) ELSE 0 END) / 2), 9) AS value
+            FROM (SELECT coalesce(a.n, 0) / sum(coalesce(a.n, 0)) OVER () AS p,
+                         coalesce(c.n, 0) / sum(coalesce(c.n, 0)) OVER () AS qq
+                  FROM {ha} a FULL OUTER JOIN {hbb} c USING (b))""")
+    q["drift"] = with_ctes(_union(parts), trv, nwv)

@@ -424,3 +424,68 @@ def q_stream_score(spark, sf_dir):
                      batch_base=i * 1_000_000, keep=["row_id"])
     cols = ["row_id"] + [x for x in enc.ENCODED_COLUMNS if x != "Index"] + ["Is_Laundering_Prediction"]
     return spark.read.parquet(flag_dir).select(*cols)
+
+
+# --- data validation (Q1-Q6, K7) ------------------------------------------------------------
+
+from ..operators import quality as qa  # noqa: E402
+
+
+def typed_view(raw):
+    """Typed transfers for profiling: numbers as numbers, the timestamp as epoch seconds."""
+    t = rd.cast_typed(raw)
+    return t.withColumn("Timestamp", epoch_seconds(F.col("Timestamp"))).drop("row_id")
+
+
+def _train_new(spark, sf_dir, dirty_new=False):
+    t, n = fx.transactions_n(spark, sf_dir)
+    train, score, cut, n = fx.batches(t, n)
+    if dirty_new:
+        score = fx.dirty(t).where(F.col("row_id") >= cut)
+    return typed_view(train), typed_view(score)
+
+
+@register("profile_stats")
+def q_profile_stats(spark, sf_dir):
+    stats = qa.profile(typed_view(fx.transactions(spark, sf_dir)))
+    p = scratch_path(spark, "profile")
+    stats.write.parquet(p)  # K7: statistics are kept as a table
+    return spark.read.parquet(p)
+
+
+@register("profile_slice")
+def q_profile_slice(spark, sf_dir):
+    t = typed_view(fx.transactions(spark, sf_dir)).select(c("Payment Currency"), c("Receiving Currency"))
+    return qa.profile(t)
+
+
+@register("histograms")
+def q_histograms(spark, sf_dir):
+    t = typed_view(fx.transactions(spark, sf_dir))
+    num, _ = qa.split_features(t)
+    return qa.histogram(t, num)
+
+
+@register("schema_inferred")
+def q_schema_inferred(spark, sf_dir):
+    train, _ = _train_new(spark, sf_dir)
+    return qa.infer_expectations(qa.profile(train), train)
+
+
+@register("anomalies")
+def q_anomalies(spark, sf_dir):
+    train, new = _train_new(spark, sf_dir, dirty_new=True)
+    exp = qa.infer_expectations(qa.profile(train), train)
+    return qa.validate(new, exp, qa.domains(train, exp))
+
+
+@register("compare_profiles")
+def q_compare_profiles(spark, sf_dir):
+    train, new = _train_new(spark, sf_dir)
+    return qa.compare_profiles(qa.profile(train), qa.profile(new))
+
+
+@register("drift")
+def q_drift(spark, sf_dir):
+    train, new = _train_new(spark, sf_dir)
+    return qa.drift(train, new)
