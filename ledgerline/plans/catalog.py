@@ -17,7 +17,8 @@ from ..operators import graph as g
 from ..operators.enrich import edge_list_lines
 from ..operators.rank import head_rows
 from ..sources import fixtures as fx
-from .pipeline import ENRICHED_COLUMNS, enriched_transactions
+from ..session import freeze
+from .pipeline import ENRICHED_COLUMNS, enrich_all, enriched_transactions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -489,3 +490,31 @@ def q_compare_profiles(spark, sf_dir):
 def q_drift(spark, sf_dir):
     train, new = _train_new(spark, sf_dir)
     return qa.drift(train, new)
+
+
+# --- model (M5, M7-M10, K6, S7) -------------------------------------------------------------
+
+from ..operators.resample import oversample_latent  # noqa: E402
+from .jobs import load_latest, train_job  # noqa: E402
+
+
+@register("forest_score")
+def q_forest_score(spark, sf_dir):
+    """Train on the first 20 % of transfers in time order, save, reload the newest model,
+    score the rest (rows-only check: a forest has no SQL oracle)."""
+    t, n = fx.transactions_n(spark, sf_dir)
+    df = freeze(enrich_all(t, n), "enriched")
+    cut = fx.train_cut(n)
+    train, test = df.where(F.col("Index") < cut), df.where(F.col("Index") >= cut)
+    registry = scratch_path(spark, "registry")
+    train_job(train, test, FEATURES, registry=registry)
+    scorer = load_latest(spark, registry)
+    return scorer.score(test).select("Index", "Is_Laundering", "Is_Laundering_Prediction")
+
+
+@register("latent_oversample")
+def q_latent_oversample(spark, sf_dir):
+    """One synthetic row per positive transfer, features in [0, 1] (rows-only + range check)."""
+    df = freeze(enriched_transactions(spark, sf_dir), "enriched")
+    scaled = apply_minmax(df, fit_minmax(df, FEATURES))
+    return oversample_latent(scaled, FEATURES, key="Index")
