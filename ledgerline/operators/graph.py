@@ -26,6 +26,8 @@ from ..session import freeze
 
 # Edge attribute names (payment currency is not kept on edges).
 EDGE_ATTRS = ["timestamp", "amount_sent", "amount_received", "received_currency", "payment_format"]
+# Largest oriented edge table broadcast to close wedges (about 24 bytes a row, so ~100 MB).
+MAX_BROADCAST_EDGES = 4_000_000
 FEATURE_COLUMNS = ["Node", "degree", "in_degree", "out_degree", "clustering_coefficient", "degree_centrality"]
 
 EDGE_SCHEMA = T.StructType([
@@ -122,11 +124,18 @@ def triangle_weights(pair_table: DataFrame, stats: DataFrame) -> DataFrame:
         F.when(u_first, F.col("dv")).otherwise(F.col("du")).alias("hd"),
         F.col("w"),
     )
+    # The oriented table is read three times: write it once. Its row count (from the
+    # written files) decides whether the closing-edge lookup can be broadcast, so the
+    # wedges (the largest intermediate) are probed in place instead of shuffled.
+    o = freeze(o, "oriented")
+    n_oriented = o.count()
     o1 = o.select(F.col("lo").alias("a"), F.col("hi").alias("b"), F.col("hd").alias("bd"), F.col("w").alias("w1"))
     o2 = o.select(F.col("lo").alias("a"), F.col("hi").alias("c"), F.col("hd").alias("cd"), F.col("w").alias("w2"))
     wedges = o1.join(o2, "a").where(
         (F.col("bd") < F.col("cd")) | ((F.col("bd") == F.col("cd")) & (F.col("b") < F.col("c"))))
     close = o.select(F.col("lo").alias("b"), F.col("hi").alias("c"), F.col("w").alias("w3"))
+    if n_oriented <= MAX_BROADCAST_EDGES:
+        close = F.broadcast(close)
     tri = wedges.join(close, ["b", "c"]).select(
         "a", "b", "c", (F.col("w1") * F.col("w2") * F.col("w3")).cast("long").alias("p"))
     corners = tri.select(F.inline(F.array(

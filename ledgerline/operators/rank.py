@@ -36,13 +36,15 @@ def _cols(order_by) -> list[Column]:
 
 
 def with_row_index(df: DataFrame, order_by, name: str = "row_id", num_partitions: int | None = None,
-                   start: int = 0, return_count: bool = False):
+                   start: int = 0, return_count: bool = False, post=None):
     """Add a dense 0-based (or ``start``-based) long index following ``order_by``.
 
     ``order_by`` must be a total order (ties get an arbitrary but consistent order).
     The range-partitioned rows are written once, with their partition id and position, to
     a table in the shared checkpoint folder; the index is computed from that table only,
-    so re-running any task later cannot change it.
+    so re-running any task later cannot change it. ``post`` (a ``DataFrame -> DataFrame``
+    projection that keeps the ``_ll_pid``/``_ll_pos`` columns) runs inside the parallel
+    write stage, e.g. to build derived columns once instead of in every consumer.
     """
     spark = df.sparkSession
     cols = _cols(order_by)
@@ -51,6 +53,8 @@ def with_row_index(df: DataFrame, order_by, name: str = "row_id", num_partitions
     pid = F.spark_partition_id().cast("long")
     tagged = ranged.withColumn("_ll_pid", pid).withColumn(
         "_ll_pos", F.monotonically_increasing_id() - F.shiftleft(pid, 33))
+    if post is not None:
+        tagged = post(tagged)
     path = scratch_path(spark, "row-index")
     tagged.write.mode("errorifexists").parquet(path)
     frozen = spark.read.parquet(path)

@@ -53,20 +53,53 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transactions_n(spark, sf_dir)[0]
 
 
+_MEMO: dict[tuple[str, str], tuple[DataFrame, int, str]] = {}
+
+
 def transactions_n(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
-    """(transactions, number of rows); the count comes free with the row index."""
+    """(transactions, number of rows); the count comes free with the row index.
+
+    The table stands in for the raw input file, so it is built once per Spark application
+    and scale factor and then read from its written copy in the shared checkpoint folder.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key in _MEMO:
+        df, n, path = _MEMO[key]
+        if _exists(spark, path):
+            return df, n
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    joined = (li.join(o, li.l_orderkey == o.o_orderkey)
-                .join(c, F.col("o_custkey") == c.c_custkey)
-                .join(s, F.col("l_suppkey") == s.s_suppkey))
-    # Only the narrow source columns cross the range exchange; the text columns are
-    # built after it, in parallel, from the frozen table.
-    src = joined.select(*ORDER_COLUMNS, "o_custkey", "o_orderpriority", "c_nationkey", "s_nationkey")
-    indexed, n = with_row_index(src, ORDER_COLUMNS, name="row_id", return_count=True)
-    return indexed.select("row_id", *[F.expr(e).alias(k) for k, e in RAW_EXPRS.items()]), n
+    # Only what the order needs is joined before the range exchange; customer and supplier
+    # are joined after it, and the text columns built, in the parallel write stage.
+    src = li.join(o, li.l_orderkey == o.o_orderkey).select(*ORDER_COLUMNS, "o_custkey", "o_orderpriority")
+
+    def text(d: DataFrame) -> DataFrame:
+        d = d.join(c, F.col("o_custkey") == c.c_custkey).join(s, F.col("l_suppkey") == s.s_suppkey)
+        return d.select("_ll_pid", "_ll_pos", *[F.expr(e).alias(k) for k, e in RAW_EXPRS.items()])
+
+    indexed, n = with_row_index(src, ORDER_COLUMNS, name="row_id", return_count=True, post=text)
+    out = _select_raw(indexed)
+    path = _source_path(indexed)
+    if path:
+        _MEMO[key] = (out, n, path)
+    return out, n
+
+
+def _select_raw(df: DataFrame) -> DataFrame:
+    return df.select("row_id", *[F.col(f"`{c}`") for c in RAW_COLUMNS])
+
+
+def _source_path(df: DataFrame) -> str | None:
+    files = df.inputFiles()
+    return files[0].rsplit("/", 1)[0] if files else None
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def dirty(df: DataFrame) -> DataFrame:
