@@ -11,12 +11,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import c, concat_key, epoch_seconds, midnight, parse_double, parse_long, parse_ts
 from ..session import freeze
-from .rank import rank_unique, with_row_index
+from .rank import MAX_BROADCAST_BUCKETS, rank_unique, with_row_index
 
 # Encoded column layout.
 ENCODED_COLUMNS = [
@@ -122,17 +122,43 @@ def add_index(raw: DataFrame, order_by: str = "row_id", offset: int | None = Non
     return rank_unique(raw, order_by, name="Index", bounds=(lo, hi)), n
 
 
-def materialize(frames: dict[str, DataFrame], name: str = "dims") -> tuple[dict[str, DataFrame], dict[str, int]]:
-    """Write several (value, code) tables as one partitioned table in one job, read them back
-    and count them in one more job. Returns (frozen frames, row counts)."""
-    tagged = None
-    for k, df in frames.items():
-        t = df.select("value", "code", F.lit(k).alias("domain"))
-        tagged = t if tagged is None else tagged.unionByName(t)
-    table = freeze(tagged, name, partition_by=["domain"])
-    counts = dict(table.groupBy("domain").count().collect())
-    out = {k: table.where(F.col("domain") == k).select("value", "code") for k in frames}
-    return out, {k: int(counts.get(k, 0)) for k in frames}
+def all_first_seen_codes(occ: DataFrame, state: State, existing_max: dict, pos_range: int,
+                         bucket_width: int = 1 << 20) -> DataFrame:
+    """(domain, value, code) for every domain at once; unseen values get codes after the
+    saved dictionary's largest code (R6). Ranking uses fixed-width position buckets per
+    domain, so no task holds more than ``bucket_width`` values."""
+    first = occ.where(F.col("value").isNotNull()).groupBy("domain", "value").agg(F.min("pos").alias("first_pos"))
+    saved = None
+    if state.dims:
+        for k, df in state.dims.items():
+            t = df.select(F.lit(k).alias("domain"), "value", "code")
+            saved = t if saved is None else saved.unionByName(t)
+        first = first.join(saved.select("domain", "value"), ["domain", "value"], "left_anti")
+    bucket = F.floor(F.col("first_pos") / F.lit(bucket_width)).cast("long")
+    b = first.withColumn("_ll_b", bucket)
+    pos = b.withColumn("_ll_r", F.row_number().over(
+        Window.partitionBy("domain", "_ll_b").orderBy("first_pos")).cast("long"))
+    sizes = b.groupBy("domain", "_ll_b").agg(F.count(F.lit(1)).alias("_ll_n"))
+    base = F.create_map(*[x for k in DOMAINS for x in (F.lit(k), F.lit(
+        0 if existing_max.get(k) is None else int(existing_max[k]) + 1).cast("long"))])
+    offs = sizes.withColumn("_ll_off", F.coalesce(F.sum("_ll_n").over(
+        Window.partitionBy("domain").orderBy("_ll_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        + base[F.col("domain")]).drop("_ll_n")
+    n_buckets = len(DOMAINS) * (pos_range // bucket_width + 1)
+    if n_buckets <= MAX_BROADCAST_BUCKETS:
+        offs = F.broadcast(offs)
+    coded = pos.join(offs, ["domain", "_ll_b"]).select(
+        "domain", "value", (F.col("_ll_off") + F.col("_ll_r") - 1).cast("long").alias("code"))
+    return coded if saved is None else saved.unionByName(coded)
+
+
+def materialize(table: DataFrame, name: str = "dims") -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """Write the (domain, value, code) table partitioned by domain in one job, read it back
+    and count every domain in one more job. Returns (per-domain frames, row counts)."""
+    frozen = freeze(table, name, partition_by=["domain"])
+    counts = dict(frozen.groupBy("domain").count().collect())
+    out = {k: frozen.where(F.col("domain") == k).select("value", "code") for k in DOMAINS}
+    return out, {k: int(counts.get(k, 0)) for k in DOMAINS}
 
 
 def lookup(df: DataFrame, dim: DataFrame, key: Column, out: str, dim_rows: int | None = None) -> DataFrame:
@@ -176,15 +202,14 @@ def encode_transactions(raw: DataFrame, state: State | None = None, batch_id: in
 
     anchor_s = state.anchor if state.anchor is not None else fit_anchor(indexed, anchor)
 
-    dims = {}
+    # All domains in one pass: (domain, value, first position) -> rank within domain.
     width = {"currency": 2, "payment_format": 1, "account": 2}
     existing_max = _max_codes(state) if state.dims else {}
+    occ = None
     for d in DOMAINS:
-        dims[d] = first_seen_codes(occurrences(indexed, d, delimiter), state.dim(d), existing_max.get(d),
-                                   pos_bounds=(0, max(0, width[d] * n - 1)))
-    # Dictionaries are state: written once, then every lookup reads the written table.
-    dims, sizes = materialize(dims)
-
+        o = occurrences(indexed, d, delimiter).select(F.lit(d).alias("domain"), "value", "pos")
+        occ = o if occ is None else occ.unionByName(o)
+    dims, sizes = materialize(all_first_seen_codes(occ, state, existing_max, max(width.values()) * max(n, 1)))
     keyed = indexed.select(
         "*",
         concat_key("From Bank", "Account", delimiter=delimiter).alias("_ll_from"),

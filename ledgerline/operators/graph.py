@@ -28,6 +28,8 @@ from ..session import freeze
 EDGE_ATTRS = ["timestamp", "amount_sent", "amount_received", "received_currency", "payment_format"]
 # Largest oriented edge table broadcast to close wedges (about 24 bytes a row, so ~100 MB).
 MAX_BROADCAST_EDGES = 4_000_000
+# Largest node table broadcast into the orientation joins (two longs a row).
+MAX_BROADCAST_NODES = 5_000_000
 FEATURE_COLUMNS = ["Node", "degree", "in_degree", "out_degree", "clustering_coefficient", "degree_centrality"]
 
 EDGE_SCHEMA = T.StructType([
@@ -86,36 +88,47 @@ def graph_counts(edges: DataFrame) -> DataFrame:
 
 
 def pairs(edges: DataFrame) -> DataFrame:
-    """Undirected simple pairs ``u < v`` with ``w`` = directions present (self-loops dropped)."""
-    e = edges.where(F.col("src") != F.col("dst")).select(
-        F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v"))
-    return e.groupBy("u", "v").agg(F.count(F.lit(1)).alias("w"))
+    """Undirected pairs ``u <= v`` with direction flags: ``fwd`` (u->v), ``bwd`` (v->u).
 
-
-def node_stats(edges: DataFrame, pair_table: DataFrame | None = None) -> DataFrame:
-    """G4-G6 plus the clustering denominators: Node, in/out/degree, dt, db, udeg."""
-    pair_table = pair_table if pair_table is not None else pairs(edges)
-    ends = edges.select(F.inline(F.array(
-        F.struct(F.col("src").alias("Node"), F.lit(1).alias("o"), F.lit(0).alias("i")),
-        F.struct(F.col("dst").alias("Node"), F.lit(0).alias("o"), F.lit(1).alias("i")),
+    A self-loop is the pair ``(u, u)`` with both flags 0. One shuffle of the edge table.
+    """
+    e = edges.select(F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v"),
+                     (F.col("src") < F.col("dst")).cast("int").alias("f"),
+                     (F.col("src") > F.col("dst")).cast("int").alias("b"))
+    return e.groupBy("u", "v").agg(F.max("f").alias("fwd"), F.max("b").alias("bwd"))
+
+
+def node_stats(edges: DataFrame | None = None, pair_table: DataFrame | None = None) -> DataFrame:
+    """G4-G6 plus the clustering denominators, in one aggregation over the pair table:
+    Node, out/in/degree, dt (sum of directions, self-loops excluded), db (two-way pairs),
+    udeg (distinct neighbours other than itself)."""
+    pt = pair_table if pair_table is not None else pairs(edges)
+    loop = (F.col("u") == F.col("v")).cast("int")
+    other = 1 - loop
+    fwd, bwd = F.col("fwd"), F.col("bwd")
+    ends = pt.select(F.inline(F.array(
+        F.struct(F.col("u").alias("Node"), (fwd + loop).alias("o"), (bwd + loop).alias("i"),
+                 (fwd + bwd).alias("w"), (fwd * bwd).alias("two"), other.alias("nb")),
+        F.struct(F.col("v").alias("Node"), (bwd * other).alias("o"), (fwd * other).alias("i"),
+                 ((fwd + bwd) * other).alias("w"), (fwd * bwd).alias("two"), other.alias("nb")),
     )))
-    io = ends.groupBy("Node").agg(F.sum("o").cast("long").alias("out_degree"),
-                                  F.sum("i").cast("long").alias("in_degree"))
-    pend = pair_table.select(F.inline(F.array(
-        F.struct(F.col("u").alias("Node"), F.col("w")), F.struct(F.col("v").alias("Node"), F.col("w")))))
-    und = pend.groupBy("Node").agg(F.sum("w").cast("long").alias("dt"),
-                                   F.sum(F.when(F.col("w") == 2, 1).otherwise(0)).cast("long").alias("db"),
-                                   F.count(F.lit(1)).cast("long").alias("udeg"))
-    st = io.join(und, "Node", "left").fillna(0, ["dt", "db", "udeg"])
+    st = ends.groupBy("Node").agg(
+        F.sum("o").cast("long").alias("out_degree"), F.sum("i").cast("long").alias("in_degree"),
+        F.sum("w").cast("long").alias("dt"), F.sum("two").cast("long").alias("db"),
+        F.sum("nb").cast("long").alias("udeg"))
     return st.withColumn("degree", F.col("in_degree") + F.col("out_degree"))
 
 
-def triangle_weights(pair_table: DataFrame, stats: DataFrame) -> DataFrame:
+def triangle_weights(pair_table: DataFrame, stats: DataFrame, n_nodes: int | None = None) -> DataFrame:
     """(Node, tri) where tri = sum over the node's triangles of w1*w2*w3."""
     rank = stats.select(F.col("Node"), F.col("udeg"))
     ru = rank.select(F.col("Node").alias("u"), F.col("udeg").alias("du"))
     rv = rank.select(F.col("Node").alias("v"), F.col("udeg").alias("dv"))
-    p = pair_table.join(ru, "u").join(rv, "v")
+    if n_nodes is not None and n_nodes <= MAX_BROADCAST_NODES:
+        ru, rv = F.broadcast(ru), F.broadcast(rv)
+    simple = pair_table.where(F.col("u") != F.col("v")).select(
+        "u", "v", (F.col("fwd") + F.col("bwd")).alias("w"))
+    p = simple.join(ru, "u").join(rv, "v")
     u_first = (F.col("du") < F.col("dv")) | ((F.col("du") == F.col("dv")) & (F.col("u") < F.col("v")))
     # oriented: lo -> hi by (udeg, id); hd = udeg of hi, kept to orient wedges without another join
     o = p.select(
@@ -144,11 +157,12 @@ def triangle_weights(pair_table: DataFrame, stats: DataFrame) -> DataFrame:
     return corners.groupBy("Node").agg(F.sum("p").cast("long").alias("tri"))
 
 
-def clustering(edges: DataFrame, stats: DataFrame | None = None, pair_table: DataFrame | None = None) -> DataFrame:
+def clustering(edges: DataFrame, stats: DataFrame | None = None, pair_table: DataFrame | None = None,
+               n_nodes: int | None = None) -> DataFrame:
     """(Node, clustering_coefficient) for every node of the graph."""
     pair_table = pair_table if pair_table is not None else pairs(edges)
-    stats = stats if stats is not None else node_stats(edges, pair_table)
-    tri = triangle_weights(pair_table, stats)
+    stats = stats if stats is not None else node_stats(pair_table=pair_table)
+    tri = triangle_weights(pair_table, stats, n_nodes)
     den = F.col("dt") * (F.col("dt") - 1) - 2 * F.col("db")
     return stats.join(tri, "Node", "left").select(
         "Node",
@@ -156,16 +170,21 @@ def clustering(edges: DataFrame, stats: DataFrame | None = None, pair_table: Dat
          .otherwise(F.lit(0.0)).alias("clustering_coefficient"))
 
 
+def graph_tables(edges: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Written pair table and node table, and the node count (the shared first steps)."""
+    pt = freeze(pairs(edges), "pairs")
+    stats = freeze(node_stats(pair_table=pt), "node-stats")
+    return pt, stats, stats.count()
+
+
 def node_features(edges: DataFrame, nodes_of: DataFrame | None = None, n_nodes: int | None = None) -> DataFrame:
     """The six features, measured on the whole graph, for ``nodes_of`` (J7) or all nodes.
 
     ``nodes_of`` is any frame with a ``Node`` column (for example the current batch's accounts).
     """
-    pt = pairs(edges)
-    stats = freeze(node_stats(edges, pt), "node-stats")
-    if n_nodes is None:
-        n_nodes = stats.count()
-    cl = clustering(edges, stats, pt)
+    pt, stats, counted = graph_tables(edges)
+    n_nodes = counted if n_nodes is None else n_nodes
+    cl = clustering(edges, stats, pt, n_nodes)
     feats = stats.join(cl, "Node", "left").select(
         F.col("Node").cast("long").alias("Node"),
         F.col("degree").cast("long").alias("degree"),

@@ -112,7 +112,8 @@ def q_centrality(spark, sf_dir):
 @register("clustering")
 def q_clustering(spark, sf_dir):
     e, _ = _encoded(spark, sf_dir)
-    return g.clustering(g.build_edges(e))
+    pt, stats, n = g.graph_tables(g.build_edges(e))
+    return g.clustering(None, stats, pt, n)
 
 
 @register("node_features")
@@ -272,13 +273,13 @@ def q_confusion(spark, sf_dir):
 
 @register("classification_report")
 def q_classification_report(spark, sf_dir):
-    r = mt.classification_report(mt.confusion(rule_scored(spark, sf_dir)))
+    r = mt.classification_report(freeze(mt.confusion(rule_scored(spark, sf_dir)), "confusion"))
     return r.select("class", *[F.round(x, METRIC_DECIMALS).alias(x) for x in ["precision", "recall", "f1"]], "support")
 
 
 @register("binary_metrics")
 def q_binary_metrics(spark, sf_dir):
-    r = mt.binary_metrics(mt.confusion(rule_scored(spark, sf_dir)))
+    r = mt.binary_metrics(freeze(mt.confusion(rule_scored(spark, sf_dir)), "confusion"))
     return r.select(*[F.round(x, METRIC_DECIMALS).alias(x) for x in r.columns])
 
 
