@@ -13,9 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import c, parse_double
+from ..session import freeze
 from .rank import with_row_index
 
 LABEL = "Is Laundering"
+# Largest per-group table broadcast in exact quantiles (rows = groups x quantiles).
+MAX_BROADCAST_GROUPS = 1_000_000
 
 
 def _melt(df: DataFrame, columns: list[str], keep: list[str] | None = None, cast: str = "string") -> DataFrame:
@@ -55,7 +58,9 @@ def exact_quantiles(long_df: DataFrame, group: list[str], value: str, qs: list[f
     """
     v = long_df.where(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("_ll_x"))
     idx = with_row_index(v, [*group, "_ll_x"], name="_ll_i")
-    spans = idx.groupBy(*group).agg(F.min("_ll_i").alias("_ll_s"), F.count(F.lit(1)).alias("_ll_n"))
+    # One row per group: written and counted, then broadcast, so the big side is only probed.
+    spans = freeze(idx.groupBy(*group).agg(F.min("_ll_i").alias("_ll_s"), F.count(F.lit(1)).alias("_ll_n")), "spans")
+    small = spans.count() * len(qs) <= MAX_BROADCAST_GROUPS
     want = None
     for q in qs:
         h = (F.col("_ll_n") - 1) * F.lit(q)
@@ -65,8 +70,14 @@ def exact_quantiles(long_df: DataFrame, group: list[str], value: str, qs: list[f
                          frac.alias("_ll_f"))
         want = t if want is None else want.unionByName(t)
     pts = idx.select("_ll_i", "_ll_x")
-    a = pts.select(F.col("_ll_i").alias("_ll_a"), F.col("_ll_x").alias("_ll_xa"))
-    b = pts.select(F.col("_ll_i").alias("_ll_b"), F.col("_ll_x").alias("_ll_xb"))
+    wa = want.select("_ll_a").distinct()
+    wb = want.select("_ll_b").distinct()
+    if small:
+        wa, wb = F.broadcast(wa), F.broadcast(wb)
+    a = pts.join(wa, F.col("_ll_i") == F.col("_ll_a"), "left_semi").select(
+        F.col("_ll_i").alias("_ll_a"), F.col("_ll_x").alias("_ll_xa"))
+    b = pts.join(wb, F.col("_ll_i") == F.col("_ll_b"), "left_semi").select(
+        F.col("_ll_i").alias("_ll_b"), F.col("_ll_x").alias("_ll_xb"))
     out = want.join(a, "_ll_a").join(b, "_ll_b")
     return out.select(*group, "q", (F.col("_ll_xa") + (F.col("_ll_xb") - F.col("_ll_xa")) * F.col("_ll_f")).alias("value"))
 
