@@ -260,13 +260,16 @@ def label_encode(df: DataFrame, columns: list[str]) -> DataFrame:
     for i, name in enumerate(columns):
         p = df.select(F.lit(i).alias("_ll_col"), c(name).cast("string").alias("_ll_val")).distinct()
         pairs = p if pairs is None else pairs.unionByName(p)
-    indexed = with_row_index(pairs.where(F.col("_ll_val").isNotNull()), ["_ll_col", "_ll_val"], name="_ll_g")
-    starts = indexed.groupBy("_ll_col").agg(F.min("_ll_g").alias("_ll_start"))
-    codes = indexed.join(F.broadcast(starts), "_ll_col").select(
-        "_ll_col", "_ll_val", (F.col("_ll_g") - F.col("_ll_start")).alias("_ll_code"))
+    indexed, n_codes = with_row_index(pairs.where(F.col("_ll_val").isNotNull()), ["_ll_col", "_ll_val"],
+                                      name="_ll_g", return_count=True)
+    starts = indexed.groupBy("_ll_col").agg(F.min("_ll_g").alias("_ll_start"))  # one row per column
+    codes = freeze(indexed.join(F.broadcast(starts), "_ll_col").select(
+        "_ll_col", "_ll_val", (F.col("_ll_g") - F.col("_ll_start")).alias("_ll_code")), "label-codes")
     out = df
     for i, name in enumerate(columns):
         d = codes.where(F.col("_ll_col") == i).select(F.col("_ll_val").alias(f"_ll_v{i}"), F.col("_ll_code").alias(f"_ll_c{i}"))
+        if n_codes <= BROADCAST_DIM_ROWS:  # all code tables together are under the bound
+            d = F.broadcast(d)
         out = out.join(d, c(name).cast("string") == F.col(f"_ll_v{i}"), "left")
     cols = [F.col(f"_ll_c{columns.index(x)}").alias(x) if x in columns else c(x) for x in df.columns]
     return out.select(*cols)
