@@ -17,14 +17,27 @@ def c(name) -> Column:
     return F.col(f"`{name}`")
 
 
+# The raw timestamp text, as a pattern over its parts (year, month, day, hour, minute).
+TS_PATTERN = r"^(\d{4})/(\d{1,2})/(\d{1,2}) (\d{1,2}):(\d{1,2})$"
+
+
 def parse_ts(col, fmt: str = TS_FORMAT) -> Column:
-    """Text -> timestamp, NULL when malformed (ANSI-safe)."""
-    return F.try_to_timestamp(c(col), F.lit(fmt))
+    """Raw text -> TIMESTAMP_NTZ (wall clock, no session time zone), NULL when malformed.
+
+    The default layout is parsed from its numeric parts with ``try_make_timestamp_ntz``,
+    so invalid dates give NULL under ANSI mode and no result depends on the session zone.
+    """
+    if fmt != TS_FORMAT:
+        return F.try_to_timestamp(c(col), F.lit(fmt)).cast("timestamp_ntz")
+    parts = [F.regexp_extract(c(col), TS_PATTERN, i).try_cast("int") for i in range(1, 6)]
+    return F.try_make_timestamp_ntz(*parts, F.lit(0))
 
 
 def epoch_seconds(ts) -> Column:
-    """Timestamp -> epoch seconds (long)."""
-    return F.unix_timestamp(c(ts))
+    """Wall-clock timestamp -> seconds since 1970-01-01 00:00 (long), read as UTC."""
+    t = c(ts)
+    return (F.unix_date(F.to_date(t)).cast("long") * 86400 + F.hour(t) * 3600 + F.minute(t) * 60
+            + F.second(t)).cast("long")
 
 
 def date_parts(ts) -> tuple[Column, Column, Column]:
@@ -34,8 +47,13 @@ def date_parts(ts) -> tuple[Column, Column, Column]:
 
 
 def midnight(ts) -> Column:
-    """C4: midnight of the timestamp's day."""
-    return F.date_trunc("day", c(ts))
+    """C4: midnight of the timestamp's day (wall clock)."""
+    return F.to_date(c(ts)).cast("timestamp_ntz")
+
+
+def midnight_epoch(ts) -> Column:
+    """C4+C2: epoch seconds of the day's midnight."""
+    return F.unix_date(F.to_date(c(ts))).cast("long") * 86400
 
 
 def parse_double(col) -> Column:

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import c, concat_key, epoch_seconds, midnight, parse_double, parse_long, parse_ts
+from ..functions.scalar import c, concat_key, epoch_seconds, midnight_epoch, parse_double, parse_long, parse_ts
 from ..session import freeze
 from .rank import MAX_BROADCAST_BUCKETS, rank_unique, with_row_index
 
@@ -93,16 +93,12 @@ def fit_anchor(indexed: DataFrame, how: str = "first_row") -> int | None:
     """Midnight of the first row's day (or of the earliest row) minus 10 s, epoch seconds."""
     ts = parse_ts("Timestamp")
     if how == "first_row":
-        first = indexed.select(F.min_by(ts, F.col("Index")).alias("t")).first()["t"]
+        first = indexed.select(F.min_by(midnight_epoch(ts), F.col("Index")).alias("m")).first()["m"]
     elif how == "min":
-        first = indexed.select(F.min(ts).alias("t")).first()["t"]
+        first = indexed.select(F.min(midnight_epoch(ts)).alias("m")).first()["m"]
     else:
         raise ValueError(how)
-    if first is None:
-        return None
-    spark = indexed.sparkSession
-    return int(spark.range(1).select(
-        epoch_seconds(midnight(F.lit(first).cast("timestamp"))).alias("e")).first()["e"]) - ANCHOR_OFFSET_SECONDS
+    return None if first is None else int(first) - ANCHOR_OFFSET_SECONDS
 
 
 def add_index(raw: DataFrame, order_by: str = "row_id", offset: int | None = None,

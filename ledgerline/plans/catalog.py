@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import c, date_parts, epoch_seconds, midnight, parse_ts
+from ..functions.scalar import c, date_parts, epoch_seconds, midnight_epoch, parse_ts
 from ..operators import encode as enc
 from ..operators import graph as g
 from ..operators.enrich import edge_list_lines
@@ -71,7 +71,7 @@ def q_anchor(spark, sf_dir):
     day, month, year = date_parts(ts)
     return t.select(
         "row_id", day.alias("day"), month.alias("month"), year.alias("year"),
-        epoch_seconds(ts).alias("epoch_s"), epoch_seconds(midnight(ts)).alias("midnight_s"),
+        epoch_seconds(ts).alias("epoch_s"), midnight_epoch(ts).alias("midnight_s"),
         (epoch_seconds(ts) - F.lit(anchor)).alias("elapsed_s"))
 
 
