@@ -17,43 +17,37 @@ def c(name) -> Column:
     return F.col(f"`{name}`")
 
 
-# The raw timestamp text, as a pattern over its parts (year, month, day, hour, minute).
-TS_PATTERN = r"^(\d{4})/(\d{1,2})/(\d{1,2}) (\d{1,2}):(\d{1,2})$"
+def parse_ts(col, fmt: str = TS_FORMAT) -> Column:
+    """Raw wall-clock text -> timestamp (the instant of that wall clock in UTC), NULL
+    when malformed. The text is parsed with an explicit +0000 offset, so no result depends
+    on the session time zone; lenient digits (``2022/3/5 1:02``) are accepted."""
+    lenient = fmt.replace("MM", "M").replace("dd", "d").replace("HH", "H").replace("mm", "m")
+    return F.try_to_timestamp(F.concat(c(col), F.lit(" +0000")), F.lit(lenient + " Z"))
 
 
-def parse_ts(col, fmt: str = TS_FORMAT) -> Column:
-    """Raw text -> TIMESTAMP_NTZ (wall clock, no session time zone), NULL when malformed.
+def epoch_seconds(ts) -> Column:
+    """Timestamp -> seconds since 1970-01-01 00:00 UTC (long)."""
+    return F.unix_timestamp(c(ts)).cast("long")
 
-    The default layout is parsed from its numeric parts with ``try_make_timestamp_ntz``,
-    so invalid dates give NULL under ANSI mode and no result depends on the session zone.
-    """
-    if fmt != TS_FORMAT:
-        return F.try_to_timestamp(c(col), F.lit(fmt)).cast("timestamp_ntz")
-    parts = [F.regexp_extract(c(col), TS_PATTERN, i).try_cast("int") for i in range(1, 6)]
-    return F.try_make_timestamp_ntz(*parts, F.lit(0))
 
+def midnight_epoch(ts) -> Column:
+    """C4+C2: epoch seconds of the (UTC) day's midnight."""
+    return (F.floor(epoch_seconds(ts) / 86400) * 86400).cast("long")
 
-def epoch_seconds(ts) -> Column:
-    """Wall-clock timestamp -> seconds since 1970-01-01 00:00 (long), read as UTC."""
-    t = c(ts)
-    return (F.unix_date(F.to_date(t)).cast("long") * 86400 + F.hour(t) * 3600 + F.minute(t) * 60
-            + F.second(t)).cast("long")
+
+def _utc_date(ts) -> Column:
+    return F.date_from_unix_date(F.floor(epoch_seconds(ts) / 86400).cast("int"))
 
 
 def date_parts(ts) -> tuple[Column, Column, Column]:
-    """(day, month, year)."""
-    t = c(ts)
-    return F.dayofmonth(t), F.month(t), F.year(t)
+    """(day, month, year) of the UTC wall clock."""
+    d = _utc_date(ts)
+    return F.dayofmonth(d), F.month(d), F.year(d)
 
 
 def midnight(ts) -> Column:
-    """C4: midnight of the timestamp's day (wall clock)."""
-    return F.to_date(c(ts)).cast("timestamp_ntz")
-
-
-def midnight_epoch(ts) -> Column:
-    """C4+C2: epoch seconds of the day's midnight."""
-    return F.unix_date(F.to_date(c(ts))).cast("long") * 86400
+    """C4: midnight of the timestamp's (UTC) day."""
+    return F.timestamp_seconds(midnight_epoch(ts))
 
 
 def parse_double(col) -> Column:
