@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
-from ..functions.scalar import c
 from .eda import _melt, exact_quantiles
 
 # A text feature with at most this many distinct values gets a value domain.
