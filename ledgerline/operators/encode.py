@@ -83,6 +83,12 @@ def first_seen_codes(occ: DataFrame, existing: DataFrame | None = None, existing
     return coded
 
 
+def extend_dictionary(dim: DataFrame, raw_indexed: DataFrame, domain: str, delimiter: str = "") -> DataFrame:
+    """Lookup-or-insert - ``dim`` plus this batch's unseen values, coded after ``max(code)``
+    in first-seen order (``raw_indexed`` carries the batch's ``Index``)."""
+    return first_seen_codes(occurrences(raw_indexed, domain, delimiter), dim)
+
+
 def new_values(occ: DataFrame, existing: DataFrame) -> DataFrame:
     """Distinct values not in the saved dictionary."""
     return occ.select("value").where(F.col("value").isNotNull()).distinct().join(
