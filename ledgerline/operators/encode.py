@@ -64,6 +64,17 @@ def occurrences(raw: DataFrame, domain: str, delimiter: str = "") -> DataFrame:
     return raw.select(F.inline(arr))
 
 
+def all_occurrences(raw: DataFrame, delimiter: str = "") -> DataFrame:
+    """(domain, value, pos) for every domain from one scan: five occurrences per row."""
+    i = F.col("Index")
+    occ = [("currency", c("Receiving Currency"), i * 2), ("currency", c("Payment Currency"), i * 2 + 1),
+           ("payment_format", c("Payment Format"), i),
+           ("account", concat_key("From Bank", "Account", delimiter=delimiter), i * 2),
+           ("account", concat_key("To Bank", "Account.1", delimiter=delimiter), i * 2 + 1)]
+    return raw.select(F.inline(F.array(*[F.struct(F.lit(d).alias("domain"), v.alias("value"), p.alias("pos"))
+                                         for d, v, p in occ])))
+
+
 def first_seen_codes(occ: DataFrame, existing: DataFrame | None = None, existing_max: int | None = None,
                      pos_bounds: tuple[int, int] | None = None) -> DataFrame:
     """Dictionary (value, code) in first-seen order; extends ``existing`` with unseen values.
@@ -207,10 +218,7 @@ def encode_transactions(raw: DataFrame, state: State | None = None, batch_id: in
     # All domains in one pass: (domain, value, first position) -> rank within domain.
     width = {"currency": 2, "payment_format": 1, "account": 2}
     existing_max = _max_codes(state) if state.dims else {}
-    occ = None
-    for d in DOMAINS:
-        o = occurrences(indexed, d, delimiter).select(F.lit(d).alias("domain"), "value", "pos")
-        occ = o if occ is None else occ.unionByName(o)
+    occ = all_occurrences(indexed, delimiter)
     dims, sizes = materialize(all_first_seen_codes(occ, state, existing_max, max(width.values()) * max(n, 1)))
     keyed = indexed.select(
         "*",
