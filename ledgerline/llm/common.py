@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +14,7 @@ from ..session import scratch_path, shuffle_partitions
 from ..sources.fixtures import table
 
 __all__ = ["BROADCAST_ROWS", "WS", "counted_broadcast", "materialize", "order_hash", "require",
-           "shuffle_partitions", "table", "words_of"]
+           "ship_code", "shuffle_partitions", "table", "words_of"]
 
 #: White space of the contracts: space and U+0009 to U+000D, as a Java character class.
 WS = "[\\x20\\x09-\\x0D]+"
@@ -50,3 +55,23 @@ def words_of(text: Column) -> Column:
 def order_hash(*cols: Column) -> Column:
     """A 64-bit hash used to break ties and to deal rows out evenly."""
     return F.xxhash64(*cols)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark) -> None:
+    """Give the Python workers this package, as ``--py-files`` would; once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[2]
+    if not (root / "ledgerline").is_dir():  # already running from an archive
+        return
+    # The driver's own copy; addPyFile sends it to every executor.
+    archive = os.path.join(tempfile.mkdtemp(prefix="ledgerline-code-"), "ledgerline_code.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted((root / "ledgerline").rglob("*.py")):
+            z.write(f, f.relative_to(root))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)

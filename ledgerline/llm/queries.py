@@ -6,16 +6,57 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op10_rules
-from .common import table
+from . import op1_kneser_ney, op4_simhash, op5_packing, op6_language, op8_sharding, op10_rules
+from .common import ship_code, table
+
+
+def op1_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1_kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = op4_simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", op4_simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
+def op5_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return op6_language.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op8_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_sharding.assign(table(spark, sf_dir, "documents")).drop("group_key")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+QUERIES = [
+    op1_kneser_ney_quality,
+    op4_simhash_near_duplicates,
+    op5_pack_sequences,
+    op6_language_id,
+    op8_balanced_shards,
+    op10_quality_rules,
+]
+
+
+def _with_code(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_code(spark)
+        return fn(spark, sf_dir)
+
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_quality_rules": op10_quality_rules}
+    return {fn.__name__: _with_code(fn) for fn in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
