@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_kneser_ney, op4_simhash, op5_packing, op6_language, op8_sharding, op10_rules
+from . import (
+    op1_kneser_ney,
+    op2_line_dedup,
+    op4_simhash,
+    op5_packing,
+    op6_language,
+    op7_decontaminate,
+    op8_sharding,
+    op10_rules,
+)
 from .common import ship_code, table
 
 
@@ -14,6 +23,11 @@ def op1_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1_kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_winnow_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = op2_line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op4_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op4_simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", op4_simhash.hex_fingerprint().alias("fingerprint"), "component_id")
@@ -28,6 +42,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_language.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = op7_decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return hits.select("doc_id", "item_id", "n_shingles", "n_found", "containment")
+
+
 def op8_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_sharding.assign(table(spark, sf_dir, "documents")).drop("group_key")
 
@@ -38,9 +57,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = [
     op1_kneser_ney_quality,
+    op2_winnow_line_dedup,
     op4_simhash_near_duplicates,
     op5_pack_sequences,
     op6_language_id,
+    op7_benchmark_decontamination,
     op8_balanced_shards,
     op10_quality_rules,
 ]
@@ -60,4 +81,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_quality_rules": op10_rules.ORACLE_SQL}
+    return {
+        "op2_winnow_line_dedup": op2_line_dedup.ORACLE_SQL,
+        "op7_benchmark_decontamination": op7_decontaminate.ORACLE_SQL,
+        "op10_quality_rules": op10_rules.ORACLE_SQL,
+    }
