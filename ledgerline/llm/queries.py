@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import (
     op1_kneser_ney,
     op2_line_dedup,
+    op3_html,
     op4_simhash,
     op5_packing,
     op6_language,
@@ -28,6 +29,10 @@ def op2_winnow_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3_html.main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op4_simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", op4_simhash.hex_fingerprint().alias("fingerprint"), "component_id")
@@ -58,6 +63,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = [
     op1_kneser_ney_quality,
     op2_winnow_line_dedup,
+    op3_html_main_text,
     op4_simhash_near_duplicates,
     op5_pack_sequences,
     op6_language_id,
