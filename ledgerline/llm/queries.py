@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import (
     op1_kneser_ney,
@@ -15,6 +16,7 @@ from . import (
     op6_language,
     op7_decontaminate,
     op8_sharding,
+    op9_substring,
     op10_rules,
 )
 from .common import ship_code, table
@@ -56,6 +58,11 @@ def op8_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_sharding.assign(table(spark, sf_dir, "documents")).drop("group_key")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = op9_substring.dedup_passages(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_rules.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -69,6 +76,7 @@ QUERIES = [
     op6_language_id,
     op7_benchmark_decontamination,
     op8_balanced_shards,
+    op9_substring_dedup,
     op10_quality_rules,
 ]
 
