@@ -75,3 +75,14 @@ def ship_code(spark) -> None:
             z.write(f, f.relative_to(root))
     spark.sparkContext.addPyFile(archive)
     _SHIPPED.add(app)
+
+
+def set_aside(df: DataFrame, names: tuple[str, ...]):
+    """(``df`` with columns of these names renamed out of an operator's way, a function that names them back)."""
+    clash = {c: f"_ll_aside_{i}" for i, c in enumerate(names) if c in df.columns}
+    order = list(df.columns)
+
+    def back(out: DataFrame) -> DataFrame:
+        return out.select(*[F.col(f"`{clash.get(c, c)}`").alias(c) for c in order])
+
+    return df.withColumnsRenamed(clash), back

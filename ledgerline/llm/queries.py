@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import (
     op1_kneser_ney,
     op2_line_dedup,
@@ -91,7 +93,7 @@ def _with_code(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {fn.__name__: _with_code(fn) for fn in QUERIES}
+    return {fn.__name__: _with_code(fn) for fn in QUERIES} | {"pipeline": _with_code(corpus_pipeline.run)}
 
 
 def oracle_sql() -> dict[str, str]:
