@@ -98,10 +98,10 @@ def figures(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_i
     )
     return d.select(
         "*",
-        (F.col("word_chars") / F.col("n_words")).alias("mean_word_chars"),
-        (F.col("n_symbols") / F.col("n_words")).alias("symbol_ratio"),
-        (F.col("n_dup_lines") / F.col("n_lines")).alias("dup_line_ratio"),
-        (F.col("n_words") / F.col("n_lines")).alias("words_per_line"),
+        F.try_divide("word_chars", "n_words").alias("mean_word_chars"),
+        F.try_divide("n_symbols", "n_words").alias("symbol_ratio"),
+        F.try_divide("n_dup_lines", "n_lines").alias("dup_line_ratio"),
+        F.try_divide("n_words", "n_lines").alias("words_per_line"),
     )
 
 
