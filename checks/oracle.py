@@ -435,12 +435,13 @@ def quality_sql(q: dict[str, str]) -> None:
           CASE feature {types} END AS type,
           max(num_value) FILTER (WHERE stat = 'missing') = 0 AS required,
           max(num_value) FILTER (WHERE stat = 'min') AS min, max(num_value) FILTER (WHERE stat = 'max') AS max,
-          CAST(CASE WHEN max(num_value) FILTER (WHERE stat = 'unique') <= 50
+          CAST(max(num_value) FILTER (WHERE stat = 'unique') AS BIGINT) AS n_values,
+          CAST(CASE WHEN max(num_value) FILTER (WHERE stat = 'unique') <= 100
                THEN max(num_value) FILTER (WHERE stat = 'unique') END AS BIGINT) AS domain_size
-        FROM trs GROUP BY feature""".format(types=" ".join(
+        FROM {{src}} GROUP BY feature""".format(types=" ".join(
         f"WHEN {_lit(k)} THEN {_lit(v)}" for k, v in {**NUMERIC_T, **{t: "BYTES" for t in TEXT_T}}.items()))
-    q["schema_inferred"] = with_ctes(exp_body, trv, trs)
-    exp = ("exp", exp_body)
+    q["schema_inferred"] = with_ctes(exp_body.format(src="tvs"), tv, ("tvs", profile_sql("tv", num, TEXT_T)))
+    exp = ("exp", exp_body.format(src="trs"))
     parts = []
     for x in num + TEXT_T:
         parts.append(f"""SELECT {_lit(x)} AS feature, 'missing_values' AS anomaly, CAST(NULL AS VARCHAR) AS value,
@@ -456,6 +457,8 @@ def quality_sql(q: dict[str, str]) -> None:
         parts.append(f"""SELECT {_lit(x)}, 'unexpected_value', {_q(x)}, count(*) FROM dnv
               WHERE {_q(x)} IS NOT NULL AND (SELECT domain_size FROM exp WHERE feature = {_lit(x)}) IS NOT NULL
               AND {_q(x)} NOT IN (SELECT {_q(x)} FROM trv WHERE {_q(x)} IS NOT NULL) GROUP BY {_q(x)}""")
+        parts.append(f"""SELECT {_lit(x)}, 'no_domain', CAST(NULL AS VARCHAR), n_values FROM exp
+              WHERE feature = {_lit(x)} AND domain_size IS NULL""")
     q["anomalies"] = with_ctes(_union(parts), trv, dnv, trs, exp, dirty=True)
     nws = ("nws", profile_sql("nwv", num, TEXT_T))
     q["compare_profiles"] = with_ctes("""SELECT coalesce(a.feature, b.feature) AS feature, coalesce(a.stat, b.stat) AS stat,

@@ -11,7 +11,7 @@ from .operators.graph import (build_edges, clustering, empty_edges, graph_counts
 from .operators.metrics import binary_metrics, classification_report, confusion
 from .operators.model import ForestScorer, assemble_features, fit_scorer
 from .operators.quality import compare_profiles, drift, histogram, infer_expectations, profile, validate
-from .operators.rank import head_rows, rank_unique, with_row_index
+from .operators.rank import head_by_index, rank_unique, with_row_index
 from .operators.resample import oversample_latent
 from .operators.scale import apply_minmax, fit_minmax
 from .operators.split import split

@@ -3,22 +3,21 @@
 Everything is one or two aggregations over the whole table; wide per-column statistics are
 computed in a single pass by unpivoting columns into (column, value) rows first, so the
 work is spread over (column, value) groups rather than one group per column. Exact
-quantiles use the distributed row index instead of ``percentile`` (which holds a whole
-group's values in one task).
+quantiles work on value counts instead of ``percentile`` (which holds a whole group's
+values in one task).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import c, parse_double
-from ..session import freeze
-from .rank import with_row_index
+from ..session import freeze, shuffle_partitions
 
 LABEL = "Is Laundering"
-# Largest per-group table broadcast in exact quantiles (rows = groups x quantiles).
-MAX_BROADCAST_GROUPS = 1_000_000
+# Largest per-group table broadcast in exact quantiles (rows = groups x ranges x quantiles, five numbers each).
+MAX_BROADCAST_GROUPS = 200_000
 
 
 def _melt(df: DataFrame, columns: list[str], keep: list[str] | None = None, cast: str = "string") -> DataFrame:
@@ -52,34 +51,39 @@ def slice_by_label(df: DataFrame, label: str = LABEL, value="1") -> DataFrame:
 def exact_quantiles(long_df: DataFrame, group: list[str], value: str, qs: list[float]) -> DataFrame:
     """Exact (linear-interpolated, like pandas/DuckDB ``quantile_cont``) quantiles per group.
 
-    One distributed sort over (group, value) gives every row a global position; the start
-    and size of each group come from a small aggregate, so no group is ever gathered in
-    one task.
+    Works on (group, value) counts: equal values are combined before the shuffle, so a value
+    that fills a column is one row. The distinct values are range-partitioned, running counts
+    inside a range are shifted by the counts of the group's earlier ranges, and the values whose
+    span of ranks holds the wanted ranks are picked.
     """
-    v = long_df.where(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("_ll_x"))
-    idx = with_row_index(v, [*group, "_ll_x"], name="_ll_i")
-    # One row per group: written and counted, then broadcast, so the big side is only probed.
-    spans = freeze(idx.groupBy(*group).agg(F.min("_ll_i").alias("_ll_s"), F.count(F.lit(1)).alias("_ll_n")), "spans")
-    small = spans.count() * len(qs) <= MAX_BROADCAST_GROUPS
-    want = None
-    for q in qs:
-        h = (F.col("_ll_n") - 1) * F.lit(q)
-        lo, frac = F.floor(h), h - F.floor(h)
-        t = spans.select(*group, F.lit(q).alias("q"), (F.col("_ll_s") + lo).cast("long").alias("_ll_a"),
-                         F.least(F.col("_ll_s") + lo + 1, F.col("_ll_s") + F.col("_ll_n") - 1).cast("long").alias("_ll_b"),
-                         frac.alias("_ll_f"))
-        want = t if want is None else want.unionByName(t)
-    pts = idx.select("_ll_i", "_ll_x")
-    wa = want.select("_ll_a").distinct()
-    wb = want.select("_ll_b").distinct()
-    if small:
-        wa, wb = F.broadcast(wa), F.broadcast(wb)
-    a = pts.join(wa, F.col("_ll_i") == F.col("_ll_a"), "left_semi").select(
-        F.col("_ll_i").alias("_ll_a"), F.col("_ll_x").alias("_ll_xa"))
-    b = pts.join(wb, F.col("_ll_i") == F.col("_ll_b"), "left_semi").select(
-        F.col("_ll_i").alias("_ll_b"), F.col("_ll_x").alias("_ll_xb"))
-    out = want.join(a, "_ll_a").join(b, "_ll_b")
-    return out.select(*group, "q", (F.col("_ll_xa") + (F.col("_ll_xb") - F.col("_ll_xa")) * F.col("_ll_f")).alias("value"))
+    counts = long_df.where(F.col(value).isNotNull()).groupBy(*group, F.col(value).cast("double").alias("_ll_x")).agg(
+        F.count(F.lit(1)).alias("_ll_c"))
+    n_ranges = shuffle_partitions(long_df.sparkSession)
+    counts = freeze(counts.repartitionByRange(n_ranges, *group, "_ll_x").withColumn("_ll_p", F.spark_partition_id()),
+                    "value-counts")
+    sums = freeze(counts.groupBy(*group, "_ll_p").agg(F.sum("_ll_c").alias("_ll_t")), "range-counts")
+    before = Window.partitionBy(*group).orderBy("_ll_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(*group, "_ll_p", F.coalesce(F.sum("_ll_t").over(before), F.lit(0)).alias("_ll_o"))
+    spans = sums.groupBy(*group).agg(F.sum("_ll_t").alias("_ll_n"))
+    h = (F.col("_ll_n") - 1) * F.col("q")
+    want = spans.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs]))).select(
+        *group, "q", F.floor(h).alias("_ll_lo"), F.least(F.floor(h) + 1, F.col("_ll_n") - 1).alias("_ll_hi"),
+        (h - F.floor(h)).alias("_ll_f"))
+    if sums.count() * max(1, len(qs)) <= MAX_BROADCAST_GROUPS:
+        offsets, want = F.broadcast(offsets), F.broadcast(want)
+    inside = Window.partitionBy("_ll_p", *group).orderBy("_ll_x").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("_ll_c").over(inside), F.lit(0))
+    placed = counts.withColumn("_ll_s", start).join(offsets, [*group, "_ll_p"]).withColumn(
+        "_ll_s", F.col("_ll_s") + F.col("_ll_o")).withColumn("_ll_e", F.col("_ll_s") + F.col("_ll_c"))
+
+    def holds(rank: str):
+        return (F.col(rank) >= F.col("_ll_s")) & (F.col(rank) < F.col("_ll_e"))
+
+    hits = placed.join(want, group).where(holds("_ll_lo") | holds("_ll_hi"))
+    ends = hits.groupBy(*group, "q").agg(F.max(F.when(holds("_ll_lo"), F.col("_ll_x"))).alias("_ll_a"),
+                                         F.max(F.when(holds("_ll_hi"), F.col("_ll_x"))).alias("_ll_b"),
+                                         F.max("_ll_f").alias("_ll_f"))
+    return ends.select(*group, "q", (F.col("_ll_a") + (F.col("_ll_b") - F.col("_ll_a")) * F.col("_ll_f")).alias("value"))
 
 
 def amount_summary(df: DataFrame, columns: list[str], label: str = LABEL) -> DataFrame:

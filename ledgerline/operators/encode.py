@@ -28,6 +28,9 @@ ANCHOR_OFFSET_SECONDS = 10
 BROADCAST_DIM_ROWS = 1_000_000
 
 DOMAINS = ("currency", "payment_format", "account")
+KEY_COLUMNS = ("From Bank", "Account", "To Bank", "Account.1", "Receiving Currency", "Payment Currency", "Payment Format")
+# Ids are ranked in value buckets up to this many times wider than their count, sorted beyond.
+MAX_SPARSE = 1_000
 
 
 @dataclass
@@ -127,12 +130,17 @@ def add_index(raw: DataFrame, order_by: str = "row_id", offset: int | None = Non
     """
     if offset is not None and n_rows is not None:
         return raw.withColumn("Index", (F.col(order_by) - F.lit(offset)).cast("long")), n_rows
-    lo, hi, n = raw.agg(F.min(order_by), F.max(order_by), F.count(order_by)).first()
-    if n == 0:
+    lo, hi, n, total = raw.agg(F.min(order_by), F.max(order_by), F.count(order_by), F.count(F.lit(1))).first()
+    if total == 0:
         return raw.withColumn("Index", F.lit(None).cast("long")), 0
-    if hi - lo + 1 == n:  # already a dense sequence (a contiguous batch): no shuffle needed
+    unique = n == total and raw.agg(F.count_distinct(order_by)).first()[0] == n
+    if unique and hi - lo + 1 == n:  # already a dense sequence (a contiguous batch)
         return raw.withColumn("Index", (F.col(order_by) - F.lit(lo)).cast("long")), n
-    return rank_unique(raw, order_by, name="Index", bounds=(lo, hi)), n
+    if unique and hi - lo < MAX_SPARSE * n:
+        return rank_unique(raw, order_by, name="Index", bounds=(lo, hi)), n
+    # Repeated, missing or very sparse ids: a sorted index; equal ids follow their other columns.
+    tie = F.xxhash64(*[c(x) for x in raw.columns])
+    return with_row_index(raw, [order_by, tie], name="Index", return_count=True)
 
 
 def all_first_seen_codes(occ: DataFrame, state: State, existing_max: dict, pos_range: int,
@@ -201,6 +209,8 @@ def encode_transactions(raw: DataFrame, state: State | None = None, batch_id: in
     ts = parse_ts("Timestamp")
     paid, received, label = parse_double("Amount Paid"), parse_double("Amount Received"), parse_long("Is Laundering")
     bad = (ts.isNull() | paid.isNull() | received.isNull() | label.isNull())
+    for x in KEY_COLUMNS:  # R17: a transfer without one of its keys has no place in the graph
+        bad = bad | c(x).isNull()
 
     rejects = None
     if on_error == "quarantine":

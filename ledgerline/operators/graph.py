@@ -65,7 +65,7 @@ def build_edges(encoded: DataFrame) -> DataFrame:
         F.col("Payment_Format").alias("payment_format"),
         bid.cast("long").alias("batch_id"), F.col("Index").cast("long").alias("Index"),
     )
-    return _last_wins(e)
+    return _last_wins(e.where(F.col("src").isNotNull() & F.col("dst").isNotNull()))
 
 
 def merge_edges(old: DataFrame, new: DataFrame) -> DataFrame:

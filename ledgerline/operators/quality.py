@@ -14,8 +14,8 @@ from pyspark.sql.types import NumericType, StringType
 
 from .eda import _melt, exact_quantiles
 
-# A text feature with at most this many distinct values gets a value domain.
-DOMAIN_MAX_VALUES = 50
+# A text feature with at most this many distinct values gets a value domain (default of ``max_domain``).
+MAX_DOMAIN = 100
 HIST_BUCKETS = 10
 STAT_DECIMALS = 6
 
@@ -85,8 +85,13 @@ def histogram(df: DataFrame, columns: list[str], buckets: int = HIST_BUCKETS,
     return j.groupBy("feature", b.cast("int").alias("bucket")).agg(F.count(F.lit(1)).cast("long").alias("count"))
 
 
-def infer_expectations(stats: DataFrame, df: DataFrame, exclude: list[str] | None = None) -> DataFrame:
-    """Q2: (feature, type, required, min, max, domain_size) from the statistics."""
+def infer_expectations(stats: DataFrame, df: DataFrame, exclude: list[str] | None = None,
+                       max_domain: int = MAX_DOMAIN) -> DataFrame:
+    """Q2: (feature, type, required, min, max, n_values, domain_size) from the statistics.
+
+    A text feature with more than ``max_domain`` distinct values has no domain: ``domain_size`` is
+    NULL, ``n_values`` says how many there are, and :func:`validate` reports it as ``no_domain``.
+    """
     num, txt = split_features(df, exclude)
     types = {f.name: ("FLOAT" if f.dataType.typeName() in ("double", "float") else
                       "INT" if isinstance(f.dataType, NumericType) else "BYTES") for f in df.schema.fields}
@@ -96,7 +101,8 @@ def infer_expectations(stats: DataFrame, df: DataFrame, exclude: list[str] | Non
     return w.select(
         "feature", type_map[F.col("feature")].alias("type"), (F.col("missing") == 0).alias("required"),
         "min", "max",
-        F.when(F.col("unique") <= DOMAIN_MAX_VALUES, F.col("unique").cast("long")).alias("domain_size"))
+        F.col("unique").cast("long").alias("n_values"),
+        F.when(F.col("unique") <= max_domain, F.col("unique").cast("long")).alias("domain_size"))
 
 
 def domains(df: DataFrame, expectations: DataFrame, exclude: list[str] | None = None) -> DataFrame:
@@ -129,11 +135,16 @@ def validate(new: DataFrame, expectations: DataFrame, allowed: DataFrame, exclud
         ).where(F.col("count") > 0)
         out = out.unionByName(oor)
     if txt:
+        # Counts first: a value that fills a column is one row before it meets the domain.
         mt = _melt(new, txt).withColumnRenamed("column", "feature").where(F.col("value").isNotNull())
-        mt = mt.join(expectations.where(F.col("domain_size").isNotNull()).select("feature"), "feature", "left_semi")
-        unseen = mt.join(allowed, ["feature", "value"], "left_anti").groupBy("feature", "value").agg(
-            F.count(F.lit(1)).cast("long").alias("count"))
+        mt = mt.groupBy("feature", "value").agg(F.count(F.lit(1)).cast("long").alias("count"))
+        known = expectations.where(F.col("domain_size").isNotNull()).select("feature")
+        unseen = mt.join(F.broadcast(known), "feature", "left_semi").join(  # one row per feature
+            allowed, ["feature", "value"], "left_anti")
         out = out.unionByName(unseen.select("feature", F.lit("unexpected_value").alias("anomaly"), "value", "count"))
+        wide = expectations.where(F.col("domain_size").isNull() & F.col("n_values").isNotNull())
+        out = out.unionByName(wide.select("feature", F.lit("no_domain").alias("anomaly"),
+                                          F.lit(None).cast("string").alias("value"), F.col("n_values").alias("count")))
     return out
 
 

@@ -103,10 +103,6 @@ def rank_unique(df: DataFrame, col: str, name: str = "rank", start: int = 0,
     return out.drop("_ll_bucket", "_ll_pos", "_ll_off")
 
 
-def head_rows(df: DataFrame, n: int, order_by) -> DataFrame:
-    """Deterministic head-n (O3): the first ``n`` rows in ``order_by`` order.
-
-    ``orderBy().limit()`` plans as TakeOrderedAndProject: each task keeps its top n, the
-    final merge sees n x tasks rows, never the whole table.
-    """
-    return df.orderBy(*_cols(order_by)).limit(n)
+def head_by_index(df: DataFrame, n: int, index: str = "row_id") -> DataFrame:
+    """Deterministic head-n (O3): the first ``n`` rows of a table with a dense 0-based index, as a filter."""
+    return df.where(F.col(index) < n)

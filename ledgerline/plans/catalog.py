@@ -15,7 +15,7 @@ from ..functions.scalar import c, date_parts, epoch_seconds, midnight_epoch, par
 from ..operators import encode as enc
 from ..operators import graph as g
 from ..operators.enrich import edge_list_lines
-from ..operators.rank import head_rows
+from ..operators.rank import head_by_index
 from ..sources import fixtures as fx
 from ..session import freeze
 from .pipeline import ENRICHED_COLUMNS, enrich_all, enriched_transactions
@@ -54,7 +54,7 @@ def q_row_index(spark, sf_dir):
 def q_head_positive(spark, sf_dir):
     """O3 + F6: the first 40,000 transfers (head-n is the feature), then the label filter."""
     t = fx.transactions(spark, sf_dir)
-    return head_rows(t, 40000, "row_id").where(c("Is Laundering") == "1")
+    return head_by_index(t, 40000).where(c("Is Laundering") == "1")
 
 
 @register("encode_first_seen")
@@ -470,8 +470,8 @@ def q_histograms(spark, sf_dir):
 
 @register("schema_inferred")
 def q_schema_inferred(spark, sf_dir):
-    train, _ = _train_new(spark, sf_dir)
-    return qa.infer_expectations(qa.profile(train), train)
+    t = typed_view(fx.transactions(spark, sf_dir))
+    return qa.infer_expectations(qa.profile(t), t)
 
 
 @register("anomalies")

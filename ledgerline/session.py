@@ -47,18 +47,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        # Only reached in local tests: no shared folder was configured.
-        conf_dir = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is not set: executors need a shared folder for written tables")
+        conf_dir = tempfile.mkdtemp(prefix="ledgerline-ckpt-")  # one machine only
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "ledgerline", f"{name}-{uuid.uuid4().hex[:12]}")
+    return os.path.join(_scratch_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return os.path.join(ensure_checkpoint_dir(spark), "ledgerline", spark.sparkContext.applicationId)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete this application's written intermediate tables; call when its results are stored elsewhere."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -77,4 +86,4 @@ def freeze(df, name: str, partition_by: list[str] | None = None):
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # an empty result has no file to infer from

@@ -62,9 +62,9 @@ def read_snapshot(spark: SparkSession, uri: str) -> DataFrame:
 def parse_records(df: DataFrame, col: str, schema: T.StructType | str, single_quotes: bool = False) -> DataFrame:
     """A column of JSON record arrays (or single records) -> one row per record."""
     opts = {"allowSingleQuotes": "true"} if single_quotes else {}
-    if isinstance(schema, T.StructType):
-        schema = schema.simpleString()
-    arr = F.from_json(c(col), f"array<{schema}>", opts)
+    if not isinstance(schema, T.StructType):
+        schema = T.StructType.fromDDL(schema)
+    arr = F.from_json(c(col), T.ArrayType(schema), opts)
     one = F.from_json(c(col), schema, opts)
     parsed = F.when(F.trim(c(col)).startswith("["), arr).otherwise(F.array(one))
     return df.select(F.inline(parsed))

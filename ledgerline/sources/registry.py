@@ -47,7 +47,19 @@ def list_models(spark: SparkSession, registry: str) -> DataFrame:
 
 def save_model(model, registry: str, version: str | None = None) -> str:
     """K6: save a fitted ``PipelineModel`` under a new version folder; returns its path."""
-    version = version or time.strftime("%Y%m%d_%H%M%S", time.gmtime())
-    path = os.path.join(registry, PREFIX + version)
+    path = os.path.join(registry, PREFIX + (version or _free_version(registry)))
     model.write().overwrite().save(path)
     return path
+
+
+def _free_version(registry: str) -> str:
+    """The version stamp of now, or the first later second that has no model yet."""
+    spark = SparkSession.getActiveSession()
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = int(time.time())
+    while True:
+        version = time.strftime("%Y%m%d_%H%M%S", time.gmtime(at))
+        p = jvm.org.apache.hadoop.fs.Path(os.path.join(registry, PREFIX + version))
+        if not p.getFileSystem(conf).exists(p):
+            return version
+        at += 1
