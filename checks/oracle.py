@@ -337,6 +337,9 @@ def state_sql(q: dict[str, str]) -> None:
         arg_max("Index", batch_id * 1000000000 + "Index") AS "Index"
         FROM enc2 GROUP BY From_ID, To_ID""", [enc2])
     q["state_roundtrip"] = core(f"SELECT value, code, {ANCHOR} AS anchor FROM acct")
+    q["state_graph"] = q["graph_merge"]
+    q["score_batch_enriched"] = core(f"""SELECT x.* REPLACE (x."Index" - {CUT} AS "Index")
+        FROM ({ENRICH_SELECT}) x WHERE x."Index" >= {CUT}""", graph=True)
     q["state_update"] = core("""SELECT 'currency' AS domain, value, code FROM cur
         UNION ALL SELECT 'payment_format', value, code FROM fmt
         UNION ALL SELECT 'account', value, code FROM acct""")
@@ -366,7 +369,12 @@ def io_sql(q: dict[str, str]) -> None:
       SELECT registry, arg_max(path, version) AS latest_path, max(version) AS version FROM l GROUP BY registry"""
     q["stream_score"] = core("""SELECT "Index" AS row_id, From_ID, To_ID, "Timestamp", Amount_Paid, Payment_Currency,
         Amount_Received, Receiving_Currency, Payment_Format, Is_Laundering, Is_Laundering_Prediction
-        FROM scored WHERE Is_Laundering_Prediction = 1""", [SCORED])
+        FROM scored""", [SCORED])
+    q["forest_score"] = with_ctes("""SELECT row_id AS "Index", CAST("Is Laundering" AS BIGINT) AS Is_Laundering, true AS has_class
+        FROM (SELECT *, row_number() OVER (ORDER BY md5(concat('42:', CAST(row_id AS VARCHAR))), row_id) AS k FROM transactions)
+        WHERE k <= (SELECT (count(*) * 2 + 9) // 10 FROM transactions)""")
+    q["latent_oversample"] = with_ctes("""SELECT row_id AS "Index", CAST(1 AS BIGINT) AS Is_Laundering,
+        CAST(1 AS INTEGER) AS is_synthetic, true AS in_range FROM transactions WHERE "Is Laundering" = '1'""")
 
 
 # --- data validation ---------------------------------------------------------------------------

@@ -334,6 +334,29 @@ def q_state_update(spark, sf_dir):
     return stt.dims_table(final)
 
 
+@register("state_graph")
+def q_state_graph(spark, sf_dir):
+    """The edges reloaded after two batches and a replay of the second."""
+    t, n = fx.transactions_n(spark, sf_dir)
+    train, score, cut, n = fx.batches(t, n)
+    sdir = scratch_path(spark, "state")
+    for batch, bid in ((train, 0), (score, 1), (score, 1)):
+        update_state(spark, batch, sdir, bid)
+    return stt.load_state(spark, sdir).edges
+
+
+@register("score_batch_enriched")
+def q_score_batch_enriched(spark, sf_dir):
+    """The second batch with features of its accounts on the graph of both batches."""
+    from .pipeline import enrich_batch
+    t, n = fx.transactions_n(spark, sf_dir)
+    train, score, cut, n = fx.batches(t, n)
+    e1, s1 = enc.encode_transactions(train, index_offset=0, n_rows=cut)
+    s1.edges = freeze(g.build_edges(e1), "edges")
+    out, _ = enrich_batch(score, s1, index_offset=cut, n_rows=n - cut)
+    return out.select(*ENRICHED_COLUMNS)
+
+
 # --- sources and sinks (S1-S3, S5, S7, S8, K2-K5, T1, T3) ----------------------------------
 
 from ..sinks import writers as wr  # noqa: E402
@@ -413,19 +436,20 @@ def q_latest_model(spark, sf_dir):
 
 @register("stream_score")
 def q_stream_score(spark, sf_dir):
-    """Four arrivals of files scored in order by the stream, state carried between them."""
+    """Two arrivals of 11-column files scored in file order by the stream, state carried between them."""
     t, n = fx.transactions_n(spark, sf_dir)
     root = scratch_path(spark, "landing")
-    k = 4
+    k = 2
     for i in range(k):
         part = t.where((F.col("row_id") >= i * n // k) & (F.col("row_id") < (i + 1) * n // k))
-        wr.write_csv(part, f"{root}/arrival-{i}")
+        # Sorted part files: their names follow the row order.
+        wr.write_csv(part.orderBy("row_id").drop("row_id"), f"{root}/arrival-{i}")
     state_dir, out_dir, flag_dir = (scratch_path(spark, x) for x in ("stream-state", "scored", "flagged"))
     for i in range(k):
         stream_score(spark, f"{root}/arrival-{i}", state_dir, out_dir, _rule, flagged_dir=flag_dir,
-                     batch_base=i * 1_000_000, keep=["row_id"])
+                     batch_base=i * 1_000_000, keep=["row_id"], row_base=i * n // k)
     cols = ["row_id"] + [x for x in enc.ENCODED_COLUMNS if x != "Index"] + ["Is_Laundering_Prediction"]
-    return spark.read.parquet(flag_dir).select(*cols)
+    return spark.read.parquet(out_dir).select(*cols)
 
 
 # --- data validation (Q1-Q6, K7) ------------------------------------------------------------
@@ -501,21 +525,24 @@ from .jobs import load_latest, train_job  # noqa: E402
 
 @register("forest_score")
 def q_forest_score(spark, sf_dir):
-    """Train on the first 20 % of transfers in time order, save, reload the newest model,
-    score the rest (rows-only check: a forest has no SQL oracle)."""
+    """Train on 80 % of the transfers, save, reload the newest model, score the other 20 %.
+
+    SQL cannot grow the forest; the oracle checks which rows are scored and that each has a class.
+    """
     t, n = fx.transactions_n(spark, sf_dir)
-    df = freeze(enrich_all(t, n), "enriched")
-    cut = fx.train_cut(n)
-    train, test = df.where(F.col("Index") < cut), df.where(F.col("Index") >= cut)
+    df = split(freeze(enrich_all(t, n), "enriched"), "Index", test=0.2, seed=42)
+    train, test = (df.where(F.col("is_test") == i).drop("is_test") for i in (0, 1))
     registry = scratch_path(spark, "registry")
     train_job(train, test, FEATURES, registry=registry)
-    scorer = load_latest(spark, registry)
-    return scorer.score(test).select("Index", "Is_Laundering", "Is_Laundering_Prediction")
+    scored = load_latest(spark, registry).score(test)
+    return scored.select("Index", "Is_Laundering", F.col("Is_Laundering_Prediction").isin(0, 1).alias("has_class"))
 
 
 @register("latent_oversample")
 def q_latent_oversample(spark, sf_dir):
-    """One synthetic row per positive transfer, features in [0, 1] (rows-only + range check)."""
+    """One synthetic row per positive transfer; the oracle checks the rows and that features lie in [0, 1]."""
     df = freeze(enriched_transactions(spark, sf_dir), "enriched")
     scaled = apply_minmax(df, fit_minmax(df, FEATURES))
-    return oversample_latent(scaled, FEATURES, key="Index")
+    out = oversample_latent(scaled, FEATURES, key="Index")
+    inside = F.forall(F.array(*[c(x) for x in FEATURES]), lambda v: (v >= 0) & (v <= 1))
+    return out.select("Index", "Is_Laundering", "is_synthetic", inside.alias("in_range"))
