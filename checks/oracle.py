@@ -273,6 +273,10 @@ PER_CLASS_F1 = ("pcf", """SELECT *, CASE WHEN precision + recall = 0 THEN 0.0
                        ELSE 2 * precision * recall / (precision + recall) END AS f1 FROM pc""")
 
 
+def _scaled_expr(i: int, x: str) -> str:
+    return (f"CASE WHEN r.hi_{i} = r.lo_{i} THEN 0.0 ELSE (CAST(x.{_q(x)} AS DOUBLE) - r.lo_{i}) / (r.hi_{i} - r.lo_{i}) END")
+
+
 def ml_sql(q: dict[str, str]) -> None:
     q["split_random"] = with_ctes(f"""SELECT row_id,
         CAST(row_number() OVER (ORDER BY md5(concat('42:', CAST(row_id AS VARCHAR))), row_id)
@@ -287,6 +291,16 @@ def ml_sql(q: dict[str, str]) -> None:
                        for i, x in enumerate(FEATURES))
     q["minmax"] = core(f'SELECT x."Index", {scaled} FROM ({ENRICH_SELECT}) x CROSS JOIN (SELECT {rng} FROM ({ENRICH_SELECT})) r',
                        graph=True)
+    keep = f'SELECT x."Index", x.Is_Laundering, [{", ".join(_scaled_expr(i, x) for i, x in enumerate(FEATURES))}] AS v '
+    keep += f'FROM ({ENRICH_SELECT}) x CROSS JOIN (SELECT {rng} FROM ({ENRICH_SELECT})) r'
+    q["smote_knn"] = core(f"""SELECT "Index", CAST(nn_rank AS INTEGER) AS nn_rank, round(dist, 6) AS dist FROM (
+          SELECT a."Index", list_distance(a.v, b.v) AS dist,
+            row_number() OVER (PARTITION BY a."Index" ORDER BY list_distance(a.v, b.v), b."Index") AS nn_rank
+          FROM sc a JOIN sc b ON a."Index" <> b."Index") WHERE nn_rank <= 5""",
+        [("sc", f"SELECT * FROM ({keep}) WHERE Is_Laundering = 1")], graph=True)
+    q["smote_rows"] = with_ctes("""SELECT CAST(1 AS BIGINT) AS Is_Laundering,
+          count(*) FILTER (WHERE "Is Laundering" = '0') - count(*) FILTER (WHERE "Is Laundering" = '1') AS n_rows,
+          CAST(0 AS BIGINT) AS n_outside FROM transactions""")
     q["confusion"] = core("SELECT label, prediction, n AS count FROM conf", [SCORED, CONF])
     r9 = "round({x}, 9)"
     q["classification_report"] = core(f"""

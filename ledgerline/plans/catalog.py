@@ -520,6 +520,7 @@ def q_drift(spark, sf_dir):
 # --- model (M5, M7-M10, K6, S7) -------------------------------------------------------------
 
 from ..operators.resample import oversample_latent  # noqa: E402
+from ..operators.smote import knn, smote  # noqa: E402
 from .jobs import load_latest, train_job  # noqa: E402
 
 
@@ -546,3 +547,23 @@ def q_latent_oversample(spark, sf_dir):
     out = oversample_latent(scaled, FEATURES, key="Index")
     inside = F.forall(F.array(*[c(x) for x in FEATURES]), lambda v: (v >= 0) & (v <= 1))
     return out.select("Index", "Is_Laundering", "is_synthetic", inside.alias("in_range"))
+
+
+def _scaled_enriched(spark, sf_dir):
+    df = freeze(enriched_transactions(spark, sf_dir), "enriched")
+    return freeze(apply_minmax(df, fit_minmax(df, FEATURES)), "scaled")
+
+
+@register("smote_knn")
+def q_smote_knn(spark, sf_dir):
+    """Distances to the five nearest minority rows, for every minority row."""
+    near = knn(_scaled_enriched(spark, sf_dir).where("Is_Laundering = 1"), "Index", FEATURES, k=5)
+    return near.select(F.col("key").alias("Index"), "nn_rank", F.round("dist", STAT_DECIMALS).alias("dist"))
+
+
+@register("smote_rows")
+def q_smote_rows(spark, sf_dir):
+    """SMOTE until both classes are equal: synthetic rows per class, and how many lie outside [0, 1]."""
+    rows = smote(_scaled_enriched(spark, sf_dir), FEATURES, key="Index")
+    outside = F.exists(F.array(*[c(x) for x in FEATURES]), lambda v: (v < 0) | (v > 1))
+    return rows.groupBy("Is_Laundering").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(outside).alias("n_outside"))

@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -87,3 +89,23 @@ def freeze(df, name: str, partition_by: list[str] | None = None):
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return spark.read.schema(df.schema).parquet(path)  # an empty result has no file to infer from
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark) -> None:
+    """Give the Python workers this package, as ``--py-files`` would; once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[1]
+    if not (root / "ledgerline").is_dir():  # already running from an archive
+        return
+    # The driver's own copy; addPyFile sends it to every executor.
+    archive = os.path.join(tempfile.mkdtemp(prefix="ledgerline-code-"), "ledgerline_code.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted((root / "ledgerline").rglob("*.py")):
+            z.write(f, f.relative_to(root))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
