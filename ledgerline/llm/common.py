@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path, shuffle_partitions
+from ..session import scratch_path, ship_code, shuffle_partitions
 from ..sources.fixtures import table
 
 __all__ = ["BROADCAST_ROWS", "WS", "counted_broadcast", "materialize", "order_hash", "require",
@@ -57,26 +52,6 @@ def order_hash(*cols: Column) -> Column:
     return F.xxhash64(*cols)
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship_code(spark) -> None:
-    """Give the Python workers this package, as ``--py-files`` would; once per application."""
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
-        return
-    root = Path(__file__).resolve().parents[2]
-    if not (root / "ledgerline").is_dir():  # already running from an archive
-        return
-    # The driver's own copy; addPyFile sends it to every executor.
-    archive = os.path.join(tempfile.mkdtemp(prefix="ledgerline-code-"), "ledgerline_code.zip")
-    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
-        for f in sorted((root / "ledgerline").rglob("*.py")):
-            z.write(f, f.relative_to(root))
-    spark.sparkContext.addPyFile(archive)
-    _SHIPPED.add(app)
-
-
 def set_aside(df: DataFrame, names: tuple[str, ...]):
     """(``df`` with columns of these names renamed out of an operator's way, a function that names them back)."""
     clash = {c: f"_ll_aside_{i}" for i, c in enumerate(names) if c in df.columns}
