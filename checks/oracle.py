@@ -387,6 +387,8 @@ def io_sql(q: dict[str, str]) -> None:
     q["forest_score"] = with_ctes("""SELECT row_id AS "Index", CAST("Is Laundering" AS BIGINT) AS Is_Laundering, true AS has_class
         FROM (SELECT *, row_number() OVER (ORDER BY md5(concat('42:', CAST(row_id AS VARCHAR))), row_id) AS k FROM transactions)
         WHERE k <= (SELECT (count(*) * 2 + 9) // 10 FROM transactions)""")
+    q["retrain"] = with_ctes(f"""SELECT CAST(b AS BIGINT) AS batch_id, count(*) AS n_rows, CAST(2 AS BIGINT) AS n_models
+        FROM (SELECT CASE WHEN row_id < {CUT} THEN 0 ELSE 1 END AS b FROM transactions) GROUP BY b""")
     q["latent_oversample"] = with_ctes("""SELECT row_id AS "Index", CAST(1 AS BIGINT) AS Is_Laundering,
         CAST(1 AS INTEGER) AS is_synthetic, true AS in_range FROM transactions WHERE "Is Laundering" = '1'""")
 
@@ -450,6 +452,11 @@ def quality_sql(q: dict[str, str]) -> None:
     nwv = ("nwv", typed(f"(SELECT * FROM transactions WHERE row_id >= {CUT})"))
     dnv = ("dnv", typed(f"(SELECT * FROM transactions_dirty WHERE row_id >= {CUT})"))
     q["profile_stats"] = with_ctes(profile_sql("tv", num, TEXT_T), tv)
+    q["profile_top_values"] = with_ctes(_union([f"""SELECT {_lit(x)} AS feature, CAST(k AS INTEGER) AS rank, value, count FROM (
+          SELECT {_q(x)} AS value, count(*) AS count, row_number() OVER (ORDER BY count(*) DESC, {_q(x)}) AS k
+          FROM tv WHERE {_q(x)} IS NOT NULL GROUP BY 1) WHERE k <= 10""" for x in TEXT_T]), tv)
+    q["profile_quantiles"] = with_ctes(_union([f"""SELECT {_lit(x)} AS feature, CAST({i / 10} AS DOUBLE) AS q,
+          round(quantile_cont(CAST({_q(x)} AS DOUBLE), {i / 10}), 6) AS value FROM tv""" for x in num for i in range(11)]), tv)
     q["profile_slice"] = with_ctes(profile_sql("tv", [], ["Payment Currency", "Receiving Currency"]), tv)
     q["histograms"] = with_ctes(hist_sql("tv", num), tv)
     trs = ("trs", profile_sql("trv", num, TEXT_T))

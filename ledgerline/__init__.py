@@ -19,7 +19,7 @@ from .plans.jobs import load_latest, retrain_job, score_job, train_job
 from .sinks.writers import append_training, to_records, write_csv, write_json, write_predictions
 from .sources.readers import parse_records, read_snapshot, read_transactions
 from .sources.registry import latest_model, save_model
-from .sources.state import load_state, save_state
+from .sources.state import compact_state, load_state, save_state
 from .streaming.score_stream import stream_score, stream_transactions
 from .streaming.state_update import update_state
 

@@ -41,6 +41,11 @@ class State:
     dims: dict[str, DataFrame] = field(default_factory=dict)
     edges: DataFrame | None = None
     batch_id: int = -1
+    # What the last batch added; the store writes these and not the whole.
+    new_dims: dict[str, DataFrame] | None = None
+    new_edges: DataFrame | None = None
+    # Folders of the stored parts that make up this state.
+    parts: tuple[str, ...] = ()
 
     def dim(self, name: str) -> DataFrame | None:
         return self.dims.get(name)
@@ -112,8 +117,9 @@ def new_values(occ: DataFrame, existing: DataFrame) -> DataFrame:
 def fit_anchor(indexed: DataFrame, how: str = "first_row") -> int | None:
     """Midnight of the first row's day (or of the earliest row) minus 10 s, epoch seconds."""
     ts = parse_ts("Timestamp")
-    if how == "first_row":
-        first = indexed.select(F.min_by(midnight_epoch(ts), F.col("Index")).alias("m")).first()["m"]
+    if how == "first_row":  # the first row's text, then one text is parsed
+        first = indexed.select(F.min_by(c("Timestamp"), F.col("Index")).alias("Timestamp")).select(
+            midnight_epoch(ts).alias("m")).first()["m"]
     elif how == "min":
         first = indexed.select(F.min(midnight_epoch(ts)).alias("m")).first()["m"]
     else:
@@ -143,18 +149,18 @@ def add_index(raw: DataFrame, order_by: str = "row_id", offset: int | None = Non
     return with_row_index(raw, [order_by, tie], name="Index", return_count=True)
 
 
-def all_first_seen_codes(occ: DataFrame, state: State, existing_max: dict, pos_range: int,
+def new_first_seen_codes(occ: DataFrame, state: State, existing_max: dict, pos_range: int,
                          bucket_width: int = 1 << 20) -> DataFrame:
-    """(domain, value, code) for every domain at once; unseen values get codes after the
-    saved dictionary's largest code (R6). Ranking uses fixed-width position buckets per
+    """(domain, value, code) of the values not in the saved dictionaries, for every domain at once;
+    their codes follow the saved dictionary's largest code (R6). Ranking uses fixed-width position buckets per
     domain, so no task holds more than ``bucket_width`` values."""
     first = occ.where(F.col("value").isNotNull()).groupBy("domain", "value").agg(F.min("pos").alias("first_pos"))
-    saved = None
     if state.dims:
+        saved = None
         for k, df in state.dims.items():
-            t = df.select(F.lit(k).alias("domain"), "value", "code")
+            t = df.select(F.lit(k).alias("domain"), "value")
             saved = t if saved is None else saved.unionByName(t)
-        first = first.join(saved.select("domain", "value"), ["domain", "value"], "left_anti")
+        first = first.join(saved, ["domain", "value"], "left_anti")
     bucket = F.floor(F.col("first_pos") / F.lit(bucket_width)).cast("long")
     b = first.withColumn("_ll_b", bucket)
     pos = b.withColumn("_ll_r", F.row_number().over(
@@ -168,9 +174,8 @@ def all_first_seen_codes(occ: DataFrame, state: State, existing_max: dict, pos_r
     n_buckets = len(DOMAINS) * (pos_range // bucket_width + 1)
     if n_buckets <= MAX_BROADCAST_BUCKETS:
         offs = F.broadcast(offs)
-    coded = pos.join(offs, ["domain", "_ll_b"]).select(
+    return pos.join(offs, ["domain", "_ll_b"]).select(
         "domain", "value", (F.col("_ll_off") + F.col("_ll_r") - 1).cast("long").alias("code"))
-    return coded if saved is None else saved.unionByName(coded)
 
 
 def materialize(table: DataFrame, name: str = "dims") -> tuple[dict[str, DataFrame], dict[str, int]]:
@@ -229,7 +234,9 @@ def encode_transactions(raw: DataFrame, state: State | None = None, batch_id: in
     width = {"currency": 2, "payment_format": 1, "account": 2}
     existing_max = _max_codes(state) if state.dims else {}
     occ = all_occurrences(indexed, delimiter)
-    dims, sizes = materialize(all_first_seen_codes(occ, state, existing_max, max(width.values()) * max(n, 1)))
+    fresh, counts = materialize(new_first_seen_codes(occ, state, existing_max, max(width.values()) * max(n, 1)))
+    dims = {k: state.dims[k].unionByName(fresh[k]) if k in state.dims else fresh[k] for k in DOMAINS}
+    sizes = {k: counts[k] + (0 if existing_max.get(k) is None else int(existing_max[k]) + 1) for k in DOMAINS}
     keyed = indexed.select(
         "*",
         concat_key("From Bank", "Account", delimiter=delimiter).alias("_ll_from"),
@@ -256,7 +263,7 @@ def encode_transactions(raw: DataFrame, state: State | None = None, batch_id: in
     if check:
         # keep the raise_error expression alive without exposing a column
         encoded = encoded.where(F.col("_ll_check").isNull()).drop("_ll_check")
-    new_state = replace(state, anchor=anchor_s, dims=dims, batch_id=bid)
+    new_state = replace(state, anchor=anchor_s, dims=dims, batch_id=bid, new_dims=fresh, new_edges=None)
     if on_error == "quarantine":
         return encoded, new_state, rejects
     return encoded, new_state

@@ -46,7 +46,7 @@ def empty_edges(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], EDGE_SCHEMA)
 
 
-def _last_wins(df: DataFrame) -> DataFrame:
+def last_wins(df: DataFrame) -> DataFrame:
     """A10: one row per (src, dst), attributes of the latest (batch_id, Index)."""
     attrs = F.struct(*[F.col(a) for a in EDGE_ATTRS + ["batch_id", "Index"]])
     order = F.struct(F.col("batch_id"), F.col("Index"))
@@ -65,12 +65,12 @@ def build_edges(encoded: DataFrame) -> DataFrame:
         F.col("Payment_Format").alias("payment_format"),
         bid.cast("long").alias("batch_id"), F.col("Index").cast("long").alias("Index"),
     )
-    return _last_wins(e.where(F.col("src").isNotNull() & F.col("dst").isNotNull()))
+    return last_wins(e.where(F.col("src").isNotNull() & F.col("dst").isNotNull()))
 
 
 def merge_edges(old: DataFrame, new: DataFrame) -> DataFrame:
     """Compose two graphs; on a shared (src, dst) the later write (right side) wins."""
-    return _last_wins(old.select(*EDGE_SCHEMA.names).unionByName(new.select(*EDGE_SCHEMA.names)))
+    return last_wins(old.select(*EDGE_SCHEMA.names).unionByName(new.select(*EDGE_SCHEMA.names)))
 
 
 def nodes(edges: DataFrame) -> DataFrame:
@@ -157,17 +157,19 @@ def triangle_weights(pair_table: DataFrame, stats: DataFrame, n_nodes: int | Non
     return corners.groupBy("Node").agg(F.sum("p").cast("long").alias("tri"))
 
 
+def _coefficient():
+    """G7 from a node row joined with its triangle sum."""
+    den = F.col("dt") * (F.col("dt") - 1) - 2 * F.col("db")
+    return F.when(F.coalesce(F.col("tri"), F.lit(0)) > 0, F.col("tri").cast("double") / den.cast("double")).otherwise(F.lit(0.0))
+
+
 def clustering(edges: DataFrame, stats: DataFrame | None = None, pair_table: DataFrame | None = None,
                n_nodes: int | None = None) -> DataFrame:
     """(Node, clustering_coefficient) for every node of the graph."""
     pair_table = pair_table if pair_table is not None else pairs(edges)
     stats = stats if stats is not None else node_stats(pair_table=pair_table)
     tri = triangle_weights(pair_table, stats, n_nodes)
-    den = F.col("dt") * (F.col("dt") - 1) - 2 * F.col("db")
-    return stats.join(tri, "Node", "left").select(
-        "Node",
-        F.when(F.coalesce(F.col("tri"), F.lit(0)) > 0, F.col("tri").cast("double") / den.cast("double"))
-         .otherwise(F.lit(0.0)).alias("clustering_coefficient"))
+    return stats.join(tri, "Node", "left").select("Node", _coefficient().alias("clustering_coefficient"))
 
 
 def graph_tables(edges: DataFrame) -> tuple[DataFrame, DataFrame, int]:
@@ -184,13 +186,12 @@ def node_features(edges: DataFrame, nodes_of: DataFrame | None = None, n_nodes:
     """
     pt, stats, counted = graph_tables(edges)
     n_nodes = counted if n_nodes is None else n_nodes
-    cl = clustering(edges, stats, pt, n_nodes)
-    feats = stats.join(cl, "Node", "left").select(
+    feats = stats.join(triangle_weights(pt, stats, n_nodes), "Node", "left").select(
         F.col("Node").cast("long").alias("Node"),
         F.col("degree").cast("long").alias("degree"),
         F.col("in_degree").cast("long").alias("in_degree"),
         F.col("out_degree").cast("long").alias("out_degree"),
-        F.col("clustering_coefficient").cast("double").alias("clustering_coefficient"),
+        _coefficient().alias("clustering_coefficient"),
         (F.lit(1.0) if n_nodes <= 1 else F.col("degree").cast("double") / F.lit(float(n_nodes - 1)))
         .alias("degree_centrality"),
     )

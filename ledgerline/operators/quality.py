@@ -8,11 +8,12 @@ checks a new table against them with one aggregate plus an anti-join for unseen
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
-from .eda import _melt, exact_quantiles
+from ..session import freeze
+from .eda import _melt, exact_quantiles, value_counts
 
 # A text feature with at most this many distinct values gets a value domain (default of ``max_domain``).
 MAX_DOMAIN = 100
@@ -70,6 +71,29 @@ def profile(df: DataFrame, exclude: list[str] | None = None) -> DataFrame:
     return out
 
 
+def top_values(df: DataFrame, n: int = 10, exclude: list[str] | None = None) -> DataFrame:
+    """Q1: the ``n`` most frequent values of every text feature: (feature, rank, value, count), ties by value.
+
+    Values are counted once and written; each feature's first rows are then taken by a top-n of
+    ``n`` rows per task.
+    """
+    _, txt = split_features(df, exclude)
+    counts = freeze(value_counts(df, txt).withColumnRenamed("column", "feature"), "feature-values")
+    out = None
+    for x in txt:
+        top = counts.where(F.col("feature") == x).orderBy(F.desc("count"), "value").limit(n)
+        out = top if out is None else out.unionByName(top)
+    w = Window.partitionBy("feature").orderBy(F.desc("count"), "value")  # n rows per feature
+    return out.select("feature", F.row_number().over(w).alias("rank"), "value", "count")
+
+
+def quantile_bins(df: DataFrame, bins: int = 10, exclude: list[str] | None = None) -> DataFrame:
+    """Q1: edges of ``bins`` equally filled bins of every numeric feature: (feature, q, value)."""
+    num, _ = split_features(df, exclude)
+    m = _melt(df, num, cast="double").withColumnRenamed("column", "feature")
+    return exact_quantiles(m, ["feature"], "value", [i / bins for i in range(bins + 1)])
+
+
 def histogram(df: DataFrame, columns: list[str], buckets: int = HIST_BUCKETS,
               ranges: DataFrame | None = None) -> DataFrame:
     """Equal-width histogram per numeric feature: (feature, bucket, count).

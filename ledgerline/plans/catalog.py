@@ -474,9 +474,17 @@ def _train_new(spark, sf_dir, dirty_new=False):
 @register("profile_stats")
 def q_profile_stats(spark, sf_dir):
     stats = qa.profile(typed_view(fx.transactions(spark, sf_dir)))
-    p = scratch_path(spark, "profile")
-    stats.write.parquet(p)  # K7: statistics are kept as a table
-    return spark.read.parquet(p)
+    return spark.read.parquet(wr.write_profile(stats, scratch_path(spark, "profiles"), "train"))
+
+
+@register("profile_top_values")
+def q_profile_top_values(spark, sf_dir):
+    return qa.top_values(typed_view(fx.transactions(spark, sf_dir)), 10)
+
+
+@register("profile_quantiles")
+def q_profile_quantiles(spark, sf_dir):
+    return _round(qa.quantile_bins(typed_view(fx.transactions(spark, sf_dir)), 10), ["value"])
 
 
 @register("profile_slice")
@@ -521,7 +529,7 @@ def q_drift(spark, sf_dir):
 
 from ..operators.resample import oversample_latent  # noqa: E402
 from ..operators.smote import knn, smote  # noqa: E402
-from .jobs import load_latest, train_job  # noqa: E402
+from .jobs import load_latest, retrain_job, train_job  # noqa: E402
 
 
 @register("forest_score")
@@ -539,6 +547,28 @@ def q_forest_score(spark, sf_dir):
     return scored.select("Index", "Is_Laundering", F.col("Is_Laundering_Prediction").isin(0, 1).alias("has_class"))
 
 
+@register("retrain")
+def q_retrain(spark, sf_dir):
+    """A scored second batch joins the training table and the model is grown again: rows per batch, models kept."""
+    from ..sources.registry import list_models
+    from .pipeline import enrich_batch
+    t, n = fx.transactions_n(spark, sf_dir)
+    train, score, cut, n = fx.batches(t, n)
+    first, st = enrich_batch(train, index_offset=0, n_rows=cut, batch_id=0)
+    first = freeze(first, "first")
+    registry, table_dir = scratch_path(spark, "registry"), scratch_path(spark, "training")
+    wr.append_training(first, table_dir)
+    small = {"num_trees": 5, "max_depth": 5}  # which trees are grown is not what is checked
+    scorer = train_job(first, first, FEATURES, registry=registry, **small)[0]
+    st.edges = freeze(st.edges, "edges")
+    second = freeze(enrich_batch(score, st, index_offset=cut, n_rows=n - cut, batch_id=1)[0], "second")
+    scored = freeze(scorer.score(second), "scored")
+    retrain_job(table_dir, scored, second, FEATURES, registry, **small)
+    rows = spark.read.parquet(table_dir).groupBy(F.col("batch_id").cast("long").alias("batch_id")).agg(
+        F.count(F.lit(1)).alias("n_rows"))
+    return rows.withColumn("n_models", F.lit(list_models(spark, registry).count()).cast("long"))
+
+
 @register("latent_oversample")
 def q_latent_oversample(spark, sf_dir):
     """One synthetic row per positive transfer; the oracle checks the rows and that features lie in [0, 1]."""

@@ -19,6 +19,6 @@ def update_state(spark: SparkSession, raw: DataFrame, state_dir: str, batch_id:
     state = load_state(spark, state_dir)
     encoded, st = encode_transactions(raw, state, batch_id=batch_id, order_by=order_by)[:2]
     encoded = freeze(encoded, "encoded")
-    new_edges = build_edges(encoded)
+    st.new_edges = new_edges = build_edges(encoded)
     st.edges = new_edges if state.edges is None else merge_edges(state.edges, new_edges)
     return encoded, save_state(spark, st, state_dir)
