@@ -10,7 +10,9 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 SF = "/root/testdata/sf0.001"
 CHECKED = ["encode_first_seen", "clustering", "node_features", "enrich", "dict_extend", "graph_merge",
            "describe_all", "amount_summary", "quality_report", "split_stratified", "classification_report",
-           "drift", "anomalies", "read_strings", "label_encode"]
+           "drift", "anomalies", "read_strings", "label_encode", "schema_inferred", "profile_top_values", "profile_quantiles",
+           "state_graph", "state_update", "score_batch_enriched", "smote_knn", "smote_rows", "latent_oversample",
+           "describe_numeric", "head_positive"]
 
 
 @pytest.fixture(scope="module")

@@ -23,5 +23,8 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
 
 def test_entry_schema_is_stable(spark):
     import __spark_entry__ as E
-    assert E.entry(spark).columns == E.entry(spark).columns
-    assert len(E.entry(spark).columns) == 20
+    from ledgerline.plans.pipeline import ENRICHED_COLUMNS
+    df = E.entry(spark)
+    assert df.columns == ENRICHED_COLUMNS and len(df.columns) == 20
+    kinds = dict(df.dtypes)
+    assert kinds["from_degree"] == "bigint" and kinds["to_clustering_coeff"] == "double" and kinds["Is_Laundering"] == "bigint"
