@@ -43,7 +43,7 @@ class Rule:
 RULES = [
     Rule("mean_word_length", "mean_word_chars", 2.0, 12.0),
     Rule("symbol_ratio", "symbol_ratio", None, 0.25),
-    Rule("dup_line_ratio", "dup_line_ratio", None, 0.3),
+    Rule("dup_line_ratio", "dup_line_ratio", None, 0.5),
     Rule("stop_words", "n_stop_words", 2.0, None),
     Rule("line_length", "words_per_line", 1.5, None),
 ]
@@ -160,6 +160,6 @@ WITH d AS (
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND word_chars / n_words BETWEEN 2.0 AND 12.0 AND n_symbols / n_words <= 0.25
-  AND n_dup_lines / n_lines <= 0.3 AND n_stop >= 2 AND n_words / n_lines >= 1.5 AS kept
+  AND n_dup_lines / n_lines <= 0.5 AND n_stop >= 2 AND n_words / n_lines >= 1.5 AS kept
 FROM j
 """
