@@ -43,8 +43,9 @@ def with_row_index(df: DataFrame, order_by, name: str = "row_id", num_partitions
     The range-partitioned rows are written once, with their partition id and position, to
     a table in the shared checkpoint folder; the index is computed from that table only,
     so re-running any task later cannot change it. ``post`` (a ``DataFrame -> DataFrame``
-    projection that keeps the ``_ll_pid``/``_ll_pos`` columns) runs inside the parallel
-    write stage, e.g. to build derived columns once instead of in every consumer.
+    step that keeps the ``_ll_pid``/``_ll_pos`` columns) runs inside the parallel write stage,
+    e.g. to build derived columns once instead of in every consumer; if it drops or repeats
+    rows, the index is dense over what it leaves.
     """
     spark = df.sparkSession
     cols = _cols(order_by)
@@ -58,7 +59,11 @@ def with_row_index(df: DataFrame, order_by, name: str = "row_id", num_partitions
     path = scratch_path(spark, "row-index")
     tagged.write.mode("errorifexists").parquet(path)
     frozen = spark.read.parquet(path)
-    counts = dict(frozen.groupBy("_ll_pid").count().collect())  # one number per partition
+    found = frozen.groupBy("_ll_pid").agg(F.count(F.lit(1)).alias("n"), F.max("_ll_pos").alias("top")).collect()
+    counts = {r["_ll_pid"]: r["n"] for r in found}  # two numbers per partition
+    if any(r["top"] + 1 != r["n"] for r in found):  # ``post`` dropped or repeated rows: number what it left
+        frozen = frozen.withColumn("_ll_pos", F.row_number().over(
+            Window.partitionBy("_ll_pid").orderBy("_ll_pos")).cast("long") - 1)
     offsets, acc = [], start
     for p in range(max(counts, default=-1) + 1):
         offsets.append(acc)

@@ -98,6 +98,18 @@ def test_index_is_dense_whatever_the_ids(spark, ids):
     assert n == 3 and sorted(r["Index"] for r in out.collect()) == [0, 1, 2]
 
 
+@pytest.mark.parametrize("change", ["drop", "repeat"])
+def test_row_index_is_dense_after_post(spark, change):
+    from ledgerline.operators.rank import with_row_index
+
+    def post(d):
+        return d.where("id % 3 <> 1") if change == "drop" else d.unionByName(d.where("id % 5 = 0"))
+
+    out, n = with_row_index(spark.range(666), ["id"], name="i", num_partitions=5, return_count=True, post=post)
+    rows = out.orderBy("i").collect()
+    assert [r["i"] for r in rows] == list(range(n)) and [r["id"] for r in rows] == sorted(r["id"] for r in rows)
+
+
 def test_empty_table_freezes_with_its_schema(spark):
     df = spark.createDataFrame([], "domain string, value string, code long")
     assert freeze(df, "empty", partition_by=["domain"]).count() == 0
