@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, ship_code, shuffle_partitions
 from ..sources.fixtures import table
 
-__all__ = ["BROADCAST_ROWS", "WS", "counted_broadcast", "materialize", "order_hash", "require",
+__all__ = ["BROADCAST_ROWS", "WS", "counted_broadcast", "discard", "materialize", "order_hash", "require",
            "ship_code", "shuffle_partitions", "table", "words_of"]
 
 #: White space of the contracts: space and U+0009 to U+000D, as a Java character class.
@@ -25,7 +27,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._ll_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of :func:`materialize` that nothing reads any more, and the shuffle files behind them.
+
+    Spark drops shuffle files when the driver collects its garbage, so it is asked to.
+    """
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df._ll_path)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    jvm.System.gc()
 
 
 def counted_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:

@@ -4,16 +4,18 @@ Every word covered by a window of ``WINDOW`` words whose word sequence also star
 (smaller id, or same document and earlier start) is removed; windows are judged on the input.
 
 1. Phrases. Of the ``PHRASE``-word phrases inside every window the one with the smallest hash is
-   the window's mark, so equal windows have equal marks; about one phrase in eight is a mark of
-   some window. Their hashes are counted over the whole corpus and joined back: the marks that
-   occur at least twice are the recurring phrases.
+   the window's mark, so equal windows have equal marks; neighbouring windows with one mark form
+   a run, about seven windows long. Marks are counted over the whole corpus and joined back: those
+   that occur in two runs, or twice in one, are the recurring phrases.
 2. Automata. Documents are dealt by hash into shards of about ``SHARD_BYTES`` of text. Each shard
    compiles the recurring phrases of its own documents into one Aho-Corasick automaton and streams
    all its documents through it, which locates every occurrence. An automaton is thus bounded
    by its shard's text, however many phrases the corpus has.
-3. Windows whose mark was located are keyed by 96 bits of the hash of their words, and ranked by
-   (id, start); all but the first are repeats. Windows whose phrase is frequent are ranked in
-   salted parts first, then the parts' firsts. The repeats' words are taken out of the document.
+3. Places. Where all runs of a mark have the same words in the whole corpus (the inside of a copied
+   passage), a run is one place; elsewhere (at the edges) every window is. Places are keyed by their
+   mark and the hash of their words and ranked by (id, start); all but the first are repeats. Places
+   whose mark is frequent are ranked in salted parts first, then the parts' firsts. The words of
+   the repeats are taken out of the document.
 
 Text travels compressed; whole groups of copies are never gathered.
 
@@ -25,7 +27,6 @@ and rebuilt separately; extra columns are ignored; an empty table gives an empty
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import ahocorasick
@@ -33,10 +34,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, order_hash, require
+from .common import discard, materialize, order_hash, require
 
 WINDOW, PHRASE = 20, 5
 SHARD_BYTES = 1_500_000
@@ -92,13 +93,42 @@ def slide(f, a: np.ndarray, width: int) -> np.ndarray:
     return a
 
 
-def marks(phrases: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(smallest phrase hash of every window, whether a phrase is the smallest of some window)."""
+def runs(phrases: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of neighbouring windows with one mark: (first window, windows, mark, whether the mark's phrase comes once).
+
+    A window is ``width`` phrases wide and its mark is the smallest of their hashes. Windows of a run
+    in which the phrase comes once are all different.
+    """
     if len(phrases) < width:
-        return np.empty(0, np.uint64), np.zeros(len(phrases), dtype=bool)
+        none = np.empty(0, np.int64)
+        return none, none, np.empty(0, np.uint64), np.empty(0, dtype=bool)
     low = slide(np.minimum, phrases, width)
+    at = np.concatenate(([0], np.flatnonzero(low[1:] != low[:-1]) + 1))
+    n = np.diff(np.concatenate((at, [len(low)])))
     edge = np.zeros(width - 1, np.uint64)
-    return low, slide(np.maximum, np.concatenate((edge, low, edge)), width) == phrases
+    is_mark = slide(np.maximum, np.concatenate((edge, low, edge)), width) == phrases
+    # Marks sorted by (hash, place): how many of the run's own value lie inside it.
+    places = np.flatnonzero(is_mark)
+    order = np.lexsort((places, phrases[places]))
+    places, values = places[order], phrases[places][order]
+    scale = len(phrases) + width
+    ranks = np.searchsorted(np.unique(values), values).astype(np.int64) * scale + places
+    run_rank = np.searchsorted(np.unique(values), low[at]).astype(np.int64) * scale
+    inside = np.searchsorted(ranks, run_rank + at + n + width - 1) - np.searchsorted(ranks, run_rank + at)
+    return at, n, low[at], inside == 1
+
+
+def word_spans(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Byte offsets of the starts and ends of the words of a text joined by single spaces."""
+    ends = np.flatnonzero(np.frombuffer(text + b" ", dtype=np.uint8) == 32)
+    return np.concatenate(([0], ends[:-1] + 1)), ends
+
+
+def digests(text: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """63-bit hashes of pieces of a text."""
+    digest = xxhash.xxh3_64_digest
+    found = b"".join([digest(text[a:b]) for a, b in zip(starts.tolist(), ends.tolist())])
+    return np.frombuffer(found, dtype=">u8").astype(np.uint64) >> np.uint64(1)
 
 
 def split_words(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
@@ -119,22 +149,29 @@ def split_words(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def mark_lists(docs: DataFrame, window: int, phrase: int) -> DataFrame:
-    """(shard, marks): the mark hashes of every document, repeats included. ``docs``: shard, text."""
+    """(shard, marks, keys): mark and words' hash of every run of every document; -1 where a phrase comes again.
+
+    ``docs``: shard, text.
+    """
     width = window - phrase + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                texts = [(t or "").encode("utf-8") for t in part.column(1).to_pylist()]
-                found = []
-                for _, words in split_words(texts):
-                    p = phrase_hashes(words, phrase)
-                    found.append(p[marks(p, width)[1]].astype(np.int64))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.list_(pa.int64()))],
-                                                 names=["shard", "marks"])
+                texts = [b" ".join((t or "").encode("utf-8").split()) for t in part.column(1).to_pylist()]
+                found, keys = [], []
+                for i, words in split_words(texts):
+                    at, n, mark, once = runs(phrase_hashes(words, phrase), width)
+                    starts, ends = word_spans(texts[i])
+                    key = digests(texts[i], starts[at], ends[at + n + window - 2]).astype(np.int64)
+                    found.append(mark.astype(np.int64))
+                    keys.append(np.where(once, key, -1))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(found, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))],
+                    names=["shard", "marks", "keys"])
 
-    return docs.select("shard", "text").mapInArrow(run, "shard int, marks array<long>")
+    return docs.select("shard", "text").mapInArrow(run, "shard int, marks array<long>, keys array<long>")
 
 
 def packed_texts(docs: DataFrame) -> DataFrame:
@@ -152,100 +189,111 @@ def packed_texts(docs: DataFrame) -> DataFrame:
     return docs.select("shard", "id", "part", "text").mapInArrow(run, "shard int, id long, part long, text binary")
 
 
-def locate(texts: list[bytes], recurring: np.ndarray, counts: np.ndarray, window: int, phrase: int) -> Iterator[
-        tuple[np.ndarray, bytes, np.ndarray]]:
-    """For every text: starts of the windows with a recurring mark, their 16-byte digests, documents of the mark.
+def locate(texts: list[bytes], recurring: np.ndarray, counts: np.ndarray, mixed: np.ndarray, window: int, phrase: int) -> Iterator[
+        tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For every text its places with a recurring mark: first window, windows, mark, words' hash, count of the mark.
 
-    ``recurring``: sorted phrase hashes, with their counts.
+    ``recurring``: sorted phrase hashes, with their counts and whether their runs differ.
     """
     width = window - phrase + 1
     hashed = []
     automaton = ahocorasick.Automaton()
-    spans = []
+    none = np.empty(0, np.int64)
+
+    def place(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(recurring, marks), max(0, len(recurring) - 1))
+        return at, recurring[at] == marks if len(recurring) else np.zeros(len(marks), dtype=bool)
+
     for i, words in split_words(texts):
         p = phrase_hashes(words, phrase)
-        low, is_mark = marks(p, width)
-        hashed.append((p, low))
-        ends = np.flatnonzero(np.frombuffer(texts[i] + b" ", dtype=np.uint8) == 32)
-        starts = np.concatenate(([0], ends[:-1] + 1))
-        spans.append((starts, ends))
-        for at in np.flatnonzero(is_mark & np.isin(p, recurring)).tolist():
-            automaton.add_word(" " + texts[i][starts[at]:ends[at + phrase - 1]].decode("utf-8") + " ", 0)
+        at, n, mark, _ = runs(p, width)
+        starts, ends = word_spans(texts[i])
+        hashed.append((p, at, n, mark, starts, ends))
+        wanted = place(mark)[1]
+        for k, m in zip(at[wanted].tolist(), mark[wanted]):
+            first = k + int(np.argmax(p[k:k + width] == m))
+            automaton.add_word(" " + texts[i][starts[first]:ends[first + phrase - 1]].decode("utf-8") + " ", 0)
     if len(automaton):
         automaton.make_automaton()
-    for (p, low), (starts, ends), t in zip(hashed, spans, texts):
-        if not len(automaton) or not len(low):
-            yield np.empty(0, np.int64), b"", np.empty(0, np.int64)
+    for (p, at, n, mark, starts, ends), t in zip(hashed, texts):
+        if not len(automaton) or not len(at):
+            yield none, none, none, none, none
             continue
         body = " " + t.decode("utf-8") + " "
         hits = np.fromiter((e for e, _ in automaton.iter(body)), np.int64)
         spaces = np.flatnonzero(np.frombuffer(body.encode("utf-32-le"), dtype=np.uint32) == 32)
         flagged = np.full(len(p), _NONE)
-        places = np.searchsorted(spaces, hits) - phrase
-        flagged[places] = p[places]
-        at = np.flatnonzero(slide(np.minimum, flagged, width) == low)
-        digest = xxhash.xxh3_128_digest
-        digests = b"".join([digest(t[a:b]) for a, b in zip(starts[at].tolist(), ends[at + window - 1].tolist())])
-        yield at, digests, counts[np.searchsorted(recurring, low[at])]
-
-
-def windows(docs: DataFrame, need: DataFrame, window: int, phrase: int, part_rows: int) -> DataFrame:
-    """(id, part, text, starts, key_a, key_b, salts) of every document: its windows with a recurring mark.
-
-    ``salts`` is -1 where the window is ranked in one piece, else the document's part number.
+        located = np.searchsorted(spaces, hits) - phrase
+        flagged[located] = p[located]
+        found = slide(np.minimum, flagged, width)[at] == mark
+        at, n, mark = at[found], n[found], mark[found]
+        row = place(mark)[0]
+        one = ~mixed[row]
+        # Runs of uniform marks stay whole, the others come window by window.
+        each = np.where(one, 1, n)
+        first = np.repeat(at, each) + (np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each))
+        size = np.repeat(np.where(one, n, 1), each)
+        key = digests(t, starts[first], ends[first + size + window - 2])
+        yield first, size, np.repeat(mark, each), key, np.repeat(counts[row], each)
+
+
+def places(docs: DataFrame, need: DataFrame, window: int, phrase: int, part_rows: int) -> DataFrame:
+    """(id, part, text, starts, sizes, marks, keys, salts) of every document: its places with a recurring mark.
+
+    ``salts`` is -1 where the place is ranked in one piece, else the document's part number.
     """
-    schema = "id long, part long, text binary, starts array<int>, key_a array<long>, key_b array<int>, salts array<int>"
+    schema = ("id long, part long, text binary, starts array<int>, sizes array<int>, marks array<long>, keys array<long>, "
+              "salts array<int>")
 
     def run(_, docs, need):
         h, n = need.column("mark").to_numpy().astype(np.uint64), need.column("n").to_numpy()
+        mixed = need.column("mixed").to_numpy(zero_copy_only=False).astype(bool)
         order = np.argsort(h)
-        h, n = h[order], n[order]
+        h, n, mixed = h[order], n[order], mixed[order]
         texts = [zstandard.decompress(t) for t in docs.column("text").to_pylist()]
         ids = docs.column("id").to_pylist()
-        out = [[], [], [], []]
-        for i, (at, digests, counts) in enumerate(locate(texts, h, n, window, phrase)):
-            key = np.frombuffer(digests, dtype=np.int64).reshape(-1, 2)
+        out = [[], [], [], [], []]
+        for i, (at, size, mark, key, counts) in enumerate(locate(texts, h, n, mixed, window, phrase)):
             parts = -(-counts // part_rows)
             deal = xxhash.xxh3_64_intdigest(f"{ids[i]}") >> 2
-            out[0].append(at.astype(np.int32))
-            out[1].append(key[:, 0])
-            out[2].append(key[:, 1].astype(np.int32))
-            out[3].append(np.where(parts > 1, deal % np.maximum(parts, 1), -1).astype(np.int32))
-        kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32()]
-        cols = [pa.array(c, pa.list_(k)) for c, k in zip(out, kinds)]
+            salt = np.where(parts > 1, deal % np.maximum(parts, 1), -1)
+            for o, x in zip(out, (at, size, mark, key, salt)):
+                o.append(x.astype(np.int64))
+        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
+        cols = [pa.array(c, pa.list_(pa.int64())).cast(pa.list_(k)) for c, k in zip(out, kinds)]
         return pa.Table.from_arrays([docs.column("id"), docs.column("part"), docs.column("text"), *cols],
-                                    names=["id", "part", "text", "starts", "key_a", "key_b", "salts"])
+                                    names=["id", "part", "text", "starts", "sizes", "marks", "keys", "salts"])
 
     return docs.groupBy("shard").cogroup(need.groupBy("shard")).applyInArrow(run, schema)
 
 
-def repeats(found: DataFrame) -> DataFrame:
-    """(id, part, starts): starts of the windows that also start earlier."""
-    rows = found.where(F.size("starts") > 0).select("id", "part", F.explode(F.arrays_zip("starts", "key_a", "key_b", "salts")).alias("w"))
-    rows = rows.select("id", "part", F.col("w.starts").alias("start"), F.col("w.key_a").alias("a"), F.col("w.key_b").alias("b"),
-                       F.col("w.salts").alias("salt"))
-    order = [F.col("id").asc_nulls_first(), F.col("start")]
+def ranked_places(found: DataFrame) -> DataFrame:
+    """(id, part, at, late, a, b): places that are not the first of their part, and firsts of salted parts."""
+    rows = found.where(F.size("starts") > 0).select(
+        "id", "part", F.explode(F.arrays_zip("starts", "sizes", "marks", "keys", "salts")).alias("w"))
+    # First window and windows as one number: fewer bytes to shuffle, and the same order.
+    rows = rows.select("id", "part", F.shiftleft(F.col("w.starts").cast("long"), 31).bitwiseOR(F.col("w.sizes").cast("long")).alias("at"),
+                       F.col("w.marks").alias("a"), F.col("w.keys").alias("b"), F.col("w.salts").alias("salt"))
+    order = [F.col("id").asc_nulls_first(), F.col("at")]
     late = F.rank().over(Window.partitionBy("a", "b", "salt").orderBy(*order)) > 1
     ranked = rows.withColumn("late", late).where("late OR salt >= 0")
     # Firsts of a part meet once more; the others only need their place.
-    ranked = materialize(ranked.select("id", "part", "start", "late", F.when(~F.col("late"), F.col("a")).alias("a"),
-                                       F.when(~F.col("late"), F.col("b")).alias("b")), "passages-ranked")
-    firsts = ranked.where("NOT late").withColumn("k", F.rank().over(Window.partitionBy("a", "b").orderBy(*order)))
-    all_late = ranked.where("late").select("id", "part", "start").unionByName(firsts.where("k > 1").select("id", "part", "start"))
-    return all_late.groupBy("id", "part").agg(F.collect_set("start").alias("gone"))
+    return materialize(ranked.select("id", "part", "at", "late", F.when(~F.col("late"), F.col("a")).alias("a"),
+                                     F.when(~F.col("late"), F.col("b")).alias("b")), "passages-ranked")
 
 
-def _free(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of tables that are written and done with."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def repeats(ranked: DataFrame) -> DataFrame:
+    """(id, part, gone): first window and windows, as one number, of the places that also come earlier."""
+    order = [F.col("id").asc_nulls_first(), F.col("at")]
+    firsts = ranked.where("NOT late").withColumn("k", F.rank().over(Window.partitionBy("a", "b").orderBy(*order)))
+    all_late = ranked.where("late").select("id", "part", "at").unionByName(firsts.where("k > 1").select("id", "part", "at"))
+    return all_late.groupBy("id", "part").agg(F.collect_set("at").alias("gone"))
 
 
 def dedup_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW, phrase: int = PHRASE,
                    shard_bytes: int = SHARD_BYTES, part_rows: int = PART_ROWS) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_text) of every document; kept words are joined by one space."""
     require(docs, text, doc_id)
-    spark = docs.sparkSession
     body = F.col(f"`{text}`").cast("string")
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), body.alias("text"))
     total = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
@@ -256,16 +304,19 @@ def dedup_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     rows = rows.select(F.pmod(order_hash(F.col("id"), part), F.lit(shards)).cast("int").alias("shard"), "id",
                        part.alias("part"), "text")
     listed = materialize(mark_lists(rows, window, phrase), "passages-marks")
-    one = listed.select("shard", F.explode("marks").alias("mark"))
-    often = one.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    one = listed.select("shard", F.explode(F.arrays_zip("marks", "keys")).alias("m")).select(
+        "shard", F.col("m.marks").alias("mark"), F.col("m.keys").alias("key"))
+    often = one.groupBy("mark").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("low"), F.max("key").alias("high"))
+    often = often.where("n > 1 OR low < 0").select("mark", "n", F.expr("low < 0 OR low <> high").alias("mixed"))
     often = materialize(often, "passages-often")
-    need = materialize(one.distinct().join(often, "mark"), "passages-need")
-    _free(spark)
-    found = materialize(windows(packed_texts(rows), need, window, phrase, part_rows), "passages-windows")
-    _free(spark)
-    gone = materialize(repeats(found), "passages-gone")
-    _free(spark)
-    clean = found.where(F.size("starts") == 0).select("id", "text", F.lit(None).cast("array<int>").alias("gone"))
+    need = materialize(one.select("shard", "mark").distinct().join(often, "mark"), "passages-need")
+    discard(listed, often)
+    found = materialize(places(packed_texts(rows), need, window, phrase, part_rows), "passages-places")
+    discard(need)
+    ranked = ranked_places(found)
+    gone = materialize(repeats(ranked), "passages-gone")
+    discard(ranked)
+    clean = found.where(F.size("starts") == 0).select("id", "text", F.lit(None).cast("array<long>").alias("gone"))
     gone = gone.select(F.col("id").alias("id_"), F.col("part").alias("part_"), "gone")
     hit = found.where(F.size("starts") > 0).select("id", "part", "text").join(
         gone, F.col("id").eqNullSafe(F.col("id_")) & (F.col("part") == F.col("part_")), "left").select("id", "text", "gone")
@@ -285,8 +336,8 @@ def dedup_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                         continue
                     edge = np.zeros(len(words) + 1, np.int64)
                     at = np.array(starts)
-                    edge[at] += 1
-                    edge[at + window] -= 1
+                    np.add.at(edge, at >> 31, 1)
+                    np.add.at(edge, (at >> 31) + (at & 0x7FFFFFFF) + window - 1, -1)
                     out = np.cumsum(edge[:-1]) > 0
                     removed.append(int(out.sum()))
                     kept.append(b" ".join([w for w, x in zip(words, out.tolist()) if not x]).decode("utf-8"))
@@ -295,3 +346,25 @@ def dedup_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                                                  names=["doc_id", "n_words", "n_removed", "kept_text"])
 
     return clean.unionByName(hit).mapInArrow(rebuild, "doc_id long, n_words long, n_removed long, kept_text string")
+
+
+ORACLE_SQL = f"""
+WITH d AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') IF x <> ''] AS w FROM documents
+), win AS (
+  SELECT doc_id, s, array_to_string(w[s:s + {WINDOW - 1}], ' ') AS k
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - {WINDOW - 2})) AS s FROM d WHERE len(w) >= {WINDOW})
+), late AS (
+  SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS r FROM win) WHERE r > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + {WINDOW})) AS p FROM late
+), words AS (
+  SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d
+), kept AS (
+  SELECT words.doc_id, string_agg(x, ' ' ORDER BY words.p) AS t, count(*) AS n
+  FROM words ANTI JOIN gone ON gone.doc_id = words.doc_id AND gone.p = words.p GROUP BY words.doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""

@@ -100,5 +100,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_winnow_line_dedup": op2_line_dedup.ORACLE_SQL,
         "op7_benchmark_decontamination": op7_decontaminate.ORACLE_SQL,
+        "op9_substring_dedup": op9_substring.ORACLE_SQL,
         "op10_quality_rules": op10_rules.ORACLE_SQL,
     }
