@@ -53,7 +53,8 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
     """(id, text_hash, starts): starts of the windows whose lines also start earlier. ``docs``: id, text_hash, text."""
     lined = docs.select("id", "text_hash", F.transform(word_lines(F.col("text")), lambda x: F.xxhash64(x)).alias("h"))
     lined = lined.select("id", "text_hash", "h", selected(F.col("h"), window).alias("at"))
-    marks = lined.select("id", "text_hash", "h", F.explode("at").alias("p"))
+    # explode_outer: explode() would add a filter that works out the array a second time, per element.
+    marks = lined.select("id", "text_hash", "h", F.explode_outer("at").alias("p")).where("p IS NOT NULL")
     lo = F.greatest(F.lit(0), F.col("p") - (window - 1))
     marks = materialize(marks.select(
         "id", "text_hash", "p", F.get("h", F.col("p")).alias("mark"), lo.alias("lo"),
@@ -65,7 +66,7 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
     # Extend both ways: the windows with the mark inside, each by its line hashes.
     begin = F.sequence(F.col("lo"), F.least(F.col("p"), F.col("lo") + F.size("around") - window))
     inside = found.where(F.least(F.col("p"), F.col("lo") + F.size("around") - window) >= F.col("lo")).select(
-        "id", "text_hash", F.explode(F.transform(begin, lambda s: F.struct(
+        "id", "text_hash", F.explode_outer(F.transform(begin, lambda s: F.struct(
             s.alias("s"), F.slice("around", s - F.col("lo") + 1, window).alias("run")))).alias("w"))
     places = materialize(inside.select("id", "text_hash", F.col("w.s").alias("s"), F.col("w.run").alias("run")).distinct(),
                          "lines-places")
@@ -86,7 +87,8 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", win
     later = materialize(later.select(F.col("id").alias("_ll_id"), F.col("text_hash").alias("_ll_hash"),
                                      gone.alias("_ll_gone")), "lines-later")
     same = F.col(f"`{doc_id}`").cast("long").eqNullSafe(F.col("_ll_id")) & (order_hash(body) == F.col("_ll_hash"))
-    out = docs.join(counted_broadcast(later, 20_000), same, "left")
+    # One way at every size: documents that lose lines grow with the corpus, so they are never broadcast.
+    out = docs.join(later.hint("merge"), same, "left")
     lines = word_lines(body)
     # One lambda call binds the lines once per row.
     left = F.get(F.transform(F.array(lines), lambda x: F.array_join(F.transform(
