@@ -65,20 +65,22 @@ def encode_texts(texts: list[str | None], path: str) -> list[bytes]:
         _CHUNKS[path] = {}
     tok, known = _TOKENIZERS[path], _CHUNKS[path]
     split = [t.encode("utf-8").split() if t else [] for t in texts]
-    new: set[bytes] = set()
-    for chunks in split:
-        new.update(chunks)
-    fresh = [c for c in new if c not in known]
-    extra: dict[bytes, bytes] = {}
-    for i in range(0, len(fresh), 4096):
-        part = fresh[i:i + 4096]
-        encoded = tok.encode_batch_fast([c.decode("utf-8") for c in part], add_special_tokens=False)
-        for c, e in zip(part, encoded):
-            ids = e.ids
-            (known if len(known) < CACHE_ENTRIES and len(c) <= 64 else extra)[c] = struct.pack(f"<{len(ids)}I", *ids)
-    if not extra:
-        return [b"".join([known[c] for c in chunks]) for chunks in split]
-    return [b"".join([known[c] if c in known else extra[c] for c in chunks]) for chunks in split]
+    found = [list(map(known.get, chunks)) for chunks in split]
+    short = [i for i, ids in enumerate(found) if None in ids]
+    if short:
+        fresh = list({c for i in short for c, ids in zip(split[i], found[i]) if ids is None})
+        extra: dict[bytes, bytes] = {}
+        for at in range(0, len(fresh), 4096):
+            part = fresh[at:at + 4096]
+            encoded = tok.encode_batch_fast([c.decode("utf-8") for c in part], add_special_tokens=False)
+            for c, e in zip(part, encoded):
+                ids = e.ids
+                extra[c] = struct.pack(f"<{len(ids)}I", *ids)
+        for i in short:
+            found[i] = [extra[c] if ids is None else ids for c, ids in zip(split[i], found[i])]
+        if len(known) < CACHE_ENTRIES:
+            known.update((c, ids) for c, ids in extra.items() if len(c) <= 64)
+    return list(map(b"".join, found))
 
 
 def grain_crcs(ids: bytes, grain: int) -> list[int]:
