@@ -1,26 +1,39 @@
-"""ledgerline: transaction-risk analytics on Spark (DataFrame / SQL / ML / Structured Streaming)."""
+"""ledgerline: transaction-risk analytics on Spark (DataFrame / SQL / ML / Structured Streaming).
 
-from .operators.eda import (amount_summary, cardinality, clean, describe_numeric, describe_strings, find_negative,
-                            find_nulls, flagged, info, null_counts, quality_report, score_summary, slice_by_label,
-                            value_counts)
-from .operators.encode import (State, encode_transactions, extend_dictionary, first_seen_codes, fit_anchor,
-                               label_encode)
-from .operators.enrich import edge_list, edge_list_lines, enrich
-from .operators.graph import (build_edges, clustering, empty_edges, graph_counts, merge_edges, node_features,
-                              node_stats, nodes)
-from .operators.metrics import binary_metrics, classification_report, confusion
-from .operators.model import ForestScorer, assemble_features, fit_scorer
-from .operators.quality import compare_profiles, drift, histogram, infer_expectations, profile, validate
-from .operators.rank import head_by_index, rank_unique, with_row_index
-from .operators.resample import oversample_latent
-from .operators.scale import apply_minmax, fit_minmax
-from .operators.split import split
-from .plans.jobs import load_latest, retrain_job, score_job, train_job
-from .sinks.writers import append_training, to_records, write_csv, write_json, write_predictions
-from .sources.readers import parse_records, read_snapshot, read_transactions
-from .sources.registry import latest_model, save_model
-from .sources.state import compact_state, load_state, save_state
-from .streaming.score_stream import stream_score, stream_transactions
-from .streaming.state_update import update_state
+Names are imported from their modules when they are first used, so that a Python worker that needs
+one operator does not load them all.
+"""
 
-__all__ = [n for n in dir() if not n.startswith("_")]
+from importlib import import_module
+
+_MODULES = {
+    "operators.eda": (
+        "amount_summary cardinality clean describe_numeric describe_strings find_negative find_nulls "
+        "flagged info null_counts quality_report score_summary slice_by_label value_counts"
+    ),
+    "operators.encode": "State encode_transactions extend_dictionary first_seen_codes fit_anchor label_encode",
+    "operators.enrich": "edge_list edge_list_lines enrich",
+    "operators.graph": "build_edges clustering empty_edges graph_counts merge_edges node_features node_stats nodes",
+    "operators.metrics": "binary_metrics classification_report confusion",
+    "operators.model": "ForestScorer assemble_features fit_scorer",
+    "operators.quality": "compare_profiles drift histogram infer_expectations profile validate",
+    "operators.rank": "head_by_index rank_unique with_row_index",
+    "operators.resample": "oversample_latent",
+    "operators.scale": "apply_minmax fit_minmax",
+    "operators.split": "split",
+    "plans.jobs": "load_latest retrain_job score_job train_job",
+    "sinks.writers": "append_training to_records write_csv write_json write_predictions",
+    "sources.readers": "parse_records read_snapshot read_transactions",
+    "sources.registry": "latest_model save_model",
+    "sources.state": "compact_state load_state save_state",
+    "streaming.score_stream": "stream_score stream_transactions",
+    "streaming.state_update": "update_state",
+}
+_WHERE = {name: module for module, names in _MODULES.items() for name in names.split()}
+__all__ = sorted(_WHERE)
+
+
+def __getattr__(name: str):
+    if name not in _WHERE:
+        raise AttributeError(f"module {__name__!r} has no attribute {name!r}")
+    return getattr(import_module(f".{_WHERE[name]}", __name__), name)
