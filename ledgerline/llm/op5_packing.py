@@ -38,7 +38,7 @@ GRAIN = 16
 #: Documents per randomised group, on average.
 GROUP_DOCS = 2048
 #: Entries of a Python worker's table from white-space-delimited chunk to packed ids.
-CACHE_ENTRIES = 700_000
+CACHE_ENTRIES = 500_000
 
 _TOKENIZERS: dict[str, object] = {}
 _CHUNKS: dict[str, dict[bytes, bytes]] = {}

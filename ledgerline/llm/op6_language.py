@@ -35,7 +35,7 @@ SEED = 42
 #: Letters beyond this many share vectors (code point modulo the table size).
 LETTERS = 4096
 #: Documents handled together; texts longer than SLICE_CHARS in sum start a new slice.
-SLICE_DOCS, SLICE_CHARS = 128, 1_000_000
+SLICE_DOCS, SLICE_CHARS = 128, 400_000
 
 _STATE: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
 _LETTER: list[np.ndarray] = []
@@ -54,7 +54,7 @@ def _letter_table() -> np.ndarray:
     if not _LETTER:
         ok = np.fromiter((chr(i).isalpha() for i in range(0x110000)), dtype=bool, count=0x110000)
         rows = 1 + np.arange(0x110000) % (LETTERS - 1)
-        _LETTER.append(np.where(ok, rows, 0).astype(np.int64))
+        _LETTER.append(np.where(ok, rows, 0).astype(np.int16))
     return _LETTER[0]
 
 
@@ -64,7 +64,7 @@ def trigram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     cp = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     sizes = np.array([len(t.lower()) + 3 for t in texts])  # two spaces and the separator
     doc = np.repeat(np.arange(len(texts)), sizes)[:len(cp)]
-    row = _letter_table()[cp]
+    row = _letter_table()[cp].astype(np.int64)
     keep = np.ones(len(row), dtype=bool)
     keep[1:] = (row[1:] != 0) | (row[:-1] != 0) | (doc[1:] != doc[:-1])
     row, doc = row[keep], doc[keep]
