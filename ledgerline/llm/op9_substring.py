@@ -13,9 +13,10 @@ Every word covered by a window of ``WINDOW`` words whose word sequence also star
    by its shard's text, however many phrases the corpus has.
 3. Places. Where all runs of a mark have the same words in the whole corpus (the inside of a copied
    passage), a run is one place; elsewhere (at the edges) every window is. Places are keyed by their
-   mark and the hash of their words and ranked by (id, start); all but the first are repeats. Places
-   whose mark is frequent are ranked in salted parts first, then the parts' firsts. The words of
-   the repeats are taken out of the document.
+   mark and the hash of their words and ranked by (id, start); all but the first are repeats. A shard
+   already knows that all but its own first are; only those firsts travel, so a passage sends a row
+   per shard at most, however often it occurs. Places whose mark is frequent are ranked in salted
+   parts first, then the parts' firsts. The words of the repeats are taken out of the document.
 
 Text travels compressed; whole groups of copies are never gathered.
 
@@ -238,12 +239,14 @@ def locate(texts: list[bytes], recurring: np.ndarray, counts: np.ndarray, mixed:
 
 
 def places(docs: DataFrame, need: DataFrame, window: int, phrase: int, part_rows: int) -> DataFrame:
-    """(id, part, text, starts, sizes, marks, keys, salts) of every document: its places with a recurring mark.
+    """(id, part, text, known, starts, sizes, marks, keys, salts) of every document: its places with a recurring mark.
 
-    ``salts`` is -1 where the place is ranked in one piece, else the document's part number.
+    ``known``: places (first window and windows as one number) that also come earlier in the shard; the
+    other columns hold the rest. ``salts`` is -1 where the place is ranked in one piece, else the
+    document's part number.
     """
-    schema = ("id long, part long, text binary, starts array<int>, sizes array<int>, marks array<long>, keys array<long>, "
-              "salts array<int>")
+    schema = ("id long, part long, text binary, known array<long>, starts array<int>, sizes array<int>, marks array<long>, "
+              "keys array<long>, salts array<int>")
 
     def run(_, docs, need):
         h, n = need.column("mark").to_numpy().astype(np.uint64), need.column("n").to_numpy()
@@ -252,17 +255,30 @@ def places(docs: DataFrame, need: DataFrame, window: int, phrase: int, part_rows
         h, n, mixed = h[order], n[order], mixed[order]
         texts = [zstandard.decompress(t) for t in docs.column("text").to_pylist()]
         ids = docs.column("id").to_pylist()
-        out = [[], [], [], [], []]
-        for i, (at, size, mark, key, counts) in enumerate(locate(texts, h, n, mixed, window, phrase)):
-            parts = -(-counts // part_rows)
-            deal = xxhash.xxh3_64_intdigest(f"{ids[i]}") >> 2
-            salt = np.where(parts > 1, deal % np.maximum(parts, 1), -1)
-            for o, x in zip(out, (at, size, mark, key, salt)):
-                o.append(x.astype(np.int64))
-        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
-        cols = [pa.array(c, pa.list_(pa.int64())).cast(pa.list_(k)) for c, k in zip(out, kinds)]
+        found = [tuple(x.astype(np.int64) for x in place) for place in locate(texts, h, n, mixed, window, phrase)]
+        at, size, mark, key, counts = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 5
+        doc = np.repeat(np.arange(len(found)), [len(place[0]) for place in found])
+        # Rank of the documents by id, null first; equal ids share a rank.
+        known_ids = sorted({i for i in ids if i is not None})
+        rank = np.array([0 if i is None else 1 + int(np.searchsorted(known_ids, i)) for i in ids], dtype=np.int64)[doc]
+        order = np.lexsort((at, rank, key, mark))
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (mark[order][1:] != mark[order][:-1]) | (key[order][1:] != key[order][:-1])
+        lead = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))] if len(order) else order
+        late = np.zeros(len(order), dtype=bool)
+        late[order] = (rank[order] != rank[lead]) | (at[order] != at[lead])
+        parts = -(-counts // part_rows)
+        deal = np.array([xxhash.xxh3_64_intdigest(f"{i}") >> 2 for i in ids], dtype=np.int64)[doc]
+        salt = np.where(parts > 1, deal % np.maximum(parts, 1), -1)
+
+        def lists(values: np.ndarray, keep: np.ndarray, kind: pa.DataType) -> pa.Array:
+            ends = np.cumsum(np.bincount(doc[keep], minlength=len(texts)))
+            return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(values[keep], kind))
+
+        cols = [lists((at << 31) | size, late, pa.int64())] + [
+            lists(x, ~late, k) for x, k in ((at, pa.int32()), (size, pa.int32()), (mark, pa.int64()), (key, pa.int64()), (salt, pa.int32()))]
         return pa.Table.from_arrays([docs.column("id"), docs.column("part"), docs.column("text"), *cols],
-                                    names=["id", "part", "text", "starts", "sizes", "marks", "keys", "salts"])
+                                    names=["id", "part", "text", "known", "starts", "sizes", "marks", "keys", "salts"])
 
     return docs.groupBy("shard").cogroup(need.groupBy("shard")).applyInArrow(run, schema)
 
@@ -316,10 +332,11 @@ def dedup_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     ranked = ranked_places(found)
     gone = materialize(repeats(ranked), "passages-gone")
     discard(ranked)
-    clean = found.where(F.size("starts") == 0).select("id", "text", F.lit(None).cast("array<long>").alias("gone"))
+    clean = found.where(F.size("starts") == 0).select("id", "text", F.col("known").alias("gone"))
     gone = gone.select(F.col("id").alias("id_"), F.col("part").alias("part_"), "gone")
-    hit = found.where(F.size("starts") > 0).select("id", "part", "text").join(
-        gone, F.col("id").eqNullSafe(F.col("id_")) & (F.col("part") == F.col("part_")), "left").select("id", "text", "gone")
+    hit = found.where(F.size("starts") > 0).select("id", "part", "text", "known").join(
+        gone, F.col("id").eqNullSafe(F.col("id_")) & (F.col("part") == F.col("part_")), "left").select(
+        "id", "text", F.when(F.col("gone").isNull(), F.col("known")).otherwise(F.concat("known", "gone")).alias("gone"))
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
