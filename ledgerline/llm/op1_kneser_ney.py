@@ -5,12 +5,19 @@ Spark; continuation counts, discounts and back-off weights come from joins of th
 on the context (sharded by it); every document gets its perplexity under the model, and is kept
 when that is not above a quantile of the trusted documents of its own language.
 
-Scale. Text is mapped to an alphabet of ``SYMBOLS`` symbols, so the model has at most
-``SYMBOLS ** ORDER`` n-grams (5.3 million, 21 MB as floats) however large the corpus is: that is
-the proven bound behind broadcasting its log-probabilities for scoring. A join of every
-document's own n-grams with the model would shuffle the whole corpus several times over.
-Training counts leave each task summed per n-gram, so what is gathered grows with the input's
-tasks, not with its characters.
+Orders ``DEEP`` and ``DEEP - 1`` are n-grams of the characters as they stand, so the model grows with
+the trusted text. Below them a model over ``SYMBOLS`` classes of characters (order ``ORDER``, shared
+out evenly within a class) gives every character a probability, also those never seen.
+
+A trusted document is scored without its own n-grams (leave one out): its share of an n-gram's count is
+taken off, and what only it holds is left to the lower order. Otherwise the quantile would be that of
+learned text and too strict for text like it.
+
+Scale. A task sums its documents' n-grams and emits, per slice of text and distinct n-gram, which
+documents hold it and how often. The distinct n-grams of the corpus are joined with the count tables,
+their probabilities with the slices' rows, and the bits are summed per document; no table of the
+characters' own n-grams is broadcast or reaches the driver. Only the class model does: it has at most
+``SYMBOLS ** ORDER`` entries (5.3 million, 21 MB as floats) however large the corpus is.
 
 Defined results: null or empty text: perplexity null and not kept; a null language forms its own
 class ``und``; a language without trusted text uses the quantile over all trusted documents; no
@@ -25,17 +32,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import counted_broadcast, materialize, require
 
+#: Highest order over characters; the classes of characters below have theirs.
+DEEP = 6
 ORDER = 4
 SYMBOLS = 48
 #: A document is kept up to this quantile of the trusted documents' perplexity in its language.
 QUANTILE = 0.995
 #: Characters handled together in a task.
 CHUNK_CHARS = 2_000_000
+#: Distinct n-grams in a batch of results.
+ROWS = 20_000
 #: Resolution of the quantile in log2 perplexity.
 STEPS = 1000
 
@@ -118,27 +130,33 @@ def gram_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
 
 
+def discounted(level: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(g, alpha) discounted share of each n-gram and (ctx, gamma) back-off weight of each context of (g, ctx, n).
+
+    Discounts follow the counts of counts; where those are missing or give a value outside 0..k,
+    half of the count class is taken off.
+    """
+    t = level.agg(*[F.count(F.when(F.col("n") == i, 1)).alias(f"t{i}") for i in (1, 2, 3, 4)])
+    y = F.when(F.col("t1") > 0, F.col("t1") / (F.col("t1") + 2 * F.col("t2")))
+    raw = [F.lit(i) - (i + 1) * y * F.col(f"t{i + 1}") / F.when(F.col(f"t{i}") > 0, F.col(f"t{i}")) for i in (1, 2, 3)]
+    t = t.select(*[F.when((d > 0) & (d < i + 1), d).otherwise(F.lit((i + 1) / 2)).alias(f"d{i + 1}")
+                   for i, d in enumerate(raw)])
+    off = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+    grams = level.crossJoin(F.broadcast(t)).select("g", "ctx", "n", off.alias("off"))  # one row of three discounts
+    ctx = grams.groupBy("ctx").agg(F.sum("n").alias("total"), (F.sum("off") / F.sum("n")).alias("gamma"))
+    alpha = grams.join(ctx, "ctx").select("g", ((F.col("n") - F.col("off")) / F.col("total")).alias("alpha"))
+    return alpha, ctx.select("ctx", "gamma")
+
+
 def model_tables(top: DataFrame) -> dict[int, tuple[DataFrame, DataFrame]]:
-    """Per order k: (g, alpha) discounted share of each n-gram, (ctx, gamma) back-off weight of each context.
+    """The class model per order k: :func:`discounted` n-grams and contexts.
 
-    Lower orders count the distinct symbols seen before an n-gram (continuation counts). Discounts
-    follow the counts of counts; where those are missing or give a value outside 0..k, half of
-    the count class is taken off.
+    Lower orders count the distinct symbols seen before an n-gram (continuation counts).
     """
     out: dict[int, tuple[DataFrame, DataFrame]] = {}
     level = top
     for k in range(ORDER, 0, -1):
-        t = level.agg(*[F.count(F.when(F.col("n") == i, 1)).alias(f"t{i}") for i in (1, 2, 3, 4)])
-        y = F.when(F.col("t1") > 0, F.col("t1") / (F.col("t1") + 2 * F.col("t2")))
-        raw = [F.lit(i) - (i + 1) * y * F.col(f"t{i + 1}") / F.when(F.col(f"t{i}") > 0, F.col(f"t{i}")) for i in (1, 2, 3)]
-        t = t.select(*[F.when((d > 0) & (d < i + 1), d).otherwise(F.lit((i + 1) / 2)).alias(f"d{i + 1}")
-                       for i, d in enumerate(raw)])
-        off = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-        grams = level.crossJoin(F.broadcast(t)).select(  # one row of three discounts
-            "g", F.floor(F.col("g") / SYMBOLS).alias("ctx"), "n", off.alias("off"))
-        ctx = grams.groupBy("ctx").agg(F.sum("n").alias("total"), (F.sum("off") / F.sum("n")).alias("gamma"))
-        alpha = grams.join(ctx, "ctx").select("g", ((F.col("n") - F.col("off")) / F.col("total")).alias("alpha"))
-        out[k] = (alpha, ctx.select("ctx", "gamma"))
+        out[k] = discounted(level.select("g", F.floor(F.col("g") / SYMBOLS).alias("ctx"), "n"))
         level = level.groupBy((F.col("g") % (SYMBOLS ** (k - 1))).alias("g")).agg(F.count(F.lit(1)).alias("n"))
     return out
 
@@ -157,7 +175,7 @@ def dense_log2(tables: dict[int, tuple[DataFrame, DataFrame]]) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id") -> np.ndarray | None:
-    """The model's log2 table over all trusted documents, None if there is no trusted text."""
+    """The class model's log2 table over all trusted documents, None if there is no trusted text."""
     ids = counted_broadcast(materialize(trusted_ids(labels), "kn-trusted"))
     texts = docs.select(F.col(f"`{doc_id}`").alias("trusted_id"), F.col(f"`{text}`").alias("text"))
     texts = texts.where("length(text) > 0").join(ids, "trusted_id", "left_semi").select("text")
@@ -167,29 +185,148 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     return dense_log2(model_tables(counts))
 
 
-def perplexities(docs: DataFrame, log2: np.ndarray, text: str = "text", doc_id: str = "doc_id",
-                 lang: str = "lang") -> DataFrame:
-    """(doc_id, lang, n_chars, log2_ppl): mean negative log2 probability per character."""
-    shared = docs.sparkSession.sparkContext.broadcast(log2)
+def _mixed(cp: np.ndarray) -> np.ndarray:
+    """64 well spread bits per code point (splitmix64)."""
+    z = (cp.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
+
+
+def postings(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct n-grams of order DEEP, n-gram number, text number, count) of texts with DEEP - 1 spaces before each."""
+    pad = " " * (DEEP - 1)
+    joined = "".join([pad + t for t in texts])
+    z = _mixed(np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32))
+    doc = np.repeat(np.arange(len(texts), dtype=np.int64), [len(t) + DEEP - 1 for t in texts])
+    ends = np.flatnonzero(doc[DEEP - 1:] == doc[:1 - DEEP]) + DEEP - 1 if len(doc) >= DEEP else np.empty(0, np.int64)
+    h = np.zeros(len(z), dtype=np.uint64)
+    for k in range(DEEP):
+        h = h * np.uint64(0xD6E8FEB86659FD93)
+        h[DEEP - 1:] += z[k:len(z) - (DEEP - 1) + k]
+    _, at, gram = np.unique(h[ends], return_index=True, return_inverse=True)
+    grams = [joined[i - DEEP + 1:i + 1] for i in ends[at].tolist()]
+    pairs, n = np.unique(gram * max(len(texts), 1) + doc[ends], return_counts=True)
+    return grams, pairs // max(len(texts), 1), pairs % max(len(texts), 1), n
+
+
+def sliced_grams(docs: DataFrame) -> DataFrame:
+    """Per slice of text one row of its documents and one of each distinct n-gram: the documents that hold it,
+    how often (n, and own: 0 unless trusted), and the count in trusted ones. ``docs``: doc_id, lang, text, trusted."""
+
+    def lists(sizes: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values, kind))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            bits, n = [], []
+            texts = [t or "" for t in batch.column(2).to_pylist()]
             for lo, hi in _chunks(texts):
-                doc, g = gram_ids([t or "" for t in texts[lo:hi]])
-                n.append(np.bincount(doc, minlength=hi - lo))
-                bits.append(np.bincount(doc, weights=table[g], minlength=hi - lo))
-            n, bits = (np.concatenate(x) if x else np.empty(0) for x in (n, bits))
-            ppl = pa.array(np.where(n > 0, -bits / np.maximum(n, 1), 0.0), pa.float64(), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), ppl],
-                                             names=["doc_id", "lang", "n_chars", "log2_ppl"])
+                grams, gram, doc, n = postings(texts[lo:hi])
+                trusted = np.array(batch.column(3).slice(lo, hi - lo).to_pylist(), dtype=bool)
+                own = n * trusted[doc]
+                seen = np.bincount(gram, weights=own, minlength=len(grams))
+                rows = [{"doc_id": i, "lang": g, "n_chars": len(t), "trusted": bool(k)} for i, g, t, k in zip(
+                    batch.column(0).slice(lo, hi - lo).to_pylist(), batch.column(1).slice(lo, hi - lo).to_pylist(),
+                    texts[lo:hi], trusted)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number], pa.int64()), pa.array([None], pa.string()), pa.array([None], pa.list_(pa.int32())),
+                     pa.array([None], pa.list_(pa.int32())), pa.array([None], pa.list_(pa.int32())), pa.array([0], pa.int64()),
+                     pa.array([rows], pa.list_(held))],
+                    names=names)
+                sizes = np.bincount(gram, minlength=len(grams))
+                ends = np.cumsum(sizes)
+                for a in range(0, len(grams), ROWS):
+                    b = min(a + ROWS, len(grams))
+                    part = slice(ends[a] - sizes[a], ends[b - 1])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(b - a, number), pa.int64()), pa.array(grams[a:b], pa.string()),
+                         lists(sizes[a:b], doc[part], pa.int32()), lists(sizes[a:b], n[part], pa.int32()),
+                         lists(sizes[a:b], own[part], pa.int32()), pa.array(seen[a:b].astype(np.int64), pa.int64()), pa.nulls(b - a, pa.list_(held))], names=names)
+                number += 1
+
+    held = pa.struct([("doc_id", pa.int64()), ("lang", pa.string()), ("n_chars", pa.int64()), ("trusted", pa.bool_())])
+    names = ["slice", "gram", "at", "n", "own", "n_trusted", "docs"]
+    return docs.select("doc_id", "lang", "text", "trusted").mapInArrow(
+        run, "slice long, gram string, at array<int>, n array<int>, own array<int>, n_trusted long, "
+             "docs array<struct<doc_id: long, lang: string, n_chars: long, trusted: boolean>>")
+
+
+def gram_shares(grams: DataFrame, log2: np.ndarray) -> DataFrame:
+    """(gram, n, alpha, gamma, lower, only): the last character's probability is alpha + gamma * lower.
+
+    ``grams``: (gram, n) with the count in trusted text, 0 for n-grams that stand elsewhere only.
+    ``only`` is ``lower`` for a document that alone holds the n-gram.
+    """
+    shared = grams.sparkSession.sparkContext.broadcast(log2)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = np.bincount(_symbol_table(), minlength=SYMBOLS)
+        for batch in batches:
+            text = "".join(batch.column(0).to_pylist())
+            cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(-1, DEEP)
+            s = _symbol_table()[cp[:, DEEP - ORDER:]]
+            g = np.zeros(len(s), dtype=np.int64)
+            for k in range(ORDER):
+                g = g * SYMBOLS + s[:, k]
+            p = np.exp2(shared.value[g].astype(np.float64)) / size[s[:, -1]]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(p, pa.float64())],
+                                             names=["gram", "n", "p"])
+
+    out = grams.select("gram", "n").mapInArrow(run, "gram string, n long, p double")
+    level = grams.where("n > 0").select(F.col("gram").alias("g"), "n")
+    below = level.groupBy(F.substring("g", 2, DEEP - 1).alias("g")).agg(F.count(F.lit(1)).alias("n"))
+    for k, table in ((DEEP - 1, below), (DEEP, level)):
+        alpha, gamma = discounted(table.select("g", F.substring("g", 1, k - 1).alias("ctx"), "n"))
+        if k < DEEP:
+            alpha = alpha.join(table.select("g", (F.col("n") == 1).alias("single")), "g")
+        out = out.withColumn("g", F.substring("gram", DEEP - k + 1, k)).withColumn("ctx", F.substring("g", 1, k - 1))
+        out = out.join(gamma, "ctx", "left").join(alpha, "g", "left").drop("g", "ctx").withColumns(
+            {"alpha": F.coalesce("alpha", F.lit(0.0)), "gamma": F.coalesce("gamma", F.lit(1.0))})
+        if k < DEEP:
+            rest = F.col("gamma") * F.col("p")
+            out = out.select("gram", "n", (F.col("alpha") + rest).alias("lower"),
+                             F.when(F.col("single"), rest).otherwise(F.col("alpha") + rest).alias("only"))
+    return out.select("gram", "n", "alpha", "gamma", "lower", "only")
+
+
+def perplexities(docs: DataFrame, labels: DataFrame, log2: np.ndarray, text: str = "text", doc_id: str = "doc_id",
+                 lang: str = "lang") -> DataFrame:
+    """(doc_id, lang, n_chars, trusted, log2_ppl): mean negative log2 probability per character (trusted: leave one out)."""
+    ids = counted_broadcast(materialize(trusted_ids(labels).withColumn("trusted", F.lit(True)), "kn-trusted"))
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
                        F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"),
                        F.col(f"`{text}`").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, lang string, n_chars long, log2_ppl double")
+    rows = rows.join(ids, F.col("doc_id") == F.col("trusted_id"), "left").withColumn(
+        "trusted", F.coalesce("trusted", F.lit(False)))
+    sliced = materialize(sliced_grams(rows), "kn-slices")
+    found = sliced.where("gram IS NOT NULL")
+    grams = materialize(found.groupBy("gram").agg(F.sum("n_trusted").alias("n")), "kn-grams")
+    shares = materialize(gram_shares(grams, log2), "kn-shares")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            col = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+            sizes = col["at"].value_lengths().to_numpy()
+            all_, alpha, gamma, lower, only, number = (np.repeat(col[c].to_numpy(), sizes) for c in (
+                "total", "alpha", "gamma", "lower", "only", "slice"))
+            at, n, own = (col[c].flatten().to_numpy() for c in ("at", "n", "own"))
+            p = alpha * (1 - own / np.maximum(all_, 1)) + gamma * np.where((own > 0) & (own == all_), only, lower)
+            bits = -n * np.log2(p)
+            order = np.lexsort([at, number])
+            number, at, bits = number[order], at[order], bits[order]
+            first = np.flatnonzero(np.r_[True, (np.diff(number) != 0) | (np.diff(at) != 0)]) if len(n) else order
+            yield pa.RecordBatch.from_arrays([pa.array(number[first], pa.int64()), pa.array(at[first], pa.int32()),
+                                              pa.array(np.add.reduceat(bits, first) if len(n) else bits, pa.float64())],
+                                             names=["slice", "i", "bits"])
+
+    # One way at every size: the slices' rows grow with the corpus, so they are never broadcast.
+    held = found.select("gram", "slice", "at", "n", "own").join(shares.withColumnRenamed("n", "total").hint("merge"), "gram")
+    sums = held.drop("gram").mapInArrow(run, "slice long, i int, bits double").groupBy("slice", "i").agg(
+        F.sum("bits").alias("bits"))
+    every = sliced.where("gram IS NULL").select("slice", F.posexplode("docs").alias("i", "d")).select("slice", "i", "d.*")
+    return every.join(sums, ["slice", "i"], "left").select(
+        "doc_id", "lang", "n_chars", "trusted", F.when(F.col("n_chars") > 0, F.col("bits") / F.col("n_chars")).alias("log2_ppl"))
 
 
 def thresholds(scored: DataFrame, quantile: float) -> DataFrame:
@@ -220,10 +357,7 @@ def classify(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str
                            F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), n.alias("n_chars"),
                            none.alias("perplexity"), none.alias("threshold"), F.lit(False).alias("trusted"),
                            (n > 0).alias("kept"))
-    ids = materialize(trusted_ids(labels), "kn-trusted").withColumn("trusted", F.lit(True))
-    scored = perplexities(docs, log2, text, doc_id, lang).join(
-        ids, F.col("doc_id") == F.col("trusted_id"), "left").drop("trusted_id")
-    scored = materialize(scored.withColumn("trusted", F.coalesce("trusted", F.lit(False))), "kn-scores")
+    scored = materialize(perplexities(docs, labels, log2, text, doc_id, lang), "kn-scores")
     limits = materialize(thresholds(scored, quantile), "kn-limits")  # one row per language
     per_lang = limits.where("lang IS NOT NULL")
     overall = limits.where("lang IS NULL").select(F.col("top").alias("overall"))

@@ -29,6 +29,32 @@ def test_kneser_ney_sums_to_one(spark):
     assert abs(sums - 1).max() < 1e-3
 
 
+def test_quality_model_tells_characters_of_a_class_apart(spark):
+    """Characters 14 code points apart share a class; the model knows them by themselves."""
+    seen, other = "абвгд вгдаб дабвг " * 30, "".join(chr(ord(c) + 14) if c != " " else c for c in "абвгд вгдаб дабвг " * 30)
+    docs = spark.createDataFrame([(1, seen, "ru"), (2, seen, "ru"), (3, other, "ru")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in op1_kneser_ney.classify(docs, labels).collect()}
+    assert got[1]["perplexity"] == got[2]["perplexity"] and got[1]["kept"] and got[2]["kept"]
+    assert got[3]["perplexity"] > 10 * got[1]["perplexity"] and not got[3]["kept"]
+
+
+def test_kneser_ney_deep_sums_to_one(spark):
+    texts = ["the cat sat on the mat.", "a dog sat.\nthe end"]
+    top = spark.createDataFrame([(t,) for t in texts], "text string")
+    log2 = op1_kneser_ney.dense_log2(op1_kneser_ney.model_tables(op1_kneser_ney.gram_counts(top)))
+    counts = defaultdict(int)
+    for t in texts:
+        p = " " * 5 + t
+        for i in range(len(t)):
+            counts[p[i:i + 6]] += 1
+    rest = [" cat " + chr(x) for x in range(0x110000) if not 0xD800 <= x < 0xE000]
+    rows = list(counts.items()) + [(g, 0) for g in rest if g not in counts]
+    got = op1_kneser_ney.gram_shares(spark.createDataFrame(rows, "gram string, n long"), log2)
+    assert got.where("only > 0 AND lower >= only").count() == len(rows)
+    assert abs(got.where("substring(gram, 1, 5) = ' cat '").selectExpr("sum(alpha + gamma * lower)").first()[0] - 1) < 0.01
+
+
 def test_quality_odd_rows(spark, odd):
     labels = spark.createDataFrame([(6, 1, 0), (9, 1, None), (9, 1, 1), (None, 1, 0), (5, None, 0)],
                                    "doc_id long, quality int, toxic int")
