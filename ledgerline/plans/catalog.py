@@ -542,7 +542,7 @@ def q_forest_score(spark, sf_dir):
     df = split(freeze(enrich_all(t, n), "enriched"), "Index", test=0.2, seed=42)
     train, test = (df.where(F.col("is_test") == i).drop("is_test") for i in (0, 1))
     registry = scratch_path(spark, "registry")
-    train_job(train, test, FEATURES, registry=registry, num_trees=20)  # the default is 100; the check needs fewer
+    train_job(train, test, FEATURES, registry=registry)
     scored = load_latest(spark, registry).score(test)
     return scored.select("Index", "Is_Laundering", F.col("Is_Laundering_Prediction").isin(0, 1).alias("has_class"))
 
@@ -558,12 +558,11 @@ def q_retrain(spark, sf_dir):
     first = freeze(first, "first")
     registry, table_dir = scratch_path(spark, "registry"), scratch_path(spark, "training")
     wr.append_training(first, table_dir)
-    small = {"num_trees": 5, "max_depth": 5}  # which trees are grown is not what is checked
-    scorer = train_job(first, first, FEATURES, registry=registry, **small)[0]
+    scorer = train_job(first, first, FEATURES, registry=registry)[0]
     st.edges = freeze(st.edges, "edges")
     second = freeze(enrich_batch(score, st, index_offset=cut, n_rows=n - cut, batch_id=1)[0], "second")
     scored = freeze(scorer.score(second), "scored")
-    retrain_job(table_dir, scored, second, FEATURES, registry, **small)
+    retrain_job(table_dir, scored, second, FEATURES, registry)
     rows = spark.read.parquet(table_dir).groupBy(F.col("batch_id").cast("long").alias("batch_id")).agg(
         F.count(F.lit(1)).alias("n_rows"))
     return rows.withColumn("n_models", F.lit(list_models(spark, registry).count()).cast("long"))

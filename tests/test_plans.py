@@ -28,3 +28,30 @@ def test_entry_schema_is_stable(spark):
     assert df.columns == ENRICHED_COLUMNS and len(df.columns) == 20
     kinds = dict(df.dtypes)
     assert kinds["from_degree"] == "bigint" and kinds["to_clustering_coeff"] == "double" and kinds["Is_Laundering"] == "bigint"
+
+
+def test_registered_forests_are_whole(spark, monkeypatch):
+    """The registered queries grow the operator's own forest: 100 trees to depth 30."""
+    import inspect
+
+    import pytest
+
+    from ledgerline.operators import model
+    from ledgerline.plans import catalog, jobs
+
+    class Asked(Exception):
+        pass
+
+    signature = inspect.signature(model.train_forest)
+
+    def asked(*args, **kw):
+        bound = signature.bind(*args, **kw)
+        bound.apply_defaults()
+        raise Asked(bound.arguments["num_trees"], bound.arguments["max_depth"])
+
+    monkeypatch.setattr(model, "train_forest", asked)
+    monkeypatch.setattr(jobs, "smote", lambda rows, *args, **kw: rows.limit(0).selectExpr("*", "1 AS is_synthetic"))
+    for query in (catalog.q_forest_score, catalog.q_retrain):
+        with pytest.raises(Asked) as got:
+            query(spark, "/root/testdata/sf0.001")
+        assert got.value.args == (100, 30)
