@@ -1,7 +1,8 @@
 """Main text of web pages with site-template removal.
 
-Method: every page's element subtrees are hashed; Spark counts on how many pages of a host each
-hash occurs; subtrees that recur on many pages of their host are templates and are deleted.
+Method: every page's element subtrees are hashed; Spark counts with how many different contents
+(article text, or all kept text where a page has no article) each hash occurs on a host; subtrees
+that recur with several are templates and are deleted. Copies of a page or an article count once.
 What is a menu, header, footer, sidebar, notice, advert, form, script, style or reader comment by
 its element or its class, id or role names is left out too, recurring or not. Of the rest, the
 article (or main) elements are the text, or the body where a page has none. Paragraph-like
@@ -10,7 +11,7 @@ blocks inside an article are never templates: two pages may carry the same artic
 Text: character references decoded, white space in a block as one space, trimmed, blocks in page
 order joined by one newline; nothing else is dropped or cut.
 
-Scale: only (page, host, hash) triples and counts move; the recurring hashes are sent to the
+Scale: only (page, host, hash, content) rows and counts move; the recurring hashes are sent to the
 tasks when they were counted to be few, else each page's own hashes are joined to it. A host with
 a third of all pages is counted with map-side sums, no host is gathered anywhere.
 
@@ -33,8 +34,8 @@ from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, materialize, order_hash, require
 
-#: A subtree is a template of its host from this many pages and this share of the host's pages on.
-MIN_PAGES, MIN_SHARE = 3, 0.1
+#: A subtree is a template of its host from this many pages of different content on.
+MIN_PAGES = 3
 
 #: Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -178,6 +179,10 @@ class Page:
         flush()
         close(0, len(html))
 
+    def content(self) -> int:
+        """Hash of the main text with nothing deleted."""
+        return xxhash.xxh3_64_intdigest(self.text(set()).encode("utf-8", "surrogatepass")) >> 1
+
     def text(self, templates: set[int]) -> str:
         scope = [b for b in self.blocks if b[1]] or self.blocks
         kept = [t for t, _, inside in scope if not any(self.hashes[i] in templates for i in inside)]
@@ -185,29 +190,29 @@ class Page:
 
 
 def subtrees(pages: DataFrame) -> DataFrame:
-    """(key, host, h): each distinct subtree hash of every page. ``pages``: key, host, html."""
+    """(key, host, content, h): each distinct subtree hash of every page. ``pages``: key, host, html."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             html = batch.column(2)
-            found = [sorted(set(Page(html[i].as_py() or "").hashes)) for i in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))],
-                                             names=["key", "host", "h"])
+            parsed = [Page(html[i].as_py() or "") for i in range(batch.num_rows)]
+            found = pa.array([sorted(set(p.hashes)) for p in parsed], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([p.content() for p in parsed], pa.int64()), found],
+                names=["key", "host", "content", "h"])
 
-    found = pages.select("key", "host", "html").mapInArrow(run, "key long, host long, h array<long>")
-    return found.select("key", "host", F.explode("h").alias("h"))
+    found = pages.select("key", "host", "html").mapInArrow(run, "key long, host long, content long, h array<long>")
+    return found.select("key", "host", "content", F.explode("h").alias("h"))
 
 
-def templates(found: DataFrame, pages: DataFrame, min_pages: int, min_share: float) -> DataFrame:
-    """(host, h) of the subtrees that recur on many pages of their host."""
-    counts = found.groupBy("host", "h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
-    counts = materialize(counts, "html-counts")
-    sizes = materialize(pages.groupBy("host").agg(F.count(F.lit(1)).alias("all")), "html-hosts")
-    return counts.join(sizes, "host").where(F.col("n") >= min_share * F.col("all")).select("host", "h")
+def templates(found: DataFrame, min_pages: int) -> DataFrame:
+    """(host, h) of the subtrees that recur with many contents of their host."""
+    counts = found.select("host", "h", "content").distinct().groupBy("host", "h").agg(F.count(F.lit(1)).alias("n"))
+    return counts.where(F.col("n") >= min_pages).select("host", "h")
 
 
 def main_text(pages: DataFrame, html: str = "html", url: str = "url", page_id: str = "page_id", min_pages: int = MIN_PAGES,
-              min_share: float = MIN_SHARE, send_rows: int = BROADCAST_ROWS) -> DataFrame:
+              send_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     require(pages, html, url, page_id)
     body, link = F.col(f"`{html}`").cast("string"), F.col(f"`{url}`").cast("string")
@@ -215,7 +220,7 @@ def main_text(pages: DataFrame, html: str = "html", url: str = "url", page_id: s
     rows = pages.select(F.col(f"`{page_id}`").alias("page_id"), link.alias("url"), order_hash(host).alias("host"),
                         order_hash(F.col(f"`{page_id}`"), link, body).alias("key"), body.alias("html"))
     found = materialize(subtrees(rows), "html-subtrees")
-    recurring = materialize(templates(found, rows, min_pages, min_share), "html-templates")
+    recurring = materialize(templates(found, min_pages), "html-templates")
     schema = rows.select("page_id", "url").schema.add("text", "string").add("n_chars", "long")
 
     def extract(batch: pa.RecordBatch, sets) -> pa.RecordBatch:

@@ -92,6 +92,17 @@ def test_html_templates_per_host(spark, send_rows):
     assert op3_html.main_text(pages.limit(0), send_rows=send_rows).count() == 0
 
 
+def test_html_copies_are_no_templates_and_hosts_may_be_large(spark):
+    article = "<body><article><h1>Head</h1><ul><li>one<li>two</ul></article></body>"
+    rows = [(i, f"http://a.example/{i}", article) for i in range(4)]
+    page = "<body><div><p>{t}</p></div><div><p>Story {i}</p></div></body>"
+    rows += [(100 + i, f"http://b.example/{i}", page.format(t="Rights reserved" if i < 5 else f"Text {i}", i=i)) for i in range(80)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in op3_html.main_text(pages).collect()}
+    assert all(got[i] == "Head\none\ntwo" for i in range(4))
+    assert all(got[100 + i] == (f"Story {i}" if i < 5 else f"Text {i}\nStory {i}") for i in range(80))
+
+
 def test_html_pages_are_their_articles(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     got = {r["page_id"]: r["text"] for r in op3_html.main_text(pages).collect()}
