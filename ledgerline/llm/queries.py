@@ -20,6 +20,9 @@ from . import (
     op8_sharding,
     op9_substring,
     op10_rules,
+    op11_suffixes,
+    op12_resample,
+    op13_divergence,
 )
 from .common import ship_code, table
 
@@ -69,6 +72,20 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = op11_suffixes.dedup_substrings(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = op12_resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES = [
     op1_kneser_ney_quality,
     op2_winnow_line_dedup,
@@ -80,6 +97,9 @@ QUERIES = [
     op8_balanced_shards,
     op9_substring_dedup,
     op10_quality_rules,
+    op11_suffix_array_dedup,
+    op12_importance_resampling,
+    op13_source_divergence,
 ]
 
 
@@ -102,4 +122,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_benchmark_decontamination": op7_decontaminate.ORACLE_SQL,
         "op9_substring_dedup": op9_substring.ORACLE_SQL,
         "op10_quality_rules": op10_rules.ORACLE_SQL,
+        "op11_suffix_array_dedup": op11_suffixes.ORACLE_SQL,
+        "op13_source_divergence": op13_divergence.ORACLE_SQL,
     }
