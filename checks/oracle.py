@@ -372,6 +372,9 @@ def io_sql(q: dict[str, str]) -> None:
     q["json_records"] = core(
         'SELECT "Node", degree, in_degree, out_degree, clustering_coefficient, degree_centrality FROM feat',
         graph=True)
+    q["graph_increment"] = core(
+        'SELECT "Node", degree, in_degree, out_degree, clustering_coefficient, degree_centrality FROM feat',
+        graph=True)
     q["csv_export"] = core("SELECT * FROM scored WHERE Is_Laundering_Prediction = 1", [SCORED])
     q["append_training"] = core(ENCODED_SELECT + ", batch_id FROM enc2",
                                 [("enc2", enc_cte(index=INDEX_OF, batch=BATCH_OF))])
@@ -389,6 +392,12 @@ def io_sql(q: dict[str, str]) -> None:
         WHERE k <= (SELECT (count(*) * 2 + 9) // 10 FROM transactions)""")
     q["retrain"] = with_ctes(f"""SELECT CAST(b AS BIGINT) AS batch_id, count(*) AS n_rows, CAST(2 AS BIGINT) AS n_models
         FROM (SELECT CASE WHEN row_id < {CUT} THEN 0 ELSE 1 END AS b FROM transactions) GROUP BY b""")
+    q["stream_model"] = with_ctes("""SELECT row_id, CAST("Is Laundering" AS BIGINT) AS Is_Laundering, true AS as_saved FROM transactions""")
+    test_rows = """SELECT CAST("Is Laundering" AS VARCHAR) AS y FROM (SELECT *, row_number() OVER (
+        ORDER BY md5(concat('42:', CAST(row_id AS VARCHAR))), row_id) AS k FROM transactions)
+        WHERE k <= (SELECT (count(*) * 2 + 9) // 10 FROM transactions)"""
+    q["model_report"] = with_ctes(f"""SELECT y AS class, count(*) AS support, true AS stored FROM ({test_rows}) GROUP BY y
+        UNION ALL SELECT 'accuracy', count(*), true FROM ({test_rows})""")
     q["latent_oversample"] = with_ctes("""SELECT row_id AS "Index", CAST(1 AS BIGINT) AS Is_Laundering,
         CAST(1 AS INTEGER) AS is_synthetic, true AS in_range FROM transactions WHERE "Is Laundering" = '1'""")
 

@@ -436,7 +436,7 @@ def q_latest_model(spark, sf_dir):
 
 @register("stream_score")
 def q_stream_score(spark, sf_dir):
-    """Two arrivals of 11-column files scored in file order by the stream, state carried between them."""
+    """Two folders of 11-column files scored in file order by the stream, state and ledger carried between them."""
     t, n = fx.transactions_n(spark, sf_dir)
     root = scratch_path(spark, "landing")
     k = 2
@@ -446,12 +446,25 @@ def q_stream_score(spark, sf_dir):
         wr.write_csv(part.orderBy("row_id").drop("row_id"), f"{root}/arrival-{i}")
     state_dir, out_dir, flag_dir = (scratch_path(spark, x) for x in ("stream-state", "scored", "flagged"))
     for i in range(k):
-        stream_score(spark, f"{root}/arrival-{i}", state_dir, out_dir, _rule, flagged_dir=flag_dir,
-                     batch_base=i * 1_000_000, keep=["row_id"], row_base=i * n // k)
+        stream_score(spark, f"{root}/arrival-{i}", state_dir, out_dir, _rule, flagged_dir=flag_dir, keep=["row_id"])
     cols = ["row_id"] + [x for x in enc.ENCODED_COLUMNS if x != "Index"] + ["Is_Laundering_Prediction"]
     return spark.read.parquet(out_dir).select(*cols)
 
 
+@register("graph_increment")
+def q_graph_increment(spark, sf_dir):
+    """Five batches taken into the incremental graph state one after the other: features of all accounts at the end."""
+    from ..sources.graph_state import GraphState
+    t, n = fx.transactions_n(spark, sf_dir)
+    graph, st, k = GraphState.load(spark, scratch_path(spark, "graph"), -1), None, 5
+    for b in range(k):
+        lo, hi = b * n // k, (b + 1) * n // k
+        part = t.where((F.col("row_id") >= lo) & (F.col("row_id") < hi))
+        e, st = enc.encode_transactions(part, st, index_offset=lo, n_rows=hi - lo)
+        graph = graph.apply(g.build_edges(e), b)
+    return graph.features()
+
+
 # --- data validation (Q1-Q6, K7) ------------------------------------------------------------
 
 from ..operators import quality as qa  # noqa: E402
@@ -529,7 +542,27 @@ def q_drift(spark, sf_dir):
 
 from ..operators.resample import oversample_latent  # noqa: E402
 from ..operators.smote import knn, smote  # noqa: E402
-from .jobs import load_latest, retrain_job, train_job  # noqa: E402
+from ..sources.registry import list_models  # noqa: E402
+from .jobs import load_latest, predictions_path, report_from_predictions, report_path, retrain_job, train_job  # noqa: E402
+
+REPORT_FIGURES = ["precision", "recall", "f1", "support"]
+
+
+_REGISTRIES: dict[tuple[str, str], str] = {}
+
+
+def _trained(spark, sf_dir) -> tuple[str, DataFrame]:
+    """(registry with a model grown on 80 % of the transfers, the other 20 %); grown once per application and input."""
+    t, n = fx.transactions_n(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _REGISTRIES or not stt.exists(spark, _REGISTRIES[key]):
+        df = split(freeze(enrich_all(t, n), "enriched"), "Index", test=0.2, seed=42)
+        train, test = (df.where(F.col("is_test") == i).drop("is_test") for i in (0, 1))
+        registry = scratch_path(spark, "registry")
+        test.write.parquet(f"{registry}/test-rows")
+        train_job(train, test, FEATURES, registry=registry)
+        _REGISTRIES[key] = registry
+    return _REGISTRIES[key], spark.read.parquet(f"{_REGISTRIES[key]}/test-rows")
 
 
 @register("forest_score")
@@ -538,11 +571,7 @@ def q_forest_score(spark, sf_dir):
 
     SQL cannot grow the forest; the oracle checks which rows are scored and that each has a class.
     """
-    t, n = fx.transactions_n(spark, sf_dir)
-    df = split(freeze(enrich_all(t, n), "enriched"), "Index", test=0.2, seed=42)
-    train, test = (df.where(F.col("is_test") == i).drop("is_test") for i in (0, 1))
-    registry = scratch_path(spark, "registry")
-    train_job(train, test, FEATURES, registry=registry)
+    registry, test = _trained(spark, sf_dir)
     scored = load_latest(spark, registry).score(test)
     return scored.select("Index", "Is_Laundering", F.col("Is_Laundering_Prediction").isin(0, 1).alias("has_class"))
 
@@ -550,7 +579,6 @@ def q_forest_score(spark, sf_dir):
 @register("retrain")
 def q_retrain(spark, sf_dir):
     """A scored second batch joins the training table and the model is grown again: rows per batch, models kept."""
-    from ..sources.registry import list_models
     from .pipeline import enrich_batch
     t, n = fx.transactions_n(spark, sf_dir)
     train, score, cut, n = fx.batches(t, n)
@@ -558,7 +586,9 @@ def q_retrain(spark, sf_dir):
     first = freeze(first, "first")
     registry, table_dir = scratch_path(spark, "registry"), scratch_path(spark, "training")
     wr.append_training(first, table_dir)
-    scorer = train_job(first, first, FEATURES, registry=registry)[0]
+    # Held-out rows of the first batch for its report; the second model is tested on the second batch's.
+    held = split(first, "Index", test=0.2, seed=42)
+    scorer = train_job(*(held.where(F.col("is_test") == i).drop("is_test") for i in (0, 1)), FEATURES, registry=registry)[0]
     st.edges = freeze(st.edges, "edges")
     second = freeze(enrich_batch(score, st, index_offset=cut, n_rows=n - cut, batch_id=1)[0], "second")
     scored = freeze(scorer.score(second), "scored")
@@ -568,6 +598,39 @@ def q_retrain(spark, sf_dir):
     return rows.withColumn("n_models", F.lit(list_models(spark, registry).count()).cast("long"))
 
 
+@register("stream_model")
+def q_stream_model(spark, sf_dir):
+    """Two landing folders and a late file in the first, scored as they come by the newest saved model.
+
+    SQL cannot vote with the trees: ``as_saved`` says whether the stored rows, scored once more by the
+    saved model, get the prediction that the stream wrote.
+    """
+    t, n = fx.transactions_n(spark, sf_dir)
+    registry, _ = _trained(spark, sf_dir)
+    root, state_dir, out_dir = (scratch_path(spark, x) for x in ("landing", "stream-state", "scored"))
+    for i, folder in enumerate(["a", "b", "a"]):
+        part = t.where((F.col("row_id") >= i * n // 3) & (F.col("row_id") < (i + 1) * n // 3))
+        wr.write_csv(part.orderBy("row_id").drop("row_id"), f"{root}/{folder}", mode="append")
+        stream_score(spark, f"{root}/{folder}", state_dir, out_dir, registry=registry, keep=["row_id"])
+    rows = spark.read.parquet(out_dir)
+    again = load_latest(spark, registry).score(rows.withColumnRenamed("Is_Laundering_Prediction", "streamed"))
+    return again.select("row_id", "Is_Laundering", (F.col("streamed") == F.col("Is_Laundering_Prediction")).alias("as_saved"))
+
+
+@register("model_report")
+def q_model_report(spark, sf_dir):
+    """The report stored beside the newest model against the same figures recomputed in SQL from its stored predictions.
+
+    Supports have an oracle; ``stored`` says whether every figure is what the predictions give.
+    """
+    registry, _ = _trained(spark, sf_dir)
+    path = latest_model(list_models(spark, registry)).first()["latest_path"]
+    again = report_from_predictions(spark.read.parquet(predictions_path(path)))
+    kept = spark.read.parquet(report_path(path)).select("class", *[F.col(x).alias(f"kept_{x}") for x in REPORT_FIGURES])
+    same = [F.coalesce(F.abs(F.col(x) - F.col(f"kept_{x}")) < 1e-12, F.col(x).isNull() & F.col(f"kept_{x}").isNull()) for x in REPORT_FIGURES]
+    return again.join(kept, "class", "left").select("class", "support", F.forall(F.array(*same), lambda x: x).alias("stored"))
+
+
 @register("latent_oversample")
 def q_latent_oversample(spark, sf_dir):
     """One synthetic row per positive transfer; the oracle checks the rows and that features lie in [0, 1]."""

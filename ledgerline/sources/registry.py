@@ -41,14 +41,17 @@ def list_models(spark: SparkSession, registry: str) -> DataFrame:
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(registry)
     fs = p.getFileSystem(conf)
-    rows = [(st.getPath().toString(),) for st in fs.listStatus(p) if st.isDirectory()] if fs.exists(p) else []
+    found = [st.getPath() for st in fs.listStatus(p) if st.isDirectory()] if fs.exists(p) else []
+    # ``meta`` (a forest with its ranges) or ``metadata`` (any other Spark model): without it a folder is no model yet.
+    whole = [x for x in found if any(fs.exists(jvm.org.apache.hadoop.fs.Path(x, m)) for m in ("meta", "metadata"))]
+    rows = [(x.toString(),) for x in whole]
     return spark.createDataFrame(rows, "path string")
 
 
 def save_model(model, registry: str, version: str | None = None) -> str:
-    """K6: save a fitted ``PipelineModel`` under a new version folder; returns its path."""
+    """K6: save a fitted model (anything with ``save(path)``) under a new version folder; returns its path."""
     path = os.path.join(registry, PREFIX + (version or _free_version(registry)))
-    model.write().overwrite().save(path)
+    model.save(path)
     return path
 
 

@@ -49,6 +49,7 @@ def test_registered_forests_are_whole(spark, monkeypatch):
         bound.apply_defaults()
         raise Asked(bound.arguments["num_trees"], bound.arguments["max_depth"])
 
+    monkeypatch.setattr(catalog, "_REGISTRIES", {})
     monkeypatch.setattr(model, "train_forest", asked)
     monkeypatch.setattr(jobs, "smote", lambda rows, *args, **kw: rows.limit(0).selectExpr("*", "1 AS is_synthetic"))
     for query in (catalog.q_forest_score, catalog.q_retrain):

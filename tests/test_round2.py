@@ -206,7 +206,7 @@ def test_stream_takes_eleven_column_files_and_empty_ones(spark, raw, tmp_path):
         return df.withColumn("Is_Laundering_Prediction", (F.col("from_degree") > 2).cast("long"))
 
     stream_score(spark, str(landing), sdir, out, score, keep=["row_id"])
-    stream_score(spark, str(empty), sdir, out, score, batch_base=100, keep=["row_id"])
+    stream_score(spark, str(empty), sdir, out, score, keep=["row_id"])
     rows = spark.read.parquet(out).orderBy("row_id").collect()
     assert [r["row_id"] for r in rows] == list(range(40)) == [r["Index"] for r in rows]
     want = t.where("row_id < 40").orderBy("row_id").select(F.col("`Amount Paid`").cast("double")).collect()
