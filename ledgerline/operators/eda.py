@@ -9,7 +9,7 @@ values in one task).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import c, parse_double
@@ -155,9 +155,12 @@ def clean(df: DataFrame) -> DataFrame:
     return df.where(keep)
 
 
-def quality_report(df: DataFrame, amount_columns: list[str], ts_column: str = "Timestamp",
-                   ts_parser=None, key: str = "row_id") -> DataFrame:
-    """Q7: per column, in one pass: NULL cells, negative amounts, unparseable values."""
+QUALITY_COUNTS = ["n_null", "n_negative", "n_malformed"]
+
+
+def quality_metrics(df: DataFrame, amount_columns: list[str], ts_column: str = "Timestamp", ts_parser=None,
+                    key: str = "row_id") -> tuple[list[str], list[Column]]:
+    """(checked columns, the counts of each as aggregates named ``<column>|<count>``)."""
     from ..functions.scalar import parse_ts
     ts_parser = ts_parser or parse_ts
     cols = [x for x in df.columns if x != key]
@@ -172,11 +175,15 @@ def quality_report(df: DataFrame, amount_columns: list[str], ts_column: str = "T
         aggs += [F.count_if(c(x).isNull()).cast("long").alias(f"{x}|n_null"),
                  F.count_if(F.coalesce(neg, F.lit(False))).cast("long").alias(f"{x}|n_negative"),
                  F.count_if(c(x).isNotNull() & bad).cast("long").alias(f"{x}|n_malformed")]
-    row = df.agg(*aggs)
-    arr = F.array(*[F.struct(F.lit(x).alias("column"), F.col(f"`{x}|n_null`").alias("n_null"),
-                             F.col(f"`{x}|n_negative`").alias("n_negative"),
-                             F.col(f"`{x}|n_malformed`").alias("n_malformed")) for x in cols])
-    return row.select(F.inline(arr))
+    return cols, aggs
+
+
+def quality_report(df: DataFrame, amount_columns: list[str], ts_column: str = "Timestamp",
+                   ts_parser=None, key: str = "row_id") -> DataFrame:
+    """Q7: per column, in one pass: NULL cells, negative amounts, unparseable values."""
+    cols, aggs = quality_metrics(df, amount_columns, ts_column, ts_parser, key)
+    arr = F.array(*[F.struct(F.lit(x).alias("column"), *[F.col(f"`{x}|{n}`").alias(n) for n in QUALITY_COUNTS]) for x in cols])
+    return df.agg(*aggs).select(F.inline(arr))
 
 
 def score_summary(df: DataFrame, pred: str = "Is_Laundering_Prediction") -> DataFrame:

@@ -108,12 +108,6 @@ def extend_dictionary(dim: DataFrame, raw_indexed: DataFrame, domain: str, delim
     return first_seen_codes(occurrences(raw_indexed, domain, delimiter), dim)
 
 
-def new_values(occ: DataFrame, existing: DataFrame) -> DataFrame:
-    """Distinct values not in the saved dictionary."""
-    return occ.select("value").where(F.col("value").isNotNull()).distinct().join(
-        existing.select("value"), "value", "left_anti")
-
-
 def fit_anchor(indexed: DataFrame, how: str = "first_row") -> int | None:
     """Midnight of the first row's day (or of the earliest row) minus 10 s, epoch seconds."""
     ts = parse_ts("Timestamp")

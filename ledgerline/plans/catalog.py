@@ -382,6 +382,21 @@ def q_read_typed(spark, sf_dir):
     return t.withColumn("Timestamp", epoch_seconds(F.col("Timestamp")))
 
 
+@register("read_inferred")
+def q_read_inferred(spark, sf_dir):
+    """The raw file with nothing declared but the column names: types and the time pattern found from all rows."""
+    p = scratch_path(spark, "csv")
+    wr.write_csv(fx.transactions(spark, sf_dir), p)
+    t = rd.read_inferred(spark, p, ["row_id", *fx.RAW_COLUMNS])
+    return t.withColumn("Timestamp", epoch_seconds(F.col("Timestamp"))).withColumn("row_id", F.col("row_id").cast("long"))
+
+
+@register("ingest_checked")
+def q_ingest_checked(spark, sf_dir):
+    """The quality report collected by the write of the dirty table itself."""
+    return wr.write_checked(fx.transactions_dirty(spark, sf_dir), scratch_path(spark, "ingested"), AMOUNTS)
+
+
 @register("read_strings")
 def q_read_strings(spark, sf_dir):
     p = scratch_path(spark, "csv")
@@ -468,6 +483,7 @@ def q_graph_increment(spark, sf_dir):
 # --- data validation (Q1-Q6, K7) ------------------------------------------------------------
 
 from ..operators import quality as qa  # noqa: E402
+from ..operators import running  # noqa: E402
 
 
 def typed_view(raw):
@@ -490,6 +506,33 @@ def q_profile_stats(spark, sf_dir):
     return spark.read.parquet(wr.write_profile(stats, scratch_path(spark, "profiles"), "train"))
 
 
+@register("profile_running")
+def q_profile_running(spark, sf_dir):
+    """Ten batches (one stored twice) merged into one profile without reading them again.
+
+    Exact figures as they are; the sketched ones (``unique``, ``median``) as 1 if they lie within their bounds
+    of the exact profile: 5 % of the distinct count, 2 % of the ranks.
+    """
+    t, n = fx.transactions_n(spark, sf_dir)
+    root = scratch_path(spark, "sketches")
+    for b in [*range(10), 3]:
+        part = t.where((F.col("row_id") >= b * n // 10) & (F.col("row_id") < (b + 1) * n // 10))
+        running.add_batch(typed_view(part), root, b)
+    got = freeze(running.running_profile(spark, root), "running")
+    whole = typed_view(t)
+    num, txt = qa.split_features(whole)
+    exact = whole.agg(*[F.count_distinct(c(x)).alias(x) for x in num + txt]).select(
+        F.inline(F.array(*[F.struct(F.lit(x).alias("feature"), c(x).alias("truth")) for x in num + txt])))
+    middle = {r["feature"]: r["num_value"] for r in got.where("stat = 'median'").collect()}
+    ranks = whole.agg(*[F.struct(F.avg((c(x) < middle[x]).cast("double")).alias("lo"), F.avg((c(x) <= middle[x]).cast("double")).alias("hi")).alias(x)
+                        for x in num]).select(F.inline(F.array(*[F.struct(F.lit(x).alias("feature"), c(x).alias("at")) for x in num])))
+    unique = F.abs(F.col("num_value") - F.col("truth")) <= F.greatest(F.lit(1.0), 0.05 * F.col("truth"))
+    median = (F.col("at.lo") <= 0.52) & (F.col("at.hi") >= 0.48)
+    out = got.join(exact, "feature").join(ranks, "feature", "left")
+    value = F.when(F.col("stat") == "unique", unique.cast("double")).when(F.col("stat") == "median", median.cast("double"))
+    return out.select("feature", "stat", F.coalesce(value, F.col("num_value")).alias("num_value"))
+
+
 @register("profile_top_values")
 def q_profile_top_values(spark, sf_dir):
     return qa.top_values(typed_view(fx.transactions(spark, sf_dir)), 10)

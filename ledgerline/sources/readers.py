@@ -44,9 +44,62 @@ def cast_typed(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    """Cast the given columns, keep the rest."""
-    return df.select(*[c(x).cast(types[x]).alias(x) if x in types else c(x) for x in df.columns])
+# Candidate types of a text column, narrowest first; a column gets the first that all its values fit.
+NUMBER_TYPES = ["int", "bigint", "double"]
+# Candidate patterns of dates and times, tried in this order.
+TIME_FORMATS = [
+    "yyyy/MM/dd HH:mm", "yyyy/MM/dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd'T'HH:mm:ss",
+    "MM/dd/yyyy HH:mm", "dd/MM/yyyy HH:mm", "dd.MM.yyyy HH:mm", "yyyy/MM/dd", "yyyy-MM-dd", "MM/dd/yyyy", "dd/MM/yyyy", "dd.MM.yyyy",
+]
+
+
+def infer_types(df: DataFrame) -> dict[str, tuple[str, str | None]]:
+    """(type, time pattern) of every column of a table of texts, from one aggregate over all its rows.
+
+    Counts say how many values fit each candidate, and the narrowest that fits all of them is taken: int, bigint,
+    double, boolean, timestamp with its pattern, else string. Blank texts count as missing; a column without any
+    value is a string. Where day and month could be swapped, the values decide and the order of the
+    patterns breaks ties.
+    """
+    df = as_strings(df)
+    aggs = []
+    for i, x in enumerate(df.columns):
+        text = F.trim(c(x))
+        text = F.when(text != "", text)
+        aggs.append(F.count(text).alias(f"{i}|n"))
+        aggs += [F.count(text.try_cast(t)).alias(f"{i}|{t}") for t in NUMBER_TYPES]
+        aggs.append(F.count_if(F.lower(text).isin("true", "false")).alias(f"{i}|boolean"))
+        aggs += [F.count(parse_ts(text, p)).alias(f"{i}|{p}") for p in TIME_FORMATS]
+    got = df.agg(*aggs).first().asDict()  # a few counts per column
+    out: dict[str, tuple[str, str | None]] = {}
+    for i, x in enumerate(df.columns):
+        n = got[f"{i}|n"]
+        fits = [t for t in [*NUMBER_TYPES, "boolean", *TIME_FORMATS] if n and got[f"{i}|{t}"] == n]
+        first = fits[0] if fits else "string"
+        out[x] = ("timestamp", first) if first in TIME_FORMATS else (first, None)
+    return out
+
+
+def cast_columns(df: DataFrame, types: dict[str, tuple[str, str | None]]) -> DataFrame:
+    """Cast text columns to inferred or given (type, time pattern); other columns stay."""
+    def cast(x: str):
+        kind, pattern = types[x]
+        if kind == "string":
+            return c(x)
+        text = F.when(F.trim(c(x)) != "", F.trim(c(x)))
+        return (parse_ts(text, pattern) if pattern else text.try_cast(kind)).alias(x)
+
+    return df.select(*[cast(x) if x in types else c(x) for x in df.columns])
+
+
+def read_inferred(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """A delimited file whose types nobody declared: all rows are read as text, types inferred, then cast.
+
+    ``columns``: names by position (the raw transfer columns by default; their header repeats a name).
+    """
+    schema = T.StructType([T.StructField(x, T.StringType()) for x in columns or RAW_COLUMNS])
+    df = spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(path)
+    return cast_columns(df, infer_types(df))
 
 
 def as_strings(df: DataFrame) -> DataFrame:
@@ -71,4 +124,5 @@ def parse_records(df: DataFrame, col: str, schema: T.StructType | str, single_qu
 
 
 __all__ = ["read_transactions", "read_snapshot", "parse_records", "cast_typed", "cast_columns", "as_strings",
+           "infer_types", "read_inferred",
            "RAW_SCHEMA", "TS_FORMAT"]
