@@ -4,7 +4,10 @@ Method: every page's element subtrees are hashed; Spark counts with how many dif
 (article text, or all kept text where a page has no article) each hash occurs on a host; subtrees
 that recur with several are templates and are deleted. Copies of a page or an article count once.
 What is a menu, header, footer, sidebar, notice, advert, form, script, style or reader comment by
-its element or its class, id or role names is left out too, recurring or not. Of the rest, the
+its element is left out too, recurring or not, and so are containers whose role, id or one of whose class
+names says so as a whole: every word of the name is a mark or goes with one (``ad-slot``, ``comment-list``),
+so ``share-price`` and ``related-work`` are no marks. Headings, paragraphs, list items, cells and quotes are
+judged by class names alone, and only by one that is a single mark. Of the rest, the
 article (or main) elements are the text, or the body where a page has none. Paragraph-like
 blocks inside an article are never templates: two pages may carry the same article.
 
@@ -39,18 +42,23 @@ MIN_PAGES = 3
 
 #: Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math xmp noembed noframes".split())
+RAW = frozenset("script style textarea title noscript template iframe svg annotation annotation-xml xmp noembed noframes".split())
 BLOCK = frozenset(("html body p div section article main h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th "
                    "caption blockquote pre figure figcaption address hr header footer nav aside form fieldset details summary "
                    "menu dialog center hgroup search").split())
 FLOW = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre td th tr tbody thead caption figcaption".split())
-LEFT_OUT = frozenset(("head nav footer aside form menu dialog button select option label object canvas audio video map "
+LEFT_OUT = frozenset(("head nav footer aside form menu dialog button select option object canvas audio video map "
                       "datalist search fieldset").split()) | RAW
 #: Words in class, id or role names that mark a part that is not the article.
 MARKS = frozenset(("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent "
                    "gdpr notice notification alert nav navbar navigation menu sidebar footer breadcrumb breadcrumbs comment comments "
                    "disqus replies share sharing social related recommended newsletter subscribe subscription popup modal overlay "
                    "widget masthead toolbar pager pagination complementary contentinfo dialog skip login signup").split())
+#: Words that go with a mark in one name without changing what it says.
+PARTNERS = frozenset(("area article articles bar block body bottom box button buttons close column container content copy footer form global group "
+                      "header icon icons inline inner item items js layer layout left link links list main message mobile module outer "
+                      "page panel placeholder policy post posts primary reading right row secondary section site slot small sticky stories text thread "
+                      "title toggle top unit widgets wrap wrapper zone").split())
 #: Left out only outside an article, where an article's own header holds its heading.
 OUTER_MARKS = frozenset(["header"])
 #: Start tags that end an open element of the same row of names.
@@ -59,22 +67,36 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
                  r"|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/<>]*)([^<>]*)>", re.S)
-NAMES = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
-WORDS = re.compile(r"[a-z]+")
+#: Attributes one after the other, so that a quoted value is never searched for names.
+ATTRIBUTE = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+)))?|[\"'/=]")
+CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+WORDS = re.compile(r"[^\W\d_]+")
 
 
-def _marked(attrs: str, in_article: bool) -> bool:
-    """Whether class, id, role or visibility say that this element is not part of the article."""
-    for m in NAMES.finditer(attrs):
-        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
+def _says_so(name: str, marks: frozenset) -> bool:
+    """Whether a class, id or role name as a whole marks a part that is not the article."""
+    found = WORDS.findall(CAMEL.sub("-", name).lower())
+    return any(w in marks for w in found) and all(w in marks or w in PARTNERS for w in found)
+
+
+def _marked(attrs: str, in_article: bool, flow: bool = False) -> bool:
+    """Whether class, id, role or visibility say that this element is not part of the article.
+
+    ``flow``: the element is a paragraph, heading, list item, cell or quote.
+    """
+    marks = MARKS if in_article else MARKS | OUTER_MARKS
+    for m in ATTRIBUTE.finditer(attrs):
+        if not m[1]:
+            continue
+        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
+            return True
+        if name == "style" and "display:none" in value.lower().replace(" ", ""):
             return True
-        if name == "style":
-            if "display:none" in value.replace(" ", ""):
+        if flow:
+            if name == "class" and any(x in marks for x in value.lower().split()):
                 return True
-            continue
-        found = set(WORDS.findall(value))
-        if found & MARKS or (not in_article and found & OUTER_MARKS):
+        elif name in ("class", "id", "role") and any(_says_so(x, marks) for x in value.split()):
             return True
     return False
 
@@ -167,7 +189,7 @@ class Page:
             is_article = name in ("article", "main") or (name in BLOCK and "main" in attrs and bool(
                 re.search(r"\brole\s*=\s*[\"']?main\b", attrs, re.I)))
             left_out = name in LEFT_OUT or (name == "header" and not article) or (
-                name not in ("html", "body") and bool(attrs) and _marked(attrs, article > 0))
+                name not in ("html", "body") and bool(attrs) and _marked(attrs, article > 0, name in FLOW))
             number = -1
             if name in BLOCK and name not in ("html", "body") and not is_article and not (article and name in FLOW) and not out:
                 number = len(self.hashes)
