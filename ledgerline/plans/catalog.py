@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import c, date_parts, epoch_seconds, midnight_epoch, parse_ts
+from ..functions.scalar import c, date_parts, epoch_seconds, midnight_epoch, parse_double, parse_long, parse_ts
 from ..operators import encode as enc
 from ..operators import graph as g
 from ..operators.enrich import edge_list_lines
@@ -249,6 +249,13 @@ def rule_scored(spark, sf_dir):
                         (F.col("Amount_Received") * 10 < F.col("Amount_Paid") * 9.05).cast("long"))
 
 
+def rule_labels(spark, sf_dir):
+    """Label and prediction of the same rule, parsed from the raw transfers: metrics need no dictionaries."""
+    t = fx.transactions(spark, sf_dir)
+    flagged = parse_double("Amount Received") * 10 < parse_double("Amount Paid") * 9.05
+    return t.select(parse_long("Is Laundering").alias("Is_Laundering"), flagged.cast("long").alias("Is_Laundering_Prediction"))
+
+
 @register("split_random")
 def q_split_random(spark, sf_dir):
     return split(fx.transactions(spark, sf_dir).select("row_id"), "row_id", test=0.2, seed=42)
@@ -268,24 +275,24 @@ def q_minmax(spark, sf_dir):
 
 @register("confusion")
 def q_confusion(spark, sf_dir):
-    return mt.confusion(rule_scored(spark, sf_dir))
+    return mt.confusion(rule_labels(spark, sf_dir))
 
 
 @register("classification_report")
 def q_classification_report(spark, sf_dir):
-    r = mt.classification_report(freeze(mt.confusion(rule_scored(spark, sf_dir)), "confusion"))
+    r = mt.classification_report(freeze(mt.confusion(rule_labels(spark, sf_dir)), "confusion"))
     return r.select("class", *[F.round(x, METRIC_DECIMALS).alias(x) for x in ["precision", "recall", "f1"]], "support")
 
 
 @register("binary_metrics")
 def q_binary_metrics(spark, sf_dir):
-    r = mt.binary_metrics(freeze(mt.confusion(rule_scored(spark, sf_dir)), "confusion"))
+    r = mt.binary_metrics(freeze(mt.confusion(rule_labels(spark, sf_dir)), "confusion"))
     return r.select(*[F.round(x, METRIC_DECIMALS).alias(x) for x in r.columns])
 
 
 @register("score_summary")
 def q_score_summary(spark, sf_dir):
-    return eda.score_summary(rule_scored(spark, sf_dir))
+    return eda.score_summary(rule_labels(spark, sf_dir))
 
 
 @register("flagged_rows")
