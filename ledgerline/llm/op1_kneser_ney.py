@@ -13,10 +13,11 @@ A trusted document is scored without its own n-grams (leave one out): its share
 taken off, and what only it holds is left to the lower order. Otherwise the quantile would be that of
 learned text and too strict for text like it.
 
-Scale. A task sums its documents' n-grams and emits, per slice of text and distinct n-gram, which
-documents hold it and how often. The distinct n-grams of the corpus are joined with the count tables,
-their probabilities with the slices' rows, and the bits are summed per document; no table of the
-characters' own n-grams is broadcast or reaches the driver. Only the class model does: it has at most
+Scale. A slice of text (what a task reads, up to SLICE_CHARS) sends the 64-bit keys of its distinct n-grams, packed per
+bucket of keys, to the count tables, which are sharded by the same buckets; the rows found go back to the slice's own
+compressed text, where they are looked up per n-gram and the bits summed per document. Shares and weights travel
+as 32-bit floats. No table of the characters' own n-grams is broadcast or reaches the driver, nor any table of the
+places of n-grams written. Only the class model is broadcast: it has at most
 ``SYMBOLS ** ORDER`` entries (5.3 million, 21 MB as floats) however large the corpus is.
 
 Defined results: null or empty text: perplexity null and not kept; a null language forms its own
@@ -31,12 +32,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import counted_broadcast, materialize, require
+from .common import counted_broadcast, materialize, require, shuffle_partitions
 
 #: Highest order over characters; the classes of characters below have theirs.
 DEEP = 6
@@ -46,12 +48,20 @@ SYMBOLS = 48
 QUANTILE = 0.995
 #: Characters handled together in a task.
 CHUNK_CHARS = 2_000_000
-#: Distinct n-grams in a batch of results.
+#: Distinct n-grams in a batch of results, and those a task holds before it sums them up.
 ROWS = 20_000
+HELD = 6_000_000
+#: Characters whose n-grams ask for the model's rows together.
+SLICE_CHARS = 128_000_000
+#: Rows of the model, and characters of text, per bucket of keys.
+BUCKET_ROWS, BUCKET_CHARS = 200_000, 20_000_000
+#: Multiplier of the n-grams' keys.
+FACTOR = np.uint64(0xD6E8FEB86659FD93)
 #: Resolution of the quantile in log2 perplexity.
 STEPS = 1000
 
 _TABLE: list[np.ndarray] = []
+_BITS: list[np.ndarray] = []
 
 
 def _symbol_table() -> np.ndarray:
@@ -131,7 +141,7 @@ def gram_counts(texts: DataFrame) -> DataFrame:
 
 
 def discounted(level: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(g, alpha) discounted share of each n-gram and (ctx, gamma) back-off weight of each context of (g, ctx, n).
+    """(g, n, alpha) discounted share of each n-gram and (ctx, gamma) back-off weight of each context of (g, ctx, n).
 
     Discounts follow the counts of counts; where those are missing or give a value outside 0..k,
     half of the count class is taken off.
@@ -144,7 +154,7 @@ def discounted(level: DataFrame) -> tuple[DataFrame, DataFrame]:
     off = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
     grams = level.crossJoin(F.broadcast(t)).select("g", "ctx", "n", off.alias("off"))  # one row of three discounts
     ctx = grams.groupBy("ctx").agg(F.sum("n").alias("total"), (F.sum("off") / F.sum("n")).alias("gamma"))
-    alpha = grams.join(ctx, "ctx").select("g", ((F.col("n") - F.col("off")) / F.col("total")).alias("alpha"))
+    alpha = grams.join(ctx, "ctx").select("g", "n", ((F.col("n") - F.col("off")) / F.col("total")).alias("alpha"))
     return alpha, ctx.select("ctx", "gamma")
 
 
@@ -186,147 +196,283 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
 
 
 def _mixed(cp: np.ndarray) -> np.ndarray:
-    """64 well spread bits per code point (splitmix64)."""
-    z = (cp.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return z ^ (z >> np.uint64(31))
-
-
-def postings(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct n-grams of order DEEP, n-gram number, text number, count) of texts with DEEP - 1 spaces before each."""
-    pad = " " * (DEEP - 1)
-    joined = "".join([pad + t for t in texts])
-    z = _mixed(np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32))
-    doc = np.repeat(np.arange(len(texts), dtype=np.int64), [len(t) + DEEP - 1 for t in texts])
-    ends = np.flatnonzero(doc[DEEP - 1:] == doc[:1 - DEEP]) + DEEP - 1 if len(doc) >= DEEP else np.empty(0, np.int64)
-    h = np.zeros(len(z), dtype=np.uint64)
-    for k in range(DEEP):
-        h = h * np.uint64(0xD6E8FEB86659FD93)
-        h[DEEP - 1:] += z[k:len(z) - (DEEP - 1) + k]
-    _, at, gram = np.unique(h[ends], return_index=True, return_inverse=True)
-    grams = [joined[i - DEEP + 1:i + 1] for i in ends[at].tolist()]
-    pairs, n = np.unique(gram * max(len(texts), 1) + doc[ends], return_counts=True)
-    return grams, pairs // max(len(texts), 1), pairs % max(len(texts), 1), n
-
-
-def sliced_grams(docs: DataFrame) -> DataFrame:
-    """Per slice of text one row of its documents and one of each distinct n-gram: the documents that hold it,
-    how often (n, and own: 0 unless trusted), and the count in trusted ones. ``docs``: doc_id, lang, text, trusted."""
-
-    def lists(sizes: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.ListArray:
-        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values, kind))
+    """64 well spread bits per code point (splitmix64), from a table."""
+    if not _BITS:
+        z = (np.arange(0x110000, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        _BITS.append(z ^ (z >> np.uint64(31)))
+    return _BITS[0][cp]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            texts = [t or "" for t in batch.column(2).to_pylist()]
-            for lo, hi in _chunks(texts):
-                grams, gram, doc, n = postings(texts[lo:hi])
-                trusted = np.array(batch.column(3).slice(lo, hi - lo).to_pylist(), dtype=bool)
-                own = n * trusted[doc]
-                seen = np.bincount(gram, weights=own, minlength=len(grams))
-                rows = [{"doc_id": i, "lang": g, "n_chars": len(t), "trusted": bool(k)} for i, g, t, k in zip(
-                    batch.column(0).slice(lo, hi - lo).to_pylist(), batch.column(1).slice(lo, hi - lo).to_pylist(),
-                    texts[lo:hi], trusted)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([number], pa.int64()), pa.array([None], pa.string()), pa.array([None], pa.list_(pa.int32())),
-                     pa.array([None], pa.list_(pa.int32())), pa.array([None], pa.list_(pa.int32())), pa.array([0], pa.int64()),
-                     pa.array([rows], pa.list_(held))],
-                    names=names)
-                sizes = np.bincount(gram, minlength=len(grams))
-                ends = np.cumsum(sizes)
-                for a in range(0, len(grams), ROWS):
-                    b = min(a + ROWS, len(grams))
-                    part = slice(ends[a] - sizes[a], ends[b - 1])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(b - a, number), pa.int64()), pa.array(grams[a:b], pa.string()),
-                         lists(sizes[a:b], doc[part], pa.int32()), lists(sizes[a:b], n[part], pa.int32()),
-                         lists(sizes[a:b], own[part], pa.int32()), pa.array(seen[a:b].astype(np.int64), pa.int64()), pa.nulls(b - a, pa.list_(held))], names=names)
-                number += 1
-
-    held = pa.struct([("doc_id", pa.int64()), ("lang", pa.string()), ("n_chars", pa.int64()), ("trusted", pa.bool_())])
-    names = ["slice", "gram", "at", "n", "own", "n_trusted", "docs"]
-    return docs.select("doc_id", "lang", "text", "trusted").mapInArrow(
-        run, "slice long, gram string, at array<int>, n array<int>, own array<int>, n_trusted long, "
-             "docs array<struct<doc_id: long, lang: string, n_chars: long, trusted: boolean>>")
-
-
-def gram_shares(grams: DataFrame, log2: np.ndarray) -> DataFrame:
-    """(gram, n, alpha, gamma, lower, only): the last character's probability is alpha + gamma * lower.
-
-    ``grams``: (gram, n) with the count in trusted text, 0 for n-grams that stand elsewhere only.
-    ``only`` is ``lower`` for a document that alone holds the n-gram.
+
+def key_at(z: np.ndarray, ends: np.ndarray, order: int) -> np.ndarray:
+    """64-bit keys of the n-grams of ``order`` characters that end at ``ends``; ``z`` are the characters' bits."""
+    h = np.zeros(len(ends), dtype=np.uint64)
+    for k in range(order):
+        h *= FACTOR
+        h += z[ends - (order - 1) + k]
+    return h
+
+
+class Grams:
+    """The distinct n-grams of order DEEP of some texts, with DEEP - 1 spaces before each.
+
+    ``doc`` and ``gram`` give text number and n-gram number of every character, ``keys`` and ``ends`` key and
+    first place of every n-gram.
     """
-    shared = grams.sparkSession.sparkContext.broadcast(log2)
+
+    def __init__(self, texts: list[str]) -> None:
+        pad = " " * (DEEP - 1)
+        sizes = np.array([len(t) for t in texts], dtype=np.int64)
+        joined = "".join([pad + t for t in texts])
+        self.cp = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        self.z = _mixed(self.cp)
+        self.doc = np.repeat(np.arange(len(texts), dtype=np.int64), sizes)
+        ends = np.arange(len(self.doc), dtype=np.int64) + (DEEP - 1) * (self.doc + 1)
+        h = np.zeros(max(len(self.z) - DEEP + 1, 0), dtype=np.uint64)
+        for k in range(DEEP):
+            h *= FACTOR
+            h += self.z[k:len(self.z) - (DEEP - 1) + k]
+        self.gram, self.keys = pd.factorize(h[ends - (DEEP - 1)])
+        self.ends = np.empty(len(self.keys), dtype=np.int64)
+        self.ends[self.gram[::-1]] = ends[::-1]  # the first place is written last
+
+    def lower_keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per n-gram the keys of its context, of the n-gram one shorter, and of that one's context."""
+        return (key_at(self.z, self.ends - 1, DEEP - 1), key_at(self.z, self.ends, DEEP - 1),
+                key_at(self.z, self.ends - 1, DEEP - 2))
+
+    def characters(self) -> np.ndarray:
+        """One row of DEEP code points per n-gram."""
+        return self.cp[self.ends[:, None] + np.arange(1 - DEEP, 1)]
+
+
+def deep_counts(texts: DataFrame) -> DataFrame:
+    """(gram, n): counts of the n-grams of order DEEP of a one-column table of texts, summed in the tasks first."""
+
+    def strings(cp: np.ndarray) -> list[str]:
+        joined = cp.tobytes().decode("utf-32-le", "surrogatepass")
+        return [joined[i:i + DEEP] for i in range(0, len(joined), DEEP)]
+
+    def rows(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        keys, n, cp = (np.concatenate(x) for x in zip(*held))
+        _, at, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        n = np.bincount(inverse, weights=n).astype(np.int64)
+        for lo in range(0, len(at), ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array(strings(cp[at[lo:lo + ROWS]]), pa.string()),
+                                              pa.array(n[lo:lo + ROWS], pa.int64())], names=["gram", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = np.bincount(_symbol_table(), minlength=SYMBOLS)
+        held, size = [], 0
         for batch in batches:
-            text = "".join(batch.column(0).to_pylist())
-            cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(-1, DEEP)
-            s = _symbol_table()[cp[:, DEEP - ORDER:]]
-            g = np.zeros(len(s), dtype=np.int64)
-            for k in range(ORDER):
-                g = g * SYMBOLS + s[:, k]
-            p = np.exp2(shared.value[g].astype(np.float64)) / size[s[:, -1]]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(p, pa.float64())],
-                                             names=["gram", "n", "p"])
-
-    out = grams.select("gram", "n").mapInArrow(run, "gram string, n long, p double")
-    level = grams.where("n > 0").select(F.col("gram").alias("g"), "n")
+            texts = [t or "" for t in batch.column(0).to_pylist()]
+            for lo, hi in _chunks(texts):
+                g = Grams(texts[lo:hi])
+                held.append((g.keys, np.bincount(g.gram, minlength=len(g.keys)), g.characters()))
+                size += len(g.keys)
+                if size > HELD:
+                    yield from rows(held)
+                    held, size = [], 0
+        if size:
+            yield from rows(held)
+
+    return texts.mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def model_rows(level: DataFrame) -> DataFrame:
+    """(gram, alpha, gamma, n) of the orders DEEP and DEEP - 1 from (gram, n) of order DEEP: the discounted share of
+    an n-gram, the back-off weight of a context, and the (continuation) count of an n-gram; 0, 1 and 0 where it is not one."""
+    level = level.select(F.col("gram").alias("g"), "n")
     below = level.groupBy(F.substring("g", 2, DEEP - 1).alias("g")).agg(F.count(F.lit(1)).alias("n"))
-    for k, table in ((DEEP - 1, below), (DEEP, level)):
+    out = None
+    for k, table in ((DEEP, level), (DEEP - 1, below)):
         alpha, gamma = discounted(table.select("g", F.substring("g", 1, k - 1).alias("ctx"), "n"))
-        if k < DEEP:
-            alpha = alpha.join(table.select("g", (F.col("n") == 1).alias("single")), "g")
-        out = out.withColumn("g", F.substring("gram", DEEP - k + 1, k)).withColumn("ctx", F.substring("g", 1, k - 1))
-        out = out.join(gamma, "ctx", "left").join(alpha, "g", "left").drop("g", "ctx").withColumns(
-            {"alpha": F.coalesce("alpha", F.lit(0.0)), "gamma": F.coalesce("gamma", F.lit(1.0))})
-        if k < DEEP:
-            rest = F.col("gamma") * F.col("p")
-            out = out.select("gram", "n", (F.col("alpha") + rest).alias("lower"),
-                             F.when(F.col("single"), rest).otherwise(F.col("alpha") + rest).alias("only"))
-    return out.select("gram", "n", "alpha", "gamma", "lower", "only")
+        rows = alpha.select(F.col("g").alias("gram"), "alpha", F.lit(1.0).alias("gamma"), "n").unionByName(
+            gamma.select(F.col("ctx").alias("gram"), F.lit(0.0).alias("alpha"), "gamma", F.lit(0).cast("long").alias("n")))
+        out = rows if out is None else out.unionByName(rows)
+    return out.groupBy("gram").agg(F.max("alpha").alias("alpha"), F.min("gamma").alias("gamma"), F.max("n").alias("n"))
+
+
+def keyed(model: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, key, alpha, gamma, n) of :func:`model_rows`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams = batch.column(0).to_pylist()
+            z = _mixed(np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), dtype=np.uint32))
+            sizes = np.array([len(g) for g in grams], dtype=np.int64)
+            last = np.cumsum(sizes) - 1
+            key = np.zeros(len(grams), dtype=np.uint64)
+            for order in (DEEP, DEEP - 1, DEEP - 2):
+                key[sizes == order] = key_at(z, last[sizes == order], order)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((key >> np.uint64(40)).astype(np.int64) % buckets), pa.array(key.view(np.int64)), *batch.columns[1:]],
+                names=["bucket", "key", "alpha", "gamma", "n"])
+
+    return model.select("gram", "alpha", "gamma", "n").mapInArrow(
+        run, "bucket long, key long, alpha double, gamma double, n long")
+
+
+def slices(docs: DataFrame) -> DataFrame:
+    """(slice, docs): compressed chunks of documents; up to SLICE_CHARS characters of a task make a slice.
+    ``docs``: doc_id, lang, text, trusted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, chars = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            texts = batch.column(2).to_pylist()
+            for lo, hi in _chunks(texts):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_batch(batch.slice(lo, hi - lo))
+                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                                                 names=["slice", "docs"])
+                chars += sum(len(t or "") for t in texts[lo:hi])
+                if chars >= SLICE_CHARS:
+                    number, chars = number + 1, 0
+
+    return docs.select("doc_id", "lang", "text", "trusted").mapInArrow(run, "slice long, docs binary")
+
+
+def wanted_keys(held: DataFrame, buckets: int) -> DataFrame:
+    """(slice, bucket, keys): the distinct keys that the n-grams of a slice need, packed per bucket."""
+
+    def rows(number: int, parts: list[np.ndarray]) -> pa.RecordBatch:
+        keys = np.unique(np.concatenate(parts))
+        bucket = (keys >> np.uint64(40)).astype(np.int64) % buckets
+        order = np.argsort(bucket, kind="stable")
+        keys, bucket = keys[order], bucket[order]
+        at = np.flatnonzero(np.r_[True, np.diff(bucket) != 0]) if len(keys) else np.empty(0, np.int64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(at), number), pa.int64()), pa.array(bucket[at], pa.int64()),
+             pa.array([x.tobytes() for x in np.split(keys, at[1:])][:len(at)], pa.binary())], names=["slice", "bucket", "keys"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, parts, size = None, [], 0
+        for batch in batches:
+            for number, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if parts and (number != current or size > HELD):
+                    parts = [np.unique(np.concatenate(parts))]
+                    size = 0
+                    if number != current:
+                        yield rows(current, parts)
+                        parts = []
+                current = number
+                for _, g, _ in unpacked(packed.as_buffer()):
+                    parts += [g.keys, *g.lower_keys()]
+                    size += 4 * len(g.keys)
+        if parts:
+            yield rows(current, parts)
+
+    return held.mapInArrow(run, "slice long, bucket long, keys binary")
+
+
+def unpacked(packed: pa.Buffer) -> Iterator[tuple[pa.RecordBatch, Grams, list[str]]]:
+    """The documents of a chunk with their n-grams and texts."""
+    for batch in pa.ipc.open_stream(packed):
+        texts = [t or "" for t in batch.column(2).to_pylist()]
+        yield batch, Grams(texts), texts
+
+
+def looked_up(wanted: pa.Table, model: pa.Table) -> pa.Table:
+    """The model's rows of a bucket that each slice wants."""
+    keys = model.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    keys = keys[order]
+    alpha, gamma, n = (model.column(c).to_numpy()[order] for c in ("alpha", "gamma", "n"))
+    out: dict[str, list] = {"slice": [], "keys": [], "alpha": [], "gamma": [], "n": []}
+    for number, packed in zip(wanted.column("slice").to_pylist(), wanted.column("keys").to_pylist()):
+        want = np.frombuffer(packed, dtype=np.uint64)
+        at = np.minimum(np.searchsorted(keys, want), max(len(keys) - 1, 0))
+        at = at[keys[at] == want] if len(keys) else at[:0]
+        if len(at):
+            out["slice"].append(number)
+            out["keys"].append(keys[at].tobytes())
+            out["alpha"].append(alpha[at].astype(np.float32).tobytes())
+            out["gamma"].append(gamma[at].astype(np.float32).tobytes())
+            out["n"].append(n[at].tobytes())
+    return pa.table(out, schema=pa.schema([("slice", pa.int64())] + [(c, pa.binary()) for c in ("keys", "alpha", "gamma", "n")]))
+
+
+class Model:
+    """The rows of the model that a slice wanted; what is not there was never seen in trusted text."""
+
+    def __init__(self, found: pa.Table) -> None:
+        def column(name: str, kind: type) -> np.ndarray:
+            return np.frombuffer(b"".join(found.column(name).to_pylist()), dtype=kind)
+
+        keys, at = np.unique(column("keys", np.uint64), return_index=True)
+        self.index = pd.Index(keys)
+        # One more entry, reached by the index -1 of a missing key.
+        self.alpha = np.append(column("alpha", np.float32)[at], np.float32(0)).astype(np.float64)
+        self.gamma = np.append(column("gamma", np.float32)[at], np.float32(1)).astype(np.float64)
+        self.n = np.append(column("n", np.int64)[at], 0)
+
+    def shares(self, g: Grams, log2: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(n, alpha, gamma, lower, only) per n-gram: the last character's probability is alpha + gamma * lower.
+
+        ``n`` is the count in trusted text, ``only`` is ``lower`` for a document that alone holds the n-gram.
+        """
+        top, (ctx, low, low_ctx) = self.index.get_indexer(g.keys), (self.index.get_indexer(k) for k in g.lower_keys())
+        symbol = _symbol_table()[g.characters()[:, DEEP - ORDER:]]
+        ids = np.zeros(len(symbol), dtype=np.int64)
+        for k in range(ORDER):
+            ids = ids * SYMBOLS + symbol[:, k]
+        size = np.bincount(_symbol_table(), minlength=SYMBOLS)
+        rest = self.gamma[low_ctx] * np.exp2(log2[ids].astype(np.float64)) / size[symbol[:, -1]]
+        lower = self.alpha[low] + rest
+        return self.n[top], self.alpha[top], self.gamma[ctx], lower, np.where(self.n[low] == 1, rest, lower)
+
+
+def chunk_bits(batch: pa.RecordBatch, g: Grams, texts: list[str], model: Model, log2: np.ndarray) -> np.ndarray:
+    """Bits of every document of a chunk; a trusted one is scored without its own n-grams."""
+    n, alpha, gamma, lower, only = model.shares(g, log2)
+    plain = -np.log2(alpha + gamma * lower)
+    bits = np.bincount(g.doc, weights=plain[g.gram], minlength=len(texts))
+    trusted = np.array(batch.column(3).to_pylist(), dtype=bool)
+    mine = trusted[g.doc]
+    pairs, own = np.unique(g.gram[mine] * len(texts) + g.doc[mine], return_counts=True)
+    gram, doc = pairs // len(texts), pairs % len(texts)
+    p = alpha[gram] * (1 - own / np.maximum(n[gram], 1)) + gamma[gram] * np.where(own == n[gram], only[gram], lower[gram])
+    return np.where(trusted, np.bincount(doc, weights=-own * np.log2(p), minlength=len(texts)), bits)
 
 
 def perplexities(docs: DataFrame, labels: DataFrame, log2: np.ndarray, text: str = "text", doc_id: str = "doc_id",
                  lang: str = "lang") -> DataFrame:
     """(doc_id, lang, n_chars, trusted, log2_ppl): mean negative log2 probability per character (trusted: leave one out)."""
+    spark = docs.sparkSession
     ids = counted_broadcast(materialize(trusted_ids(labels).withColumn("trusted", F.lit(True)), "kn-trusted"))
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
                        F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"),
                        F.col(f"`{text}`").cast("string").alias("text"))
     rows = rows.join(ids, F.col("doc_id") == F.col("trusted_id"), "left").withColumn(
         "trusted", F.coalesce("trusted", F.lit(False)))
-    sliced = materialize(sliced_grams(rows), "kn-slices")
-    found = sliced.where("gram IS NOT NULL")
-    grams = materialize(found.groupBy("gram").agg(F.sum("n_trusted").alias("n")), "kn-grams")
-    shares = materialize(gram_shares(grams, log2), "kn-shares")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            col = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-            sizes = col["at"].value_lengths().to_numpy()
-            all_, alpha, gamma, lower, only, number = (np.repeat(col[c].to_numpy(), sizes) for c in (
-                "total", "alpha", "gamma", "lower", "only", "slice"))
-            at, n, own = (col[c].flatten().to_numpy() for c in ("at", "n", "own"))
-            p = alpha * (1 - own / np.maximum(all_, 1)) + gamma * np.where((own > 0) & (own == all_), only, lower)
-            bits = -n * np.log2(p)
-            order = np.lexsort([at, number])
-            number, at, bits = number[order], at[order], bits[order]
-            first = np.flatnonzero(np.r_[True, (np.diff(number) != 0) | (np.diff(at) != 0)]) if len(n) else order
-            yield pa.RecordBatch.from_arrays([pa.array(number[first], pa.int64()), pa.array(at[first], pa.int32()),
-                                              pa.array(np.add.reduceat(bits, first) if len(n) else bits, pa.float64())],
-                                             names=["slice", "i", "bits"])
-
-    # One way at every size: the slices' rows grow with the corpus, so they are never broadcast.
-    held = found.select("gram", "slice", "at", "n", "own").join(shares.withColumnRenamed("n", "total").hint("merge"), "gram")
-    sums = held.drop("gram").mapInArrow(run, "slice long, i int, bits double").groupBy("slice", "i").agg(
-        F.sum("bits").alias("bits"))
-    every = sliced.where("gram IS NULL").select("slice", F.posexplode("docs").alias("i", "d")).select("slice", "i", "d.*")
-    return every.join(sums, ["slice", "i"], "left").select(
-        "doc_id", "lang", "n_chars", "trusted", F.when(F.col("n_chars") > 0, F.col("bits") / F.col("n_chars")).alias("log2_ppl"))
+    level = materialize(deep_counts(rows.where("trusted AND length(text) > 0").select("text")), "kn-grams")
+    model = materialize(model_rows(level), "kn-model")
+    # A bucket's model rows and the keys wanted from it stay bounded: their number grows with model and text.
+    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    buckets = max(64, model.count() // BUCKET_ROWS, chars // BUCKET_CHARS)
+    shared = spark.sparkContext.broadcast(log2)
+    # Read twice (keys out, shares back): one exchange, which the plan reuses.
+    held = slices(rows).repartition(shuffle_partitions(spark), "slice")
+    found = wanted_keys(held, buckets).groupBy("bucket").cogroup(keyed(model, buckets).groupBy("bucket")).applyInArrow(
+        looked_up, "slice long, keys binary, alpha binary, gamma binary, n binary")
+
+    def scored(chunks: pa.Table, shares: pa.Table) -> pa.Table:
+        rows_of = Model(shares)
+        out = []
+        for packed in chunks.column("docs"):
+            for batch, g, texts in unpacked(packed.as_buffer()):
+                n = np.array([len(t) for t in texts], dtype=np.int64)
+                bits = chunk_bits(batch, g, texts, rows_of, shared.value) / np.maximum(n, 1)
+                out.append(pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array(n), batch.column(3), pa.array(bits, mask=n == 0)], schema=kept))
+        return pa.Table.from_batches(out, schema=kept)
+
+    kept = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("n_chars", pa.int64()), ("trusted", pa.bool_()),
+                      ("log2_ppl", pa.float64())])
+    return held.groupBy("slice").cogroup(found.groupBy("slice")).applyInArrow(
+        scored, "doc_id long, lang string, n_chars long, trusted boolean, log2_ppl double")
 
 
 def thresholds(scored: DataFrame, quantile: float) -> DataFrame:

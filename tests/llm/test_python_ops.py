@@ -39,20 +39,102 @@ def test_quality_model_tells_characters_of_a_class_apart(spark):
     assert got[3]["perplexity"] > 10 * got[1]["perplexity"] and not got[3]["kept"]
 
 
-def test_kneser_ney_deep_sums_to_one(spark):
-    texts = ["the cat sat on the mat.", "a dog sat.\nthe end"]
-    top = spark.createDataFrame([(t,) for t in texts], "text string")
-    log2 = op1_kneser_ney.dense_log2(op1_kneser_ney.model_tables(op1_kneser_ney.gram_counts(top)))
-    counts = defaultdict(int)
+def plain_shares(texts):
+    """(gram -> count, gram -> count of lower order, share(gram, class probability)) in plain Python."""
+    top, low = defaultdict(int), defaultdict(int)
     for t in texts:
         p = " " * 5 + t
         for i in range(len(t)):
-            counts[p[i:i + 6]] += 1
-    rest = [" cat " + chr(x) for x in range(0x110000) if not 0xD800 <= x < 0xE000]
-    rows = list(counts.items()) + [(g, 0) for g in rest if g not in counts]
-    got = op1_kneser_ney.gram_shares(spark.createDataFrame(rows, "gram string, n long"), log2)
-    assert got.where("only > 0 AND lower >= only").count() == len(rows)
-    assert abs(got.where("substring(gram, 1, 5) = ' cat '").selectExpr("sum(alpha + gamma * lower)").first()[0] - 1) < 0.01
+            top[p[i:i + 6]] += 1
+    for g in top:
+        low[g[1:]] += 1
+
+    def level(counts):
+        of = [sum(1 for n in counts.values() if n == i) for i in range(5)]
+        y = of[1] / (of[1] + 2 * of[2]) if of[1] else None
+        off = []
+        for i in (1, 2, 3):
+            d = i - (i + 1) * y * of[i + 1] / of[i] if of[i] and y is not None else -1
+            off.append(d if 0 < d < i else i / 2)
+        total, back = defaultdict(int), defaultdict(float)
+        for g, n in counts.items():
+            total[g[:-1]] += n
+            back[g[:-1]] += off[min(n, 3) - 1]
+        alpha = {g: (n - off[min(n, 3) - 1]) / total[g[:-1]] for g, n in counts.items()}
+        return alpha, {c: back[c] / total[c] for c in total}
+
+    (a6, w6), (a5, w5) = level(top), level(low)
+
+    def share(g, p, own=0):
+        rest = w5.get(g[1:-1], 1.0) * p
+        lower = a5.get(g[1:], 0.0) + rest
+        if own and own == top[g]:
+            lower = rest if low[g[1:]] == 1 else lower
+        return a6.get(g, 0.0) * (1 - own / max(top.get(g, 0), 1)) + w6.get(g[:-1], 1.0) * lower
+
+    return share
+
+
+def class_probability(log2, g):
+    table, size = op1_kneser_ney._symbol_table(), op1_kneser_ney.SYMBOLS
+    at = 0
+    for ch in g[-op1_kneser_ney.ORDER:]:
+        at = at * size + int(table[ord(ch)])
+    return 2.0 ** float(log2[at]) / int((table == table[ord(g[-1])]).sum())
+
+
+def test_kneser_ney_against_plain_python(spark):
+    """Perplexities by joins of packed keys, with leave-one-out, equal those of dictionaries."""
+    import math
+    import random
+    r = random.Random(3)
+    texts = ["".join(r.choice("ab cé\n") for _ in range(r.randint(1, 60))) for _ in range(40)] + ["a", "жук " * 9, "", None, "x"]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 41, 2)], "doc_id long, quality int, toxic int")
+    log2 = op1_kneser_ney.train(docs, labels)
+    trusted = [texts[i] for i in range(0, 41, 2)]
+    share = plain_shares(trusted)
+    want = {}
+    for i, t in enumerate(texts):
+        p = " " * 5 + (t or "")
+        grams = [p[k:k + 6] for k in range(len(t or ""))]
+        mine = i < 41 and i % 2 == 0
+        bits = [-math.log2(share(g, class_probability(log2, g), grams.count(g) if mine else 0)) for g in grams]
+        want[i] = sum(bits) / len(bits) if bits else None
+    got = {x["doc_id"]: x["log2_ppl"] for x in op1_kneser_ney.perplexities(docs, labels, log2).collect()}
+    assert got.keys() == want.keys()
+    bad = {i: (got[i], want[i]) for i in want if (got[i] is None) != (want[i] is None) or (want[i] and abs(got[i] - want[i]) > 1e-5)}
+    assert not bad
+    every = [chr(x) for x in range(0x110000) if not 0xD800 <= x < 0xE000]
+    row = class_row(log2, "cb ", every)
+    assert abs(sum(share("a cb " + ch, row[ch]) for ch in every) - 1) < 0.01
+
+
+def class_row(log2, before, characters):
+    table, size = op1_kneser_ney._symbol_table(), op1_kneser_ney.SYMBOLS
+    at = 0
+    for ch in before:
+        at = at * size + int(table[ord(ch)])
+    held = [int((table == k).sum()) for k in range(size)]
+    return {ch: 2.0 ** float(log2[at * size + table[ord(ch)]]) / held[table[ord(ch)]] for ch in characters}
+
+
+def test_kneser_ney_chunks(spark):
+    """Small batches give many chunks and the same figures."""
+    docs = spark.createDataFrame([(i, f"text number {i % 7} of the lot " * (1 + i % 5), "en") for i in range(60)],
+                                 "doc_id long, text string, lang string").coalesce(1)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 60, 3)], "doc_id long, quality int, toxic int")
+    log2 = op1_kneser_ney.train(docs, labels)
+
+    def rows():
+        return sorted((x["doc_id"], round(x["log2_ppl"], 6)) for x in op1_kneser_ney.perplexities(docs, labels, log2).collect())
+
+    one = rows()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert rows() == one and len(one) == 60
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 def test_quality_odd_rows(spark, odd):
