@@ -214,6 +214,11 @@ def key_at(z: np.ndarray, ends: np.ndarray, order: int) -> np.ndarray:
     return h
 
 
+def lower_keys(z: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per n-gram the keys of its context, of the n-gram one shorter, and of that one's context."""
+    return key_at(z, ends - 1, DEEP - 1), key_at(z, ends, DEEP - 1), key_at(z, ends - 1, DEEP - 2)
+
+
 class Grams:
     """The distinct n-grams of order DEEP of some texts, with DEEP - 1 spaces before each.
 
@@ -237,11 +242,6 @@ class Grams:
         self.ends = np.empty(len(self.keys), dtype=np.int64)
         self.ends[self.gram[::-1]] = ends[::-1]  # the first place is written last
 
-    def lower_keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per n-gram the keys of its context, of the n-gram one shorter, and of that one's context."""
-        return (key_at(self.z, self.ends - 1, DEEP - 1), key_at(self.z, self.ends, DEEP - 1),
-                key_at(self.z, self.ends - 1, DEEP - 2))
-
     def characters(self) -> np.ndarray:
         """One row of DEEP code points per n-gram."""
         return self.cp[self.ends[:, None] + np.arange(1 - DEEP, 1)]
@@ -279,18 +279,53 @@ def deep_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences, byte planes apart, so that their empty planes compress to nothing."""
+    return np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked_keys(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(packed, dtype=np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Equal ranges of keys."""
+    return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def discounts(level: DataFrame) -> list[float]:
+    """What is taken off counts of 1, 2 and more, by the rule of :func:`discounted`; four numbers reach the driver."""
+    t = [0, *level.agg(*[F.count(F.when(F.col("n") == i, 1)) for i in (1, 2, 3, 4)]).first()]
+    y = t[1] / (t[1] + 2 * t[2]) if t[1] else None
+    raw = [i - (i + 1) * y * t[i + 1] / t[i] if y is not None and t[i] else 0.0 for i in (1, 2, 3)]
+    return [d if 0 < d < i else i / 2 for i, d in enumerate(raw, 1)]
+
+
 def model_rows(level: DataFrame) -> DataFrame:
-    """(gram, alpha, gamma, n) of the orders DEEP and DEEP - 1 from (gram, n) of order DEEP: the discounted share of
-    an n-gram, the back-off weight of a context, and the (continuation) count of an n-gram; 0, 1 and 0 where it is not one."""
-    level = level.select(F.col("gram").alias("g"), "n")
-    below = level.groupBy(F.substring("g", 2, DEEP - 1).alias("g")).agg(F.count(F.lit(1)).alias("n"))
+    """(gram, alpha, gamma, n) of the orders DEEP and DEEP - 1 from a written table (gram, n) of order DEEP: the
+    discounted share of an n-gram, the back-off weight of a context, and the (continuation) count of an n-gram; 0, 1
+    and 0 where it is not one. Rows of one gram combine to sum, product and sum. Every context is grouped once, with as
+    many rows as characters follow it.
+    """
+    below = materialize(level.groupBy(F.substring("gram", 2, DEEP - 1).alias("gram")).agg(F.count(F.lit(1)).alias("n")),
+                        "kn-below")
     out = None
     for k, table in ((DEEP, level), (DEEP - 1, below)):
-        alpha, gamma = discounted(table.select("g", F.substring("g", 1, k - 1).alias("ctx"), "n"))
-        rows = alpha.select(F.col("g").alias("gram"), "alpha", F.lit(1.0).alias("gamma"), "n").unionByName(
-            gamma.select(F.col("ctx").alias("gram"), F.lit(0.0).alias("alpha"), "gamma", F.lit(0).cast("long").alias("n")))
+        d = discounts(table)
+        off = F.when(F.col("n") == 1, F.lit(d[0])).when(F.col("n") == 2, F.lit(d[1])).otherwise(F.lit(d[2]))
+        contexts = table.select(F.substring("gram", 1, k - 1).alias("ctx"), F.substring("gram", k, 1).alias("c"), "n",
+                                off.alias("off")).groupBy("ctx").agg(
+            F.sum("n").alias("total"), F.sum("off").alias("off"), F.collect_list(F.struct("c", "n", "off")).alias("next"))
+        back = F.struct("ctx", F.lit(0.0).alias("alpha"), (F.col("off") / F.col("total")).alias("gamma"),
+                        F.lit(0).cast("long").alias("n"))
+        shares = F.transform("next", lambda x: F.struct(
+            F.concat("ctx", x["c"]).alias("ctx"), ((x["n"] - x["off"]) / F.col("total")).alias("alpha"),
+            F.lit(1.0).alias("gamma"), x["n"].alias("n")))
+        rows = contexts.select(F.explode(F.concat(F.array(back), shares)).alias("r")).select(
+            F.col("r.ctx").alias("gram"), "r.alpha", "r.gamma", "r.n")
         out = rows if out is None else out.unionByName(rows)
-    return out.groupBy("gram").agg(F.max("alpha").alias("alpha"), F.min("gamma").alias("gamma"), F.max("n").alias("n"))
+    return out
 
 
 def keyed(model: DataFrame, buckets: int) -> DataFrame:
@@ -306,11 +341,11 @@ def keyed(model: DataFrame, buckets: int) -> DataFrame:
             for order in (DEEP, DEEP - 1, DEEP - 2):
                 key[sizes == order] = key_at(z, last[sizes == order], order)
             yield pa.RecordBatch.from_arrays(
-                [pa.array((key >> np.uint64(40)).astype(np.int64) % buckets), pa.array(key.view(np.int64)), *batch.columns[1:]],
+                [pa.array(bucket_of(key, buckets)), pa.array(key.view(np.int64)), *batch.columns[1:]],
                 names=["bucket", "key", "alpha", "gamma", "n"])
 
-    return model.select("gram", "alpha", "gamma", "n").mapInArrow(
-        run, "bucket long, key long, alpha double, gamma double, n long")
+    return model.select("gram", F.col("alpha").cast("float"), F.col("gamma").cast("float"), "n").mapInArrow(
+        run, "bucket long, key long, alpha float, gamma float, n long")
 
 
 def slices(docs: DataFrame) -> DataFrame:
@@ -323,7 +358,7 @@ def slices(docs: DataFrame) -> DataFrame:
             texts = batch.column(2).to_pylist()
             for lo, hi in _chunks(texts):
                 sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 7))) as out:
                     out.write_batch(batch.slice(lo, hi - lo))
                 yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
                                                  names=["slice", "docs"])
@@ -337,30 +372,34 @@ def slices(docs: DataFrame) -> DataFrame:
 def wanted_keys(held: DataFrame, buckets: int) -> DataFrame:
     """(slice, bucket, keys): the distinct keys that the n-grams of a slice need, packed per bucket."""
 
-    def rows(number: int, parts: list[np.ndarray]) -> pa.RecordBatch:
-        keys = np.unique(np.concatenate(parts))
-        bucket = (keys >> np.uint64(40)).astype(np.int64) % buckets
-        order = np.argsort(bucket, kind="stable")
-        keys, bucket = keys[order], bucket[order]
+    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        keys, cp = (np.concatenate(x) for x in zip(*parts))
+        keys, at = np.unique(keys, return_index=True)
+        return keys, cp[at]
+
+    def rows(number: int, parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        keys, cp = merged(parts)
+        z, ends = _mixed(cp.ravel()), np.arange(1, len(keys) + 1) * DEEP - 1
+        keys = np.unique(np.concatenate([keys, *lower_keys(z, ends)]))
+        bucket = bucket_of(keys, buckets)
         at = np.flatnonzero(np.r_[True, np.diff(bucket) != 0]) if len(keys) else np.empty(0, np.int64)
         return pa.RecordBatch.from_arrays(
             [pa.array(np.full(len(at), number), pa.int64()), pa.array(bucket[at], pa.int64()),
-             pa.array([x.tobytes() for x in np.split(keys, at[1:])][:len(at)], pa.binary())], names=["slice", "bucket", "keys"])
+             pa.array([packed_keys(x) for x in np.split(keys, at[1:])][:len(at)], pa.binary())], names=["slice", "bucket", "keys"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, parts, size = None, [], 0
         for batch in batches:
             for number, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if parts and (number != current or size > HELD):
-                    parts = [np.unique(np.concatenate(parts))]
-                    size = 0
-                    if number != current:
-                        yield rows(current, parts)
-                        parts = []
+                if parts and number != current:
+                    yield rows(current, parts)
+                    parts, size = [], 0
+                elif size > HELD:
+                    parts, size = [merged(parts)], 0
                 current = number
                 for _, g, _ in unpacked(packed.as_buffer()):
-                    parts += [g.keys, *g.lower_keys()]
-                    size += 4 * len(g.keys)
+                    parts.append((g.keys, g.characters()))
+                    size += len(g.keys)
         if parts:
             yield rows(current, parts)
 
@@ -376,21 +415,22 @@ def unpacked(packed: pa.Buffer) -> Iterator[tuple[pa.RecordBatch, Grams, list[st
 
 def looked_up(wanted: pa.Table, model: pa.Table) -> pa.Table:
     """The model's rows of a bucket that each slice wants."""
-    keys = model.column("key").to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    keys = keys[order]
-    alpha, gamma, n = (model.column(c).to_numpy()[order] for c in ("alpha", "gamma", "n"))
+    keys, at = np.unique(model.column("key").to_numpy().view(np.uint64), return_inverse=True)
+    # At most two rows of a key: as an n-gram and as a context.
+    alpha, n = (np.bincount(at, weights=model.column(c).to_numpy(), minlength=len(keys)) for c in ("alpha", "n"))
+    gamma = np.ones(len(keys))
+    np.multiply.at(gamma, at, model.column("gamma").to_numpy().astype(np.float64))
     out: dict[str, list] = {"slice": [], "keys": [], "alpha": [], "gamma": [], "n": []}
     for number, packed in zip(wanted.column("slice").to_pylist(), wanted.column("keys").to_pylist()):
-        want = np.frombuffer(packed, dtype=np.uint64)
+        want = unpacked_keys(packed)
         at = np.minimum(np.searchsorted(keys, want), max(len(keys) - 1, 0))
         at = at[keys[at] == want] if len(keys) else at[:0]
         if len(at):
             out["slice"].append(number)
-            out["keys"].append(keys[at].tobytes())
+            out["keys"].append(packed_keys(keys[at]))
             out["alpha"].append(alpha[at].astype(np.float32).tobytes())
             out["gamma"].append(gamma[at].astype(np.float32).tobytes())
-            out["n"].append(n[at].tobytes())
+            out["n"].append(n[at].astype(np.int64).tobytes())
     return pa.table(out, schema=pa.schema([("slice", pa.int64())] + [(c, pa.binary()) for c in ("keys", "alpha", "gamma", "n")]))
 
 
@@ -401,7 +441,8 @@ class Model:
         def column(name: str, kind: type) -> np.ndarray:
             return np.frombuffer(b"".join(found.column(name).to_pylist()), dtype=kind)
 
-        keys, at = np.unique(column("keys", np.uint64), return_index=True)
+        every = [unpacked_keys(x) for x in found.column("keys").to_pylist()]
+        keys, at = np.unique(np.concatenate([np.empty(0, np.uint64), *every]), return_index=True)
         self.index = pd.Index(keys)
         # One more entry, reached by the index -1 of a missing key.
         self.alpha = np.append(column("alpha", np.float32)[at], np.float32(0)).astype(np.float64)
@@ -413,7 +454,7 @@ class Model:
 
         ``n`` is the count in trusted text, ``only`` is ``lower`` for a document that alone holds the n-gram.
         """
-        top, (ctx, low, low_ctx) = self.index.get_indexer(g.keys), (self.index.get_indexer(k) for k in g.lower_keys())
+        top, (ctx, low, low_ctx) = self.index.get_indexer(g.keys), (self.index.get_indexer(k) for k in lower_keys(g.z, g.ends))
         symbol = _symbol_table()[g.characters()[:, DEEP - ORDER:]]
         ids = np.zeros(len(symbol), dtype=np.int64)
         for k in range(ORDER):
@@ -448,10 +489,10 @@ def perplexities(docs: DataFrame, labels: DataFrame, log2: np.ndarray, text: str
     rows = rows.join(ids, F.col("doc_id") == F.col("trusted_id"), "left").withColumn(
         "trusted", F.coalesce("trusted", F.lit(False)))
     level = materialize(deep_counts(rows.where("trusted AND length(text) > 0").select("text")), "kn-grams")
-    model = materialize(model_rows(level), "kn-model")
+    model = model_rows(level)
     # A bucket's model rows and the keys wanted from it stay bounded: their number grows with model and text.
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    buckets = max(64, model.count() // BUCKET_ROWS, chars // BUCKET_CHARS)
+    buckets = max(64, level.count() // BUCKET_ROWS, chars // BUCKET_CHARS)
     shared = spark.sparkContext.broadcast(log2)
     # Read twice (keys out, shares back): one exchange, which the plan reuses.
     held = slices(rows).repartition(shuffle_partitions(spark), "slice")
