@@ -48,11 +48,11 @@ SYMBOLS = 48
 QUANTILE = 0.995
 #: Characters handled together in a task.
 CHUNK_CHARS = 2_000_000
-#: Distinct n-grams in a batch of results, and those a task holds before it sums them up.
+#: Distinct n-grams in a batch of results, those a task holds before it merges them, and merged ones before it sends them.
 ROWS = 20_000
-HELD = 6_000_000
+HELD, MERGED = 1_500_000, 6_000_000
 #: Characters whose n-grams ask for the model's rows together.
-SLICE_CHARS = 128_000_000
+SLICE_CHARS = 64_000_000
 #: Rows of the model, and characters of text, per bucket of keys.
 BUCKET_ROWS, BUCKET_CHARS = 200_000, 20_000_000
 #: Multiplier of the n-grams' keys.
@@ -219,6 +219,14 @@ def lower_keys(z: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return key_at(z, ends - 1, DEEP - 1), key_at(z, ends, DEEP - 1), key_at(z, ends - 1, DEEP - 2)
 
 
+def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of every key, the distinct keys, their first places)."""
+    number, distinct = pd.factorize(keys)
+    first = np.empty(len(distinct), dtype=np.int64)
+    first[number[::-1]] = np.arange(len(keys) - 1, -1, -1)  # the first place is written last
+    return number, distinct, first
+
+
 class Grams:
     """The distinct n-grams of order DEEP of some texts, with DEEP - 1 spaces before each.
 
@@ -238,9 +246,8 @@ class Grams:
         for k in range(DEEP):
             h *= FACTOR
             h += self.z[k:len(self.z) - (DEEP - 1) + k]
-        self.gram, self.keys = pd.factorize(h[ends - (DEEP - 1)])
-        self.ends = np.empty(len(self.keys), dtype=np.int64)
-        self.ends[self.gram[::-1]] = ends[::-1]  # the first place is written last
+        self.gram, self.keys, first = numbered(h[ends - (DEEP - 1)])
+        self.ends = ends[first]
 
     def characters(self) -> np.ndarray:
         """One row of DEEP code points per n-gram."""
@@ -254,12 +261,15 @@ def deep_counts(texts: DataFrame) -> DataFrame:
         joined = cp.tobytes().decode("utf-32-le", "surrogatepass")
         return [joined[i:i + DEEP] for i in range(0, len(joined), DEEP)]
 
-    def rows(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    def merged(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         keys, n, cp = (np.concatenate(x) for x in zip(*held))
-        _, at, inverse = np.unique(keys, return_index=True, return_inverse=True)
-        n = np.bincount(inverse, weights=n).astype(np.int64)
-        for lo in range(0, len(at), ROWS):
-            yield pa.RecordBatch.from_arrays([pa.array(strings(cp[at[lo:lo + ROWS]]), pa.string()),
+        number, keys, at = numbered(keys)
+        return keys, np.bincount(number, weights=n).astype(np.int64), cp[at]
+
+    def rows(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        keys, n, cp = merged(held)
+        for lo in range(0, len(keys), ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array(strings(cp[lo:lo + ROWS]), pa.string()),
                                               pa.array(n[lo:lo + ROWS], pa.int64())], names=["gram", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,9 +281,11 @@ def deep_counts(texts: DataFrame) -> DataFrame:
                 held.append((g.keys, np.bincount(g.gram, minlength=len(g.keys)), g.characters()))
                 size += len(g.keys)
                 if size > HELD:
-                    yield from rows(held)
-                    held, size = [], 0
-        if size:
+                    held, size = [merged(held)], 0
+                    if len(held[0][0]) > MERGED:
+                        yield from rows(held)
+                        held = []
+        if held:
             yield from rows(held)
 
     return texts.mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
@@ -374,7 +386,7 @@ def wanted_keys(held: DataFrame, buckets: int) -> DataFrame:
 
     def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
         keys, cp = (np.concatenate(x) for x in zip(*parts))
-        keys, at = np.unique(keys, return_index=True)
+        _, keys, at = numbered(keys)
         return keys, cp[at]
 
     def rows(number: int, parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
@@ -396,6 +408,9 @@ def wanted_keys(held: DataFrame, buckets: int) -> DataFrame:
                     parts, size = [], 0
                 elif size > HELD:
                     parts, size = [merged(parts)], 0
+                    if len(parts[0][0]) > MERGED:  # asking for a key twice does no harm
+                        yield rows(current, parts)
+                        parts = []
                 current = number
                 for _, g, _ in unpacked(packed.as_buffer()):
                     parts.append((g.keys, g.characters()))
