@@ -50,7 +50,7 @@ QUANTILE = 0.995
 CHUNK_CHARS = 2_000_000
 #: Distinct n-grams in a batch of results, those a task holds before it merges them, and merged ones before it sends them.
 ROWS = 20_000
-HELD, MERGED = 1_500_000, 6_000_000
+HELD, MERGED = 600_000, 4_000_000
 #: Characters whose n-grams ask for the model's rows together.
 SLICE_CHARS = 64_000_000
 #: Rows of the model, and characters of text, per bucket of keys.
@@ -280,6 +280,7 @@ def deep_counts(texts: DataFrame) -> DataFrame:
                 g = Grams(texts[lo:hi])
                 held.append((g.keys, np.bincount(g.gram, minlength=len(g.keys)), g.characters()))
                 size += len(g.keys)
+                del g  # before the next chunk's arrays are built
                 if size > HELD:
                     held, size = [merged(held)], 0
                     if len(held[0][0]) > MERGED:
@@ -415,6 +416,7 @@ def wanted_keys(held: DataFrame, buckets: int) -> DataFrame:
                 for _, g, _ in unpacked(packed.as_buffer()):
                     parts.append((g.keys, g.characters()))
                     size += len(g.keys)
+                    del g  # before the next chunk's arrays are built
         if parts:
             yield rows(current, parts)
 
