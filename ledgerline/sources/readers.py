@@ -7,6 +7,8 @@ names come from the schema). Short rows are padded with NULLs (PERMISSIVE mode).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,6 +54,26 @@ TIME_FORMATS = [
     "MM/dd/yyyy HH:mm", "dd/MM/yyyy HH:mm", "dd.MM.yyyy HH:mm", "yyyy/MM/dd", "yyyy-MM-dd", "MM/dd/yyyy", "dd/MM/yyyy", "dd.MM.yyyy",
 ]
 
+# What every text that is read as a number looks like; only such texts are tried, a failed try is a costly exception.
+_BLANK = r"[\x00-\x20\x7F]*"
+NUMBER_SHAPES = {
+    "int": f"^{_BLANK}[+-]?0*[0-9]{{1,10}}{_BLANK}$", "bigint": f"^{_BLANK}[+-]?0*[0-9]{{1,19}}{_BLANK}$",
+    "double": f"^{_BLANK}[+-]?([0-9.]+([eE][+-]?[0-9]+)?[dDfF]?|0[xX].*|[iInN].*){_BLANK}$",
+}
+# What the letters of a time pattern can stand for at most; the other fields have two digits.
+FIELD_SHAPES = {"y": "[+-]?[0-9]{4,}", "M": "[+-]?0*(?:1[0-2]|[0-9])"}
+
+
+def time_shape(pattern: str) -> str:
+    """A regular expression that every text of this time pattern matches (and some others may)."""
+    def part(m: re.Match) -> str:
+        quoted, letters = m.group(1), m.group(2)
+        if quoted is not None:
+            return re.escape(quoted)
+        return FIELD_SHAPES.get(letters[0], "[+-]?0*[0-9]{1,2}") if letters else re.escape(m.group(0))
+
+    return re.sub(r"'([^']*)'|([A-Za-z]+)|.", part, pattern)
+
 
 def infer_types(df: DataFrame) -> dict[str, tuple[str, str | None]]:
     """(type, time pattern) of every column of a table of texts, from one aggregate over all its rows.
@@ -62,15 +84,19 @@ def infer_types(df: DataFrame) -> dict[str, tuple[str, str | None]]:
     patterns breaks ties.
     """
     df = as_strings(df)
+    # Only a text of the right shape is parsed: a failed parse costs a hundred times as much as the look.
+    shapes = {p: time_shape(p) for p in TIME_FORMATS}
+    any_shape = "^(?:" + "|".join(shapes.values()) + ")$"
+    texts = df.select(*[F.when(F.trim(c(x)) != "", F.trim(c(x))).alias(f"_ll_t{i}") for i, x in enumerate(df.columns)])
+    texts = texts.select("*", *[F.when(c(x).rlike(any_shape), c(x)).alias(x.replace("_ll_t", "_ll_d")) for x in texts.columns])
     aggs = []
-    for i, x in enumerate(df.columns):
-        text = F.trim(c(x))
-        text = F.when(text != "", text)
+    for i in range(len(df.columns)):
+        text, dated = F.col(f"_ll_t{i}"), F.col(f"_ll_d{i}")
         aggs.append(F.count(text).alias(f"{i}|n"))
-        aggs += [F.count(text.try_cast(t)).alias(f"{i}|{t}") for t in NUMBER_TYPES]
+        aggs += [F.count(F.when(text.rlike(NUMBER_SHAPES[t]), text.try_cast(t))).alias(f"{i}|{t}") for t in NUMBER_TYPES]
         aggs.append(F.count_if(F.lower(text).isin("true", "false")).alias(f"{i}|boolean"))
-        aggs += [F.count(parse_ts(text, p)).alias(f"{i}|{p}") for p in TIME_FORMATS]
-    got = df.agg(*aggs).first().asDict()  # a few counts per column
+        aggs += [F.count(F.when(dated.rlike(f"^{s}$"), parse_ts(dated, p))).alias(f"{i}|{p}") for p, s in shapes.items()]
+    got = texts.agg(*aggs).first().asDict()  # a few counts per column
     out: dict[str, tuple[str, str | None]] = {}
     for i, x in enumerate(df.columns):
         n = got[f"{i}|n"]

@@ -64,6 +64,27 @@ def test_types_from_all_rows(spark, tmp_path):
     assert cast_columns(late.where("v <> 'n/a'"), {"v": ("bigint", None)}).dtypes == [("v", "bigint")]
 
 
+def test_a_text_that_parses_has_the_shape_of_its_pattern(spark):
+    import re
+
+    from ledgerline.functions.scalar import parse_ts
+    from ledgerline.sources.readers import NUMBER_SHAPES, TIME_FORMATS, time_shape
+    numbers = ["1", " 12 ", "\x7f7\x01", "+0000000000000000000012", "-2147483648", "9223372036854775807", "9223372036854775808", "-1.5", "+.5", "5.", "1e3", "1E-3", "1d", "2F", "NaN", "inf", "-Infinity", "0x1p3", "\t7\n", "8000A", "x", "", "e5", "1 2", "1_0"]
+    dates = ["2022/03/05 01:02", "2022/3/5 1:02", "0012/01/01 00:00", "+12022/01/01 00:00", "-0001/01/01 00:00", "2022/003/05 01:02",
+             "2022-03-05T01:02:03", "2022-03-05 01:02:03", "2022-03-05", "12/31/2022 23:59", "31/12/2022", "31.12.2022 1:2", "99/99/2022",
+             "2022/03/05 01:02:3", "22/03/05", "2022/13/01", "-2022/-3/05", "2022/+3/05"]
+    df = spark.createDataFrame([(x,) for x in numbers + dates], "v string")
+    tried = 0
+    for row in df.select("v", *[F.col("v").try_cast(t).alias(t) for t in NUMBER_SHAPES], *[parse_ts("v", p).isNotNull().alias(p) for p in TIME_FORMATS]).collect():
+        for t, shape in NUMBER_SHAPES.items():
+            assert row[t] is None or re.search(shape, row["v"]), (row["v"], t)
+        for p in TIME_FORMATS:
+            fits = re.fullmatch(time_shape(p), row["v"]) is not None
+            assert fits or not row[p], (row["v"], p)
+            tried += fits
+    assert tried < 4 * len(dates)
+
+
 def test_checks_of_the_write_need_one_pass(spark, raw):
     from ledgerline.sources.fixtures import dirty
     t, _ = raw
