@@ -109,3 +109,26 @@ def test_all_pairs_graph_counts(spark):
     e = build_edges(encoded(spark, [(s, d, 1) for s, d in edges]))
     r = graph_counts(e).first()
     assert (r["n_nodes"], r["n_edges"]) == (4, 12)
+
+
+@pytest.mark.parametrize("limit", [20, 10**6])
+def test_wedges_are_closed_in_place_at_any_size(spark, monkeypatch, limit):
+    from ledgerline.operators import graph as g
+    monkeypatch.setattr(g, "MAX_BROADCAST_EDGES", limit)
+    plans, plain = [], g.freeze
+
+    def kept(df, name, *rest):
+        if name == "triangle-sums":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df, name, *rest)
+
+    monkeypatch.setattr(g, "freeze", kept)
+    rnd = random.Random(11)
+    edges = sorted({(rnd.randrange(16), rnd.randrange(16)) for _ in range(90)})
+    e = build_edges(encoded(spark, [(s, d, 1) for s, d in edges]))
+    pt, stats, n = g.graph_tables(e)
+    got = {r["Node"]: r["clustering_coefficient"] for r in g.clustering(None, stats, pt, n).collect()}
+    assert got == {k: pytest.approx(v, abs=1e-12) for k, v in naive_clustering(edges).items()}
+    last = g.triangle_weights(pt, stats, n)._jdf.queryExecution().executedPlan().toString()
+    assert all("SortMergeJoin" not in x and "BroadcastHashJoin" in x for x in plans) and (len(plans) > 1) == (limit == 20)
+    assert "SortMergeJoin" not in last
