@@ -91,3 +91,13 @@ def figures(rows: DataFrame, quantiles: tuple[float, ...] = (0.5,)) -> DataFrame
 def running_profile(spark: SparkSession, root: str, quantiles: tuple[float, ...] = (0.5,)) -> DataFrame:
     """The profile of all batches stored under ``root``."""
     return figures(merge(stored(spark, root)), quantiles)
+
+
+def distinct_counts(df: DataFrame, features: list[str]) -> DataFrame:
+    """(feature, truth): exact distinct values of every feature, by one scan and one aggregate each."""
+    out = None
+    for x in features:
+        values = df.select(c(x).alias("value")).where(F.col("value").isNotNull()).distinct()
+        one = values.agg(F.count(F.lit(1)).alias("truth")).select(F.lit(x).alias("feature"), "truth")
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -528,8 +528,8 @@ def q_profile_running(spark, sf_dir):
     got = freeze(running.running_profile(spark, root), "running")
     whole = typed_view(t)
     num, txt = qa.split_features(whole)
-    exact = whole.agg(*[F.count_distinct(c(x)).alias(x) for x in num + txt]).select(
-        F.inline(F.array(*[F.struct(F.lit(x).alias("feature"), c(x).alias("truth")) for x in num + txt])))
+    # Feature by feature: a task holds the distinct values of one feature, not of all.
+    exact = running.distinct_counts(whole, num + txt)
     middle = {r["feature"]: r["num_value"] for r in got.where("stat = 'median'").collect()}
     ranks = whole.agg(*[F.struct(F.avg((c(x) < middle[x]).cast("double")).alias("lo"), F.avg((c(x) <= middle[x]).cast("double")).alias("hi")).alias(x)
                         for x in num]).select(F.inline(F.array(*[F.struct(F.lit(x).alias("feature"), c(x).alias("at")) for x in num])))
