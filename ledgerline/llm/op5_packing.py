@@ -19,11 +19,13 @@ result; extra input columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +42,19 @@ GROUP_DOCS = 2048
 #: Entries of a Python worker's table from white-space-delimited chunk to packed ids.
 CACHE_ENTRIES = 500_000
 
-_TOKENIZERS: dict[str, object] = {}
+#: Entries of a Python worker's table from word to packed ids.
+WORD_ENTRIES = 250_000
+#: Fresh words encoded as one text, apart by a character that is an id of its own.
+JOINED = 64
+SEPARATOR = "\0"
+#: Signs that end a word where the tokenizer splits letters from signs.
+END_SIGNS = b".,;:!?*&"
+#: The normalizers and the split under which an ASCII word may be lower-cased and parted from its end signs.
+LOWERED = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+PARTED = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+          "behavior": "Removed", "invert": True}
+
+_TOKENIZERS: dict[str, WordEncoder] = {}
 _CHUNKS: dict[str, dict[bytes, bytes]] = {}
 
 
@@ -50,32 +64,95 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class WordEncoder:
+    """Packed ids of words (text without ASCII white space), many to a call of the tokenizer.
+
+    A call costs more than a word, so fresh words are joined around ``SEPARATOR`` and their ids cut at its id; a text
+    whose separators do not all come back is encoded word by word. Where the tokenizer's file says that it lower-cases
+    and splits letters from signs, ``Word.`` and ``word,`` share the ids of ``word``.
+    """
+
+    def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        self.tok = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        normalizer, split = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
+        self.parted = (normalizer.get("normalizers") == LOWERED and split.get("pretokenizers", [None])[0] == PARTED
+                       and all(not t["content"][-1:].isalnum() for t in spec.get("added_tokens") or []))
+        alone = self._ids(SEPARATOR)
+        self.sep = alone[0] if len(alone) == 1 else None
+        self.words: dict[bytes, bytes] = {}
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _joined(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of every word, from one call for ``JOINED`` of them."""
+        out: list[bytes] = []
+        groups = [words[i:i + JOINED] for i in range(0, len(words), JOINED)]
+        between = f" {SEPARATOR} ".encode()
+        texts = [between.join(g).decode("utf-8") for g in groups] if self.sep is not None else []
+        for g, e in zip(groups, self.tok.encode_batch_fast(texts, add_special_tokens=False) if texts else [None] * len(groups)):
+            if e is not None:
+                ids = np.array(e.ids, dtype="<u4")
+                cuts = (4 * np.flatnonzero(ids == self.sep)).tolist()
+                if len(cuts) == len(g) - 1:
+                    packed = ids.tobytes()
+                    out += [packed[i:j] for i, j in zip([0, *[c + 4 for c in cuts]], [*cuts, len(packed)])]
+                    continue
+            for each in self.tok.encode_batch_fast([w.decode("utf-8") for w in g], add_special_tokens=False):
+                out.append(struct.pack(f"<{len(each.ids)}I", *each.ids))
+        return out
+
+    def _plain(self, words: list[bytes]) -> dict[bytes, bytes]:
+        known = self.words
+        fresh = [w for w in words if w not in known]
+        new: dict[bytes, bytes] = {}
+        for at in range(0, len(fresh), 4096):
+            new.update(zip(fresh[at:at + 4096], self._joined(fresh[at:at + 4096])))
+        out = {w: new[w] if w in new else known[w] for w in words}
+        if len(known) < WORD_ENTRIES:
+            known.update((w, ids) for w, ids in new.items() if len(w) <= 64)
+        return out
+
+    def encode(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+        """Packed ids of distinct chunks."""
+        if not self.parted:
+            out: dict[bytes, bytes] = {}
+            for at in range(0, len(chunks), 4096):
+                out.update(zip(chunks[at:at + 4096], self._joined(chunks[at:at + 4096])))
+            return out
+        parts = []
+        for chunk in chunks:
+            word = chunk.rstrip(END_SIGNS)
+            # Signs before the end signs belong to the same run, so the word has to end in a letter or digit.
+            if not word[-1:].isalnum():
+                word = chunk
+            parts.append((word.lower() if word.isascii() and b"<|" not in word else word, chunk[len(word):]))
+        ids = self._plain(list({p for pair in parts for p in pair if p}))
+        ids[b""] = b""
+        return {chunk: ids[word] + ids[end] for chunk, (word, end) in zip(chunks, parts)}
+
+
 def encode_texts(texts: list[str | None], path: str) -> list[bytes]:
     """Little-endian unsigned 32-bit ids of every text, without special tokens.
 
     The tokenizer drops ASCII white space and never looks across it, so ids are looked up by
-    white-space-delimited chunk; chunks not met before are encoded in one batch. The table
+    white-space-delimited chunk; chunks not met before are encoded together. The table
     stops growing at ``CACHE_ENTRIES``; chunks beyond are encoded again where they occur.
     """
     if path not in _TOKENIZERS:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        _TOKENIZERS[path] = Tokenizer.from_file(path)
+        _TOKENIZERS[path] = WordEncoder(path)
         _CHUNKS[path] = {}
-    tok, known = _TOKENIZERS[path], _CHUNKS[path]
+    encoder, known = _TOKENIZERS[path], _CHUNKS[path]
     split = [t.encode("utf-8").split() if t else [] for t in texts]
     found = [list(map(known.get, chunks)) for chunks in split]
     short = [i for i, ids in enumerate(found) if None in ids]
     if short:
-        fresh = list({c for i in short for c, ids in zip(split[i], found[i]) if ids is None})
-        extra: dict[bytes, bytes] = {}
-        for at in range(0, len(fresh), 4096):
-            part = fresh[at:at + 4096]
-            encoded = tok.encode_batch_fast([c.decode("utf-8") for c in part], add_special_tokens=False)
-            for c, e in zip(part, encoded):
-                ids = e.ids
-                extra[c] = struct.pack(f"<{len(ids)}I", *ids)
+        extra = encoder.encode(list({c for i in short for c, ids in zip(split[i], found[i]) if ids is None}))
         for i in short:
             found[i] = [extra[c] if ids is None else ids for c, ids in zip(split[i], found[i])]
         if len(known) < CACHE_ENTRIES:
