@@ -6,7 +6,7 @@ import struct
 from ledgerline.llm import op5_packing as op5
 
 PIECES = ["a", "B", "é", "É", "İ", "I", "̇", "h", "H", "̱", "Σ", "ς", "'", "'S", "'ll", "'D", ".", ",", "*", "&", "!",
-          "<|endoftext|>", "<|", "|>", "\0", "1", "²", "一", "…", "—", "̸", "<", " ", "\t", "\x1c", "\x85", " ", "😀", "K", "ß"]
+          "<|endoftext|>", "<|", "|>", "1", "²", "一", "…", "—", "̸", "<", " ", "\t", "\x1c", "\x85", " ", "😀", "K", "ß"]
 
 
 class Counted:
@@ -24,6 +24,7 @@ def test_fresh_words_are_encoded_together():
     encoder.tok = tok = Counted(encoder.tok)
     rng = random.Random(7)
     texts = [None, ""] + ["".join(rng.choices(PIECES, k=rng.randint(1, 12))) for _ in range(5000)]
+    texts += [f"{a}\0{b} {b} \0" for a in PIECES[:12] for b in PIECES[:3]]  # the separator itself in a text
     words = list({w for t in texts if t for w in t.encode().split()})
     got = encoder.encode(words)
     assert tok.texts < len(words) / 2
