@@ -231,27 +231,31 @@ def encode_transactions(raw: DataFrame, state: State | None = None, batch_id: in
     fresh, counts = materialize(new_first_seen_codes(occ, state, existing_max, max(width.values()) * max(n, 1)))
     dims = {k: state.dims[k].unionByName(fresh[k]) if k in state.dims else fresh[k] for k in DOMAINS}
     sizes = {k: counts[k] + (0 if existing_max.get(k) is None else int(existing_max[k]) + 1) for k in DOMAINS}
+    check = [F.col("_ll_check")] if on_error == "failfast" else []
+    # Only numbers, codes and the two account keys reach the account lookups, which shuffle when the dictionary is large.
     keyed = indexed.select(
-        "*",
+        F.col("Index").cast("long").alias("_ll_index"),
         concat_key("From Bank", "Account", delimiter=delimiter).alias("_ll_from"),
         concat_key("To Bank", "Account.1", delimiter=delimiter).alias("_ll_to"),
+        (epoch_seconds(ts) - F.lit(anchor_s)).cast("double").alias("_ll_ts"),
+        paid.alias("_ll_paid"), received.alias("_ll_received"), label.alias("_ll_label"),
+        c("Receiving Currency").alias("_ll_rc"), c("Payment Currency").alias("_ll_pc"), c("Payment Format").alias("_ll_pf"),
+        *[c(k).alias(f"_ll_keep{i}") for i, k in enumerate(keep or [])],
+        *check,
     )
-    keyed = lookup(keyed, dims["currency"], c("Receiving Currency"), "Receiving_Currency", sizes["currency"])
-    keyed = lookup(keyed, dims["currency"], c("Payment Currency"), "Payment_Currency", sizes["currency"])
-    keyed = lookup(keyed, dims["payment_format"], c("Payment Format"), "Payment_Format", sizes["payment_format"])
+    keyed = lookup(keyed, dims["currency"], F.col("_ll_rc"), "Receiving_Currency", sizes["currency"])
+    keyed = lookup(keyed, dims["currency"], F.col("_ll_pc"), "Payment_Currency", sizes["currency"])
+    keyed = lookup(keyed, dims["payment_format"], F.col("_ll_pf"), "Payment_Format", sizes["payment_format"])
     keyed = lookup(keyed, dims["account"], F.col("_ll_from"), "From_ID", sizes["account"])
     keyed = lookup(keyed, dims["account"], F.col("_ll_to"), "To_ID", sizes["account"])
 
-    check = [F.col("_ll_check")] if on_error == "failfast" else []
     encoded = keyed.select(
-        F.col("Index").cast("long").alias("Index"),
-        F.col("From_ID"), F.col("To_ID"),
-        (epoch_seconds(ts) - F.lit(anchor_s)).cast("double").alias("Timestamp"),
-        paid.alias("Amount_Paid"), F.col("Payment_Currency"),
-        received.alias("Amount_Received"), F.col("Receiving_Currency"),
-        F.col("Payment_Format"), label.alias("Is_Laundering"),
+        F.col("_ll_index").alias("Index"), F.col("From_ID"), F.col("To_ID"),
+        F.col("_ll_ts").alias("Timestamp"), F.col("_ll_paid").alias("Amount_Paid"), F.col("Payment_Currency"),
+        F.col("_ll_received").alias("Amount_Received"), F.col("Receiving_Currency"),
+        F.col("Payment_Format"), F.col("_ll_label").alias("Is_Laundering"),
         F.lit(bid).cast("long").alias("batch_id"),
-        *[c(k) for k in (keep or [])],
+        *[F.col(f"_ll_keep{i}").alias(k) for i, k in enumerate(keep or [])],
         *check,
     )
     if check:
