@@ -53,6 +53,9 @@ END_SIGNS = b".,;:!?*&"
 LOWERED = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 PARTED = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
           "behavior": "Removed", "invert": True}
+#: The step after that split which leaves ASCII letters as they are, and what it makes of ``SEPARATOR``.
+BYTES = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
+BARE_SEPARATOR = "\u0100"
 
 _TOKENIZERS: dict[str, WordEncoder] = {}
 _CHUNKS: dict[str, dict[bytes, bytes]] = {}
@@ -69,7 +72,8 @@ class WordEncoder:
 
     A call costs more than a word, so fresh words are joined around ``SEPARATOR`` and their ids cut at its id; a text
     whose separators do not all come back is encoded word by word. Where the tokenizer's file says that it lower-cases
-    and splits letters from signs, ``Word.`` and ``word,`` share the ids of ``word``.
+    and splits letters from signs, ``Word.`` and ``word,`` share the ids of ``word``. Lower-case ASCII letters pass
+    those steps as they are, so such words go to the same model without them.
     """
 
     def __init__(self, path: str) -> None:
@@ -82,23 +86,39 @@ class WordEncoder:
         normalizer, split = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
         self.parted = (normalizer.get("normalizers") == LOWERED and split.get("pretokenizers", [None])[0] == PARTED
                        and all(not t["content"][-1:].isalnum() for t in spec.get("added_tokens") or []))
-        alone = self._ids(SEPARATOR)
-        self.sep = alone[0] if len(alone) == 1 else None
+        self.sep = self._only_id(self.tok, SEPARATOR)
+        self.bare = None
+        after = split.get("pretokenizers", [])[1:]
+        if self.parted and len(after) == 1 and {k: after[0].get(k) for k in BYTES} == BYTES:
+            self.bare = Tokenizer.from_str(json.dumps(
+                {**spec, "normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": [], "post_processor": None}))
+            self.bare_sep = self._only_id(self.bare, BARE_SEPARATOR)
         self.words: dict[bytes, bytes] = {}
 
-    def _ids(self, text: str) -> list[int]:
-        return self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids
+    @staticmethod
+    def _only_id(tok, text: str) -> int | None:
+        ids = tok.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return ids[0] if len(ids) == 1 else None
 
     def _joined(self, words: list[bytes]) -> list[bytes]:
         """Packed ids of every word, from one call for ``JOINED`` of them."""
+        if self.bare is None:
+            return self._cut(words, self.tok, SEPARATOR, self.sep)
+        letters = [w for w in words if w.isalpha() and w.islower()]  # of bytes: ASCII alone
+        other = [w for w in words if not (w.isalpha() and w.islower())]
+        ids = dict(zip(letters, self._cut(letters, self.bare, BARE_SEPARATOR, self.bare_sep)))
+        ids.update(zip(other, self._cut(other, self.tok, SEPARATOR, self.sep)))
+        return [ids[w] for w in words]
+
+    def _cut(self, words: list[bytes], tok, separator: str, sep: int | None) -> list[bytes]:
         out: list[bytes] = []
         groups = [words[i:i + JOINED] for i in range(0, len(words), JOINED)]
-        between = f" {SEPARATOR} ".encode()
-        texts = [between.join(g).decode("utf-8") for g in groups] if self.sep is not None else []
-        for g, e in zip(groups, self.tok.encode_batch_fast(texts, add_special_tokens=False) if texts else [None] * len(groups)):
+        between = f" {separator} ".encode()
+        texts = [between.join(g).decode("utf-8") for g in groups] if sep is not None else []
+        for g, e in zip(groups, tok.encode_batch_fast(texts, add_special_tokens=False) if texts else [None] * len(groups)):
             if e is not None:
                 ids = np.array(e.ids, dtype="<u4")
-                cuts = (4 * np.flatnonzero(ids == self.sep)).tolist()
+                cuts = (4 * np.flatnonzero(ids == sep)).tolist()
                 if len(cuts) == len(g) - 1:
                     packed = ids.tobytes()
                     out += [packed[i:j] for i, j in zip([0, *[c + 4 for c in cuts]], [*cuts, len(packed)])]

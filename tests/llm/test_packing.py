@@ -37,3 +37,17 @@ def test_fresh_words_are_encoded_together():
         assert got[w] == struct.pack(f"<{len(ids)}I", *ids)
     whole = [tok.tok.encode(t or "", add_special_tokens=False).ids for t in texts]
     assert op5.encode_texts(texts, path) == [struct.pack(f"<{len(i)}I", *i) for i in whole]
+
+
+def test_lower_case_letters_pass_no_normalizer():
+    path = op5.default_tokenizer()
+    encoder = op5.WordEncoder(path)
+    encoder.tok = tok = Counted(encoder.tok)
+    rng = random.Random(11)
+    words = list({"".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(1, 40))).encode() for _ in range(3000)})
+    words += [w.capitalize() + b"," for w in words[:500]] + ["Ā".encode()]
+    got = encoder.encode(words)
+    assert tok.texts <= 2  # the comma and the one word of no ASCII letters
+    for w in words:
+        ids = tok.tok.encode(w.decode(), add_special_tokens=False).ids
+        assert got[w] == struct.pack(f"<{len(ids)}I", *ids)
