@@ -257,3 +257,20 @@ def test_scratch_is_released(spark):
     assert other.rsplit("/", 1)[0].endswith(spark.sparkContext.applicationId)
     assert callable(release_scratch)
     assert T.StructType(RAW_SCHEMA.fields) == RAW_SCHEMA
+
+
+def test_principal_directions_are_those_of_the_library(spark):
+    import numpy as np
+    from pyspark.ml.feature import PCA, VectorAssembler
+
+    from ledgerline.operators.resample import principal_directions
+    rng = np.random.default_rng(5)
+    rows = (rng.random((500, 4)) * [1, 0.5, 0.2, 0] + [0, 3, -2, 0.25]).tolist()
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(7)
+    mean = list(df.agg(*[F.avg(x) for x in df.columns]).first())
+    got = principal_directions(df, df.columns, mean, 3)
+    want = PCA(k=3, inputCol="x", outputCol="z").fit(VectorAssembler(inputCols=df.columns, outputCol="x").transform(df)).pc.toArray()
+    assert np.allclose(got, want, atol=1e-9)
+    for bad in (df.limit(1), df.limit(0), df.unionByName(df.limit(1).withColumn("b", F.lit(None).cast("double")))):
+        with pytest.raises(Exception, match="two rows|null or NaN"):
+            principal_directions(bad, df.columns, mean, 3)
