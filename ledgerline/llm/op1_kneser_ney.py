@@ -17,7 +17,8 @@ Scale. A slice of text (what a task reads, up to SLICE_CHARS) sends the 64-bit k
 bucket of keys, to the count tables, which are sharded by the same buckets; the rows found go back to the slice's own
 compressed text, where they are looked up per n-gram and the bits summed per document. Shares and weights travel
 as 32-bit floats. No table of the characters' own n-grams is broadcast or reaches the driver, nor any table of the
-places of n-grams written. Only the class model is broadcast: it has at most
+places of n-grams written. Documents are scored in ``PASSES`` passes by a hash of their id, each over the whole model:
+keys, rows found and compressed text are on disk for one pass at a time. Only the class model is broadcast: it has at most
 ``SYMBOLS ** ORDER`` entries (5.3 million, 21 MB as floats) however large the corpus is.
 
 Defined results: null or empty text: perplexity null and not kept; a null language forms its own
@@ -38,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import counted_broadcast, materialize, require, shuffle_partitions
+from .common import counted_broadcast, discard, materialize, require, shuffle_partitions
 
 #: Highest order over characters; the classes of characters below have theirs.
 DEEP = 6
@@ -53,6 +54,8 @@ ROWS = 20_000
 HELD, MERGED = 600_000, 4_000_000
 #: Characters whose n-grams ask for the model's rows together.
 SLICE_CHARS = 64_000_000
+#: Passes over the documents in scoring (fewer while a pass has less than PASS_CHARS characters), and characters of a task.
+PASSES, PASS_CHARS, TASK_CHARS = 4, 20_000_000, 16_000_000
 #: Rows of the model, and characters of text, per bucket of keys.
 BUCKET_ROWS, BUCKET_CHARS = 200_000, 20_000_000
 #: Multiplier of the n-grams' keys.
@@ -192,7 +195,9 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     counts = materialize(gram_counts(texts), "kn-counts")
     if counts.isEmpty():
         return None
-    return dense_log2(model_tables(counts))
+    log2 = dense_log2(model_tables(counts))
+    discard(counts)
+    return log2
 
 
 def _mixed(cp: np.ndarray) -> np.ndarray:
@@ -371,7 +376,7 @@ def slices(docs: DataFrame) -> DataFrame:
             texts = batch.column(2).to_pylist()
             for lo, hi in _chunks(texts):
                 sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 7))) as out:
+                with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as out:
                     out.write_batch(batch.slice(lo, hi - lo))
                 yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
                                                  names=["slice", "docs"])
@@ -497,7 +502,8 @@ def chunk_bits(batch: pa.RecordBatch, g: Grams, texts: list[str], model: Model,
 
 def perplexities(docs: DataFrame, labels: DataFrame, log2: np.ndarray, text: str = "text", doc_id: str = "doc_id",
                  lang: str = "lang") -> DataFrame:
-    """(doc_id, lang, n_chars, trusted, log2_ppl): mean negative log2 probability per character (trusted: leave one out)."""
+    """(doc_id, lang, n_chars, trusted, log2_ppl): mean negative log2 probability per character (trusted: leave one out),
+    as written tables."""
     spark = docs.sparkSession
     ids = counted_broadcast(materialize(trusted_ids(labels).withColumn("trusted", F.lit(True)), "kn-trusted"))
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
@@ -506,15 +512,16 @@ def perplexities(docs: DataFrame, labels: DataFrame, log2: np.ndarray, text: str
     rows = rows.join(ids, F.col("doc_id") == F.col("trusted_id"), "left").withColumn(
         "trusted", F.coalesce("trusted", F.lit(False)))
     level = materialize(deep_counts(rows.where("trusted AND length(text) > 0").select("text")), "kn-grams")
-    model = model_rows(level)
     # A bucket's model rows and the keys wanted from it stay bounded: their number grows with model and text.
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(64, level.count() // BUCKET_ROWS, chars // BUCKET_CHARS)
+    discard()
+    model = materialize(keyed(model_rows(level), buckets), "kn-model")
+    discard(level)
     shared = spark.sparkContext.broadcast(log2)
-    # Read twice (keys out, shares back): one exchange, which the plan reuses.
-    held = slices(rows).repartition(shuffle_partitions(spark), "slice")
-    found = wanted_keys(held, buckets).groupBy("bucket").cogroup(keyed(model, buckets).groupBy("bucket")).applyInArrow(
-        looked_up, "slice long, keys binary, alpha binary, gamma binary, n binary")
+    passes = min(PASSES, max(1, chars // PASS_CHARS))
+    # A task reads as much of a pass as it would of the whole table, so a slice asks for a shared key once.
+    tasks = max(spark.sparkContext.defaultParallelism, chars // passes // TASK_CHARS)
 
     def scored(chunks: pa.Table, shares: pa.Table) -> pa.Table:
         rows_of = Model(shares)
@@ -529,8 +536,20 @@ def perplexities(docs: DataFrame, labels: DataFrame, log2: np.ndarray, text: str
 
     kept = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("n_chars", pa.int64()), ("trusted", pa.bool_()),
                       ("log2_ppl", pa.float64())])
-    return held.groupBy("slice").cogroup(found.groupBy("slice")).applyInArrow(
-        scored, "doc_id long, lang string, n_chars long, trusted boolean, log2_ppl double")
+    out = None
+    for i in range(passes):
+        some = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(passes)) == i).coalesce(tasks)
+        # Read twice (keys out, shares back): one exchange, which the plan reuses.
+        held = slices(some).repartition(shuffle_partitions(spark), "slice")
+        found = wanted_keys(held, buckets).groupBy("bucket").cogroup(model.groupBy("bucket")).applyInArrow(
+            looked_up, "slice long, keys binary, alpha binary, gamma binary, n binary")
+        part = materialize(held.groupBy("slice").cogroup(found.groupBy("slice")).applyInArrow(
+            scored, "doc_id long, lang string, n_chars long, trusted boolean, log2_ppl double"), "kn-scores")
+        out = part if out is None else out.unionByName(part)
+        del some, held, found
+        discard()
+    discard(model)
+    return out
 
 
 def thresholds(scored: DataFrame, quantile: float) -> DataFrame:
@@ -561,7 +580,7 @@ def classify(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str
                            F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), n.alias("n_chars"),
                            none.alias("perplexity"), none.alias("threshold"), F.lit(False).alias("trusted"),
                            (n > 0).alias("kept"))
-    scored = materialize(perplexities(docs, labels, log2, text, doc_id, lang), "kn-scores")
+    scored = perplexities(docs, labels, log2, text, doc_id, lang)
     limits = materialize(thresholds(scored, quantile), "kn-limits")  # one row per language
     per_lang = limits.where("lang IS NOT NULL")
     overall = limits.where("lang IS NULL").select(F.col("top").alias("overall"))

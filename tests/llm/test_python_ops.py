@@ -328,3 +328,24 @@ def test_passages_odd_rows(spark, odd):
     assert by[1]["kept_text"] == "" and by[3]["n_words"] == 0 and by[5]["kept_text"] == "one two three"
     assert len({(r["n_removed"], r["kept_text"]) for r in got if r["doc_id"] == 6}) == 1
     assert op9_substring.dedup_passages(odd.limit(0)).count() == 0
+
+
+def test_kneser_ney_passes(spark, monkeypatch):
+    """Documents scored in passes get the figures of one pass, and the model's tables are gone after the last."""
+    import glob
+
+    from ledgerline.session import _scratch_root
+    docs = spark.createDataFrame([(i if i % 9 else None, f"text number {i % 7} of the lot " * (i % 5), "en") for i in range(60)],
+                                 "doc_id long, text string, lang string").coalesce(1)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 60, 3)], "doc_id long, quality int, toxic int")
+    log2 = op1_kneser_ney.train(docs, labels)
+
+    def rows():
+        return sorted((x["doc_id"] or -1, x["n_chars"], round(x["log2_ppl"] or -1.0, 6))
+                      for x in op1_kneser_ney.perplexities(docs, labels, log2).collect())
+
+    one = rows()
+    monkeypatch.setattr(op1_kneser_ney, "PASS_CHARS", 100)
+    assert rows() == one and len(one) == 60
+    root = _scratch_root(spark).removeprefix("file:")
+    assert glob.glob(f"{root}/kn-scores-*") and not glob.glob(f"{root}/kn-model-*")
