@@ -48,14 +48,14 @@ SYMBOLS = 48
 #: A document is kept up to this quantile of the trusted documents' perplexity in its language.
 QUANTILE = 0.995
 #: Characters handled together in a task.
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 1_000_000
 #: Distinct n-grams in a batch of results, those a task holds before it merges them, and merged ones before it sends them.
 ROWS = 20_000
 HELD, MERGED = 600_000, 4_000_000
 #: Characters whose n-grams ask for the model's rows together.
 SLICE_CHARS = 64_000_000
 #: Passes over the documents in scoring (fewer while a pass has less than PASS_CHARS characters), and characters of a task.
-PASSES, PASS_CHARS, TASK_CHARS = 4, 20_000_000, 16_000_000
+PASSES, PASS_CHARS, TASK_CHARS = 4, 20_000_000, 12_000_000
 #: Rows of the model, and characters of text, per bucket of keys.
 BUCKET_ROWS, BUCKET_CHARS = 200_000, 20_000_000
 #: Multiplier of the n-grams' keys.
